@@ -53,12 +53,12 @@ def wide_csv_lines(
         [(i, None, _csv_line(fields)) for i, fields in enumerate(header)],
         "section int, entity string, line string",
     )
-    cells = [float_text(F.col(f"`{k.column}`")).alias(f"c{i}") for i, k in enumerate(keys)]
-    fields = F.struct(F.col(f"`{entity}`").alias("entity"), *cells)
+    cells = F.transform(F.array(*[F.col(f"`{k.column}`") for k in keys]), float_text)
+    name = F.to_csv(F.struct(F.col(f"`{entity}`").alias("entity")), CSV_FORMAT)
     body = wide.select(
         F.lit(len(header)).alias("section"),
         F.col(f"`{entity}`").alias("entity"),
-        F.to_csv(fields, CSV_FORMAT).alias("line"),
+        F.concat_ws(",", name, F.array_join(cells, ",", "")).alias("line"),
     )
     return head.unionByName(body)
 
