@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The letters beyond ASCII that equal an ASCII letter when case is
+# ignored (long s, Kelvin sign, dotless i, dotted capital I).
+ASCII_TWINS = {"\u017f": "s", "\u212a": "k", "\u0131": "i", "\u0130": "i"}
+METACHARACTERS = re.compile(r"[\\^$.|?*+(){}\[\]]")
+
 
 def terms_pattern(terms: Sequence[str], literal: bool = False) -> str:
     """One regular expression that matches where any of the terms occurs.
@@ -15,28 +22,61 @@ def terms_pattern(terms: Sequence[str], literal: bool = False) -> str:
     ``ring (small)`` matches ``ring small``.  With ``literal=True`` every
     character of a term stands for itself.
     """
-    if not terms or any(not t for t in terms):
-        raise ValueError("a topic needs at least one term, and no term may be empty")
-    if literal:
-        terms = [_quoted(t) for t in terms]
-    return "|".join(terms)
-
-
-def _quoted(term: str) -> str:
-    return "\\Q" + term.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    return "|".join(_quoted(t) if literal else t for t in _checked(terms))
 
 
 def matches_any(name: Column, terms: Sequence[str], literal: bool = False) -> Column:
     """True where a term occurs in ``name``; a null name is False, not unknown."""
-    hit = name.rlike("(?iu)" + terms_pattern(terms, literal))
-    return F.coalesce(hit, F.lit(False))
+    test = _test(name, terms, literal)
+    return F.coalesce(F.exists(F.array(_folded(name)), test), F.lit(False))
+
+
+def matching_topics(name: Column, patterns: Mapping[str, Sequence[str]]) -> Column:
+    """Array of the topics whose terms occur in ``name``; null for a null name.
+
+    The topics are literals of the plan: the catalogue is read in one map-only
+    pass, without a join against the topics.
+    """
+
+    def topics(folded: Column) -> Column:
+        return F.array_compact(
+            F.array(*[F.when(_test(name, terms, False)(folded), topic) for topic, terms in patterns.items()])
+        )
+
+    return F.transform(F.array(_folded(name)), topics)[0]
 
 
-def matching_topics(name: Column, patterns: Mapping[str, Iterable[str]]) -> Column:
-    """Array of the topics whose terms occur in ``name``.
+def _test(name: Column, terms: Sequence[str], literal: bool) -> Callable[[Column], Column]:
+    """Test of the folded name: substring search for plain terms, a pattern for the others.
 
-    The topics are literals of the plan, so every pattern is compiled once and
-    the catalogue is read in one map-only pass, without a join against the topics.
+    Plain terms are by far the most, and searching them is about ten times
+    faster than an alternation of all terms at every place of the text.
     """
-    hits = [F.when(matches_any(name, list(terms)), F.lit(topic)) for topic, terms in patterns.items()]
-    return F.array_compact(F.array(*hits))
+    plain = {t.lower() for t in _checked(terms) if t.isascii() and (literal or not METACHARACTERS.search(t))}
+    others = [t for t in terms if t.lower() not in plain]
+    # A term that contains another one finds nothing that the shorter does not.
+    shortest = sorted(t for t in plain if not any(u in t for u in plain if u != t))
+
+    def test(folded: Column) -> Column:
+        hits = [folded.contains(t) for t in shortest]
+        if others:
+            hits.append(name.rlike("(?iu)" + terms_pattern(others, literal)))
+        return reduce(lambda a, b: a | b, hits)
+
+    return test
+
+
+def _folded(name: Column) -> Column:
+    for letter, twin in ASCII_TWINS.items():
+        name = F.replace(name, F.lit(letter), F.lit(twin))
+    return F.lower(name)
+
+
+def _checked(terms: Sequence[str]) -> Sequence[str]:
+    if not terms or any(not t for t in terms):
+        raise ValueError("a topic needs at least one term, and no term may be empty")
+    return terms
+
+
+def _quoted(term: str) -> str:
+    return "\\Q" + term.replace("\\E", "\\E\\\\E\\Q") + "\\E"

@@ -76,6 +76,8 @@ def clean_long(
     """Long table (entity, YEAR, IndicatorCode, NumericValue); one map-only step."""
     renamed = rename(mark_missing(prune(observations)), entity)
     kept = drop_missing(renamed, entity, null_policy)
+    if isinstance(kept.schema[YEAR].dataType, T.IntegerType):
+        return kept
     return kept.withColumn(YEAR, whole_year(F.col(YEAR), lenient_year))
 
 

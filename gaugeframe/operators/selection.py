@@ -29,9 +29,14 @@ def select_indicators(
 
 
 def select_by_topic(catalog: DataFrame, patterns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Distinct (topic, code, name) for many topics in one pass over the catalogue."""
+    """Distinct (topic, code, name) for many topics in one pass over the catalogue.
+
+    The outer explode, filtered afterwards, matches every name once; for the
+    inner one the optimizer adds a filter that matches it again.
+    """
     require_columns(catalog, [CODE, NAME])
-    hits = catalog.select(F.explode(matching_topics(F.col(NAME), patterns)).alias("topic"), CODE, NAME)
+    topics = F.explode_outer(matching_topics(F.col(NAME), patterns)).alias("topic")
+    hits = catalog.select(topics, CODE, NAME).filter(F.col("topic").isNotNull())
     return hits.dropDuplicates(["topic", CODE, NAME])
 
 

@@ -369,12 +369,16 @@ def run_topic(
 def _topics_per_code(catalog: DataFrame, topics: Sequence[Topic], dedupe: bool) -> DataFrame:
     """Per code the topics that select it and under how many names.
 
-    One row per code; its array has at most one entry per topic.
+    One row per code; its array has at most one entry per topic.  Stored, as it
+    is measured and joined more than once.  The last filter keeps every row; it
+    tells the optimizer that the codes are a choice, so that a join with
+    observations stored by code reads the chosen folders only.
     """
     chosen = select_by_topic(catalog, {t.name: t.patterns for t in topics})
     copies = F.lit(1).cast("long") if dedupe else F.count("*")
     counted = chosen.groupBy(CODE, "topic").agg(copies.alias("copies"))
-    return counted.groupBy(CODE).agg(F.collect_list(F.struct("topic", "copies")).alias("topics"))
+    per_code = counted.groupBy(CODE).agg(F.collect_list(F.struct("topic", "copies")).alias("topics"))
+    return cut_lineage(per_code).filter(F.size("topics") > 0)
 
 
 def _kept_by_policy(rows: DataFrame, topics: Sequence[Topic]) -> DataFrame:

@@ -64,12 +64,15 @@ def unnest_rows(pages: DataFrame, keep: tuple[str, ...] = (), position: str | No
     """One row per entry of ``value``; null and empty arrays give none.
 
     ``position`` names a column for the place of the entry within its page.
+    The outer form of explode, with the filter after it, parses each body once;
+    for the inner form the optimizer adds a filter that parses it again.
     """
     if position is None:
-        rows = pages.select(*keep, F.explode(ROWS).alias("row"))
-        return rows.select(*keep, "row.*")
-    rows = pages.select(*keep, F.posexplode(ROWS).alias(position, "row"))
-    return rows.select(*keep, position, "row.*")
+        rows = pages.select(*keep, F.explode_outer(ROWS).alias("row"))
+    else:
+        rows = pages.select(*keep, F.posexplode_outer(ROWS).alias(position, "row"))
+        keep = (*keep, position)
+    return rows.filter(F.col("row").isNotNull()).select(*keep, "row.*")
 
 
 def scan_catalog(landed: DataFrame, on_error: OnError = "skip") -> DataFrame:
