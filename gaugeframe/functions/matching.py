@@ -32,7 +32,7 @@ def matches_any(name: Column, terms: Sequence[str], literal: bool = False) -> Co
 
 
 def matching_topics(name: Column, patterns: Mapping[str, Sequence[str]]) -> Column:
-    """Array of the topics whose terms occur in ``name``; null for a null name.
+    """Array of the topics whose terms occur in ``name``; empty for a null name.
 
     The topics are literals of the plan: the catalogue is read in one map-only
     pass, without a join against the topics.

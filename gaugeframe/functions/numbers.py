@@ -42,7 +42,8 @@ def float_text(column: Column) -> Column:
     """Shortest decimal text of a double, positional from 1e-4 up to 1e16.
 
     Spark writes ``1.0E7``; indicator files carry ``10000000.0``, and ``1e+16``
-    or ``1.5e-05`` beyond those bounds.
+    or ``1.5e-05`` beyond those bounds.  The text reads back as the same double;
+    from 1e16 on a Java runtime before 19 may give one digit more than needed.
     """
     text = column.cast("string")
     size = F.abs(column)

@@ -1,0 +1,45 @@
+import csv
+import io
+from pathlib import Path
+
+from gaugeframe.operators.reshape import mean_cells, pivot_wide, wide_keys
+from gaugeframe.sinks.csv import write_long_csv, write_wide_csv
+
+LONG = "COUNTRY string, YEAR int, IndicatorCode string, NumericValue double"
+
+
+def parts(path):
+    return [p.read_text() for p in sorted(Path(path).glob("part-*"))]
+
+
+def test_long_csv(spark, tmp_path):
+    long = spark.createDataFrame(
+        [("AFG", 2000, "A", 1e7), ('B "q", x', 2001, "A", None), (None, 2002, "C", 0.1), (" pad ", 2003, "", 2.0)], LONG
+    )
+    write_long_csv(long.coalesce(1), str(tmp_path / "out"))
+    assert parts(tmp_path / "out") == [
+        "COUNTRY,YEAR,IndicatorCode,NumericValue\n"
+        'AFG,2000,A,10000000.0\n"B ""q"", x",2001,A,\n,2002,C,0.1\n pad ,2003,,2.0\n'
+    ]
+
+
+def test_long_csv_by_topic(spark, tmp_path):
+    long = spark.createDataFrame([("t1", "AFG", 1.0), ("t2", "ALB", 2.0)], "topic string, ENTITY string, NumericValue double")
+    write_long_csv(long, str(tmp_path / "out"), by_topic=True)
+    assert "".join(parts(tmp_path / "out" / "topic=t2")) == "ENTITY,NumericValue\nALB,2.0\n"
+
+
+def test_wide_csv_parts_form_the_file(spark, tmp_path):
+    long = spark.createDataFrame(
+        [(f"E{i:03}", 2000 + i % 3, "A,1" if i % 2 else "B", i / 3) for i in range(200)] + [('x "y", z', 2000, "B", 1e8)], LONG
+    )
+    cells = mean_cells(long)
+    keys = wide_keys(cells)
+    write_wide_csv(pivot_wide(cells, keys=keys), keys, str(tmp_path / "out"))
+    lines = list(csv.reader(io.StringIO("".join(parts(tmp_path / "out")))))
+    assert lines[0] == ["IndicatorCode", "A,1", "A,1", "A,1", "B", "B", "B"]
+    assert lines[1] == ["YEAR", "2000", "2001", "2002", "2000", "2001", "2002"]
+    assert lines[2] == ["COUNTRY"] + [""] * 6
+    assert [r[0] for r in lines[3:]] == [f"E{i:03}" for i in range(200)] + ['x "y", z']
+    assert lines[-1][1:] == ["", "", "", "100000000.0", "", ""]
+    assert lines[3 + 7][1:] == ["", repr(7 / 3), "", "", "", ""]

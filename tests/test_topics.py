@@ -1,0 +1,96 @@
+import pytest
+from pyspark.errors import PySparkException
+
+from gaugeframe.plans.topics import (
+    ENTITY,
+    TOPICS,
+    Topic,
+    all_topics_cells,
+    all_topics_long,
+    run_topic,
+    topic_named,
+    topic_wide,
+)
+from gaugeframe.schemas import CATALOG, OBSERVATION
+
+
+@pytest.fixture
+def catalog(spark):
+    return spark.createDataFrame(
+        [("H1", "HIV deaths"), ("H1", "Deaths from HIV"), ("M1", "Malaria cases"), ("X1", "Glass of HIV"), ("N1", None)], CATALOG
+    )
+
+
+@pytest.fixture
+def facts(spark):
+    return spark.createDataFrame(
+        [
+            ("AFG", "2000", "H1", 1.0),
+            ("AFG", "2000", "H1", 2.0),
+            ("ALB", "2001", "H1", None),
+            (None, "2001", "H1", 4.0),
+            ("AFG", "2000", "X1", 5.0),
+            (None, "2000", "X1", 6.0),
+            ("AFG", "2000", "M1", float("nan")),
+            ("AFG", "2000", "N1", 9.0),
+        ],
+        OBSERVATION,
+    )
+
+
+CHOSEN = (topic_named("hiv"), topic_named("malaria"), topic_named("antimicrobial_resistance"))
+
+
+def test_there_are_29_topics():
+    assert len({t.name for t in TOPICS}) == len(TOPICS) == 29
+    assert [t.name for t in TOPICS if t.null_policy == "value"] == ["antimicrobial_resistance"]
+    assert sum(t.entity == "COUNTRY/REGION" for t in TOPICS) == 4
+    assert sum(t.entity == "REGION" for t in TOPICS) == 1
+    assert sum(len(t.patterns) == 1 for t in TOPICS) == 16
+    assert [len(topic_named(n).patterns) for n in ("health_statistics", "dementia_observatory", "life_expectancy")] == [67, 44, 14]
+    with pytest.raises(KeyError):
+        topic_named("astrology")
+
+
+def test_one_topic(catalog, facts, rows):
+    tables = run_topic(catalog, facts, topic_named("hiv"))
+    twice = [("AFG", 2000, "H1", 1.0), ("AFG", 2000, "H1", 2.0), ("ALB", 2001, "H1", None)] * 2
+    assert rows(tables.long, "COUNTRY", "YEAR", "IndicatorCode", "NumericValue") == sorted(
+        twice + [("AFG", 2000, "X1", 5.0)], key=lambda r: [(v is not None, v) for v in r]
+    )
+    assert rows(tables.cells) == [("AFG", "H1", 2000, 1.5), ("AFG", "X1", 2000, 5.0)]
+    assert tables.wide.columns == ["COUNTRY", "H1|2000", "X1|2000"]
+    assert rows(tables.wide) == [("AFG", 1.5, 5.0)]
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_all_topics_equal_the_single_ones(catalog, facts, rows, limit):
+    long = all_topics_long(catalog, facts, CHOSEN, broadcast_bytes=limit, hot_share=0.3)
+    cells = all_topics_cells(catalog, facts, CHOSEN, broadcast_bytes=limit, hot_share=0.3)
+    for topic in CHOSEN:
+        keys = [("H1", 2000), ("X1", 2000), ("M1", 2000)]
+        single = run_topic(catalog, facts, topic, keys=keys)
+        own = long.filter(long.topic == topic.name)
+        assert rows(own, ENTITY, "YEAR", "IndicatorCode", "NumericValue") == rows(
+            single.long, topic.entity, "YEAR", "IndicatorCode", "NumericValue"
+        )
+        own = cells.filter(cells.topic == topic.name)
+        assert rows(own, ENTITY, "IndicatorCode", "YEAR", "NumericValue") == rows(single.cells)
+        assert rows(topic_wide(cells, topic, keys)) == rows(single.wide)
+        assert topic_wide(cells, topic, keys).columns == single.wide.columns
+
+
+def test_codes_once_on_request(catalog, facts):
+    assert all_topics_long(catalog, facts, CHOSEN[:1], dedupe=True).count() == 4
+    assert run_topic(catalog, facts, CHOSEN[0], dedupe=True).long.count() == 4
+
+
+def test_value_policy_refuses_a_missing_year_among_many_topics(spark, catalog):
+    facts = spark.createDataFrame([("AFG", None, "X1", 5.0)], OBSERVATION)
+    assert all_topics_long(catalog, facts, [topic_named("hiv")]).count() == 0
+    with pytest.raises(PySparkException, match="without a year"):
+        all_topics_long(catalog, facts, [topic_named("antimicrobial_resistance")]).collect()
+
+
+def test_topic_name_is_the_default_term():
+    assert Topic("patient_safety").patterns == ("patient safety",)
