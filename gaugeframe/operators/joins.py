@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_SHARE = 0.002
+SKETCH_GROUPS = 256
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -22,19 +23,24 @@ def measured_bytes(df: DataFrame) -> int:
 def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[Any]:
     """Keys that hold more than ``share`` of the rows: at most ``1/share`` of them.
 
-    A mergeable sketch finds them in one pass over the key column without a
-    shuffle of keys.  It is approximate, which may cost speed but no rows: any
-    list of keys gives the same join result.
+    Sketches of bounded size find them in one pass over the key column, without a
+    shuffle of keys; they are merged in two steps, so that no task receives the
+    sketches of all others.  The counts are approximate, which may cost speed but
+    no rows: any list of keys gives the same join result.
     """
     most = int(1 / share)
-    sketch = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {most}, {max(10_000, 4 * most)})").alias("top"),
-        F.count("*").alias("total"),
+    tracked = max(4096, 4 * most)
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    partial = df.filter(F.col(key).isNotNull()).groupBy(group.alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"), F.count("*").alias("n")
     )
-    found = sketch.select(F.explode("top").alias("t"), "total").filter(
-        F.col("t.count") > F.col("total") * share
+    whole = partial.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {most})").alias("top"),
+        F.sum("n").alias("total"),
     )
-    return [r["item"] for r in found.select("t.item").collect()]
+    found = whole.select(F.explode("top").alias("t"), "total")
+    hot = found.filter(F.col("t.count") > F.col("total") * share).select("t.item")
+    return [r["item"] for r in hot.collect()]
 
 
 def join_on_key(

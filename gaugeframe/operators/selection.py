@@ -51,6 +51,7 @@ def with_ordinal(df: DataFrame, order: Sequence[Column], name: str = "ordinal")
     The rows are range-sorted and stored once, so that both passes see the same
     partitions.  A row's number is its place within its partition plus the size
     of all partitions before it; the table of sizes has one row per partition.
+    The order should tell the rows apart: rows that tie stay in one partition.
     """
     stored = cut_lineage(df.orderBy(*order))
     part = F.spark_partition_id()

@@ -23,17 +23,15 @@ CSV_FORMAT = {
 }
 
 
-def write_long_csv(long: DataFrame, path: str, by_topic: bool = False) -> None:
+def write_long_csv(long: DataFrame, path: str) -> None:
     """Long table as a folder of CSV parts, each with a header line.
 
-    With ``by_topic`` one folder per topic is written; the rebalancing shuffle
-    splits a large topic over several files and packs small ones.
+    The rows of a selection come from all tasks of a much larger scan; the
+    rebalancing shuffle packs them into files of the advisory size and splits an
+    indicator that exceeds it.
     """
-    rows = long.withColumn(VALUE, float_text(F.col(VALUE)))
-    writer = rows.write
-    if by_topic:
-        writer = rows.hint("rebalance", "topic").write.partitionBy("topic")
-    writer.mode("overwrite").options(header=True, **CSV_FORMAT).csv(path)
+    rows = long.withColumn(VALUE, float_text(F.col(VALUE))).hint("rebalance", CODE)
+    rows.write.mode("overwrite").options(header=True, **CSV_FORMAT).csv(path)
 
 
 def wide_csv_lines(

@@ -12,11 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.schemas import CATALOG, CODE, NEXT_LINK, OBSERVATION, ROWS, page_schema
+from gaugeframe.schemas import CATALOG, CODE, LANDED, NEXT_LINK, OBSERVATION, ROWS, page_schema
 
 OnError = Literal["skip", "fail"]
 
 
+def read_landed(spark: SparkSession, path: str | list[str], file_format: str = "json") -> DataFrame:
+    """The landing table: one row per stored response (JSON lines or parquet)."""
+    return spark.read.format(file_format).schema(LANDED).load(path)
+
+
 def read_page_files(
     spark: SparkSession,
     path: str | list[str],

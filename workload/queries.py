@@ -22,6 +22,7 @@ from gaugeframe.operators.reshape import (
     unpivot_wide,
 )
 from gaugeframe.operators.selection import number_selection, select_by_topic, select_indicators, with_ordinal
+from gaugeframe.plans.export import export_topics
 from gaugeframe.plans.topics import TOPICS, all_topics_cells, all_topics_long, run_topic, topic_named, topic_wide
 from gaugeframe.schemas import CATALOG, CODE, NAME, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.sinks.csv import CSV_FORMAT, wide_csv_lines, write_long_csv, write_wide_csv
@@ -373,6 +374,20 @@ def all_topics_means_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_topics_cells(t.topical_catalog(spark, sf_dir), rows, TOPICS, scale=2, broadcast_bytes=0)
 
 
+def exported_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long and wide CSV of several topics, written from one scan and read back."""
+    parts = t.table(spark, sf_dir, "part").select(F.col("p_type").alias(CODE), F.col("p_type").alias(NAME))
+    path = scratch_path(spark, "export")
+    export_topics(parts, t.typed_observations(spark, sf_dir), path, t.TYPE_TOPICS, scale=2)
+    lines = []
+    for topic in t.TYPE_TOPICS[:2]:
+        for kind in ("long", "wide"):
+            text = spark.read.text(f"{path}/{topic.name}/{kind}").withColumnRenamed("value", "line")
+            lines.append(text.select(F.lit(topic.name).alias("topic"), F.lit(kind).alias("kind"), "line"))
+    header = ",".join((t.TYPE_TOPICS[0].entity, YEAR, CODE, VALUE))
+    return union_all(lines).filter(F.col("line") != header)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -428,5 +443,6 @@ QUERIES: dict[str, Query] = {
         all_topics_rows_shuffled,
         all_topics_means,
         all_topics_means_shuffled,
+        exported_topics,
     )
 }

@@ -154,6 +154,20 @@ def _plain(entity: str, year: str) -> str:
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
 
 
+def _exported(topic: str, codes: tuple[str, ...]) -> str:
+    keys = [k for k in t.WIDE_KEYS if k[0] in codes]
+    wide_line = " || ".join(f"',' || coalesce(CAST(\"{c}|{y}\" AS VARCHAR), '')" for c, y in keys)
+    listed = ", ".join(text(c) for c in codes)
+    return f"""
+SELECT {text(topic)} AS topic, 'long' AS kind,
+       SpatialDim || ',' || TimeDim || ',' || IndicatorCode || ',' || coalesce(CAST(NumericValue AS VARCHAR), '') AS line
+FROM obs WHERE {KEYS_PRESENT} AND IndicatorCode IN ({listed})
+UNION ALL SELECT {text(topic)}, 'wide', {text("IndicatorCode," + ",".join(c for c, _ in keys))}
+UNION ALL SELECT {text(topic)}, 'wide', {text("YEAR," + ",".join(str(y) for _, y in keys))}
+UNION ALL SELECT {text(topic)}, 'wide', {text("COUNTRY" + "," * len(keys))}
+UNION ALL SELECT {text(topic)}, 'wide', "COUNTRY" || {wide_line} FROM ({wide(keys)})"""
+
+
 SIZE_KEYS = [k for k in t.WIDE_KEYS if k[0] in ("LARGE", "MEDIUM", "SMALL")]
 PRICE_KEYS = [k for k in t.WIDE_KEYS if k[0] in ("ECONOMY", "PROMO")]
 
@@ -258,4 +272,6 @@ SELECT topic, IndicatorCode FROM ({topics(BUILT_IN | t.TEXT_TOPICS, "texts", "te
     "all_topics_rows_shuffled": TOPIC_ROWS,
     "all_topics_means": _topic_means(OBS),
     "all_topics_means_shuffled": _topic_means(OBS_SKEWED),
+    "exported_topics": f"""WITH {OBS_TYPED} {_exported("size", ("MEDIUM", "SMALL"))}
+UNION ALL {_exported("price", ("ECONOMY", "PROMO"))}""",
 }

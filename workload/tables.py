@@ -26,6 +26,7 @@ PART_TOPICS = (
     Topic("gizmo", ("gizmo",)),
     Topic("nothing", ("no such part",)),
 )
+TYPE_TOPICS = (Topic("size", ("SMALL", "medium")), Topic("price", ("economy", "promo")), Topic("other", ("no such",)))
 TOPIC_TERMS = tuple(term for topic in TOPICS for term in topic.patterns)
 TEXT_TOPICS = {"stems": ("tion there", "wash"), "accents": ("ÉTION", "öre"), "articles": ("que la", "und (der|die)")}
 
