@@ -28,7 +28,9 @@ def terms_pattern(terms: Sequence[str], literal: bool = False) -> str:
 def matches_any(name: Column, terms: Sequence[str], literal: bool = False) -> Column:
     """True where a term occurs in ``name``; a null name is False, not unknown."""
     test = _test(name, terms, literal)
-    return F.coalesce(F.exists(F.array(_folded(name)), test), F.lit(False))
+    # The lambda folds the name once for all terms; a single term needs none.
+    hit = test(_folded(name)) if len(terms) == 1 else F.exists(F.array(_folded(name)), test)
+    return F.coalesce(hit, F.lit(False))
 
 
 def matching_topics(name: Column, patterns: Mapping[str, Sequence[str]]) -> Column:

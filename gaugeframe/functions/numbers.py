@@ -18,11 +18,12 @@ def mean_of(value: Column, scale: int | None = None) -> Column:
     A sum of doubles depends on the order of the rows, so it may differ in the
     last digits between two runs.  With ``scale`` the values are summed as whole
     multiples of ``10**-scale``; the mean is then the same in every run.  Use it
-    for measurements with a known number of decimals.
+    for measurements with a known number of decimals; sums beyond the range of a
+    long are reported as an error.
     """
     if scale is None:
         return F.avg(value)
-    units = F.round(value * F.lit(float(10**scale))).cast(T.LongType())
+    units = F.rint(value * F.lit(float(10**scale))).cast(T.LongType())
     return F.sum(units).cast("double") / F.lit(float(10**scale)) / F.count(value)
 
 

@@ -36,8 +36,13 @@ def observations_for(
         return observations.join(F.broadcast(codes), CODE)
     copies = codes.groupBy(CODE).agg(F.count("*").alias("copies"))
     joined = join_on_key(observations, copies, CODE, hot_share=hot_share, small=False)
-    repeated = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return repeated.drop("copies", "copy")
+    return repeat_rows(joined, "copies")
+
+
+def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as its column ``copies`` says, at least once; drops that column."""
+    times = F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col(copies)))
+    return df.withColumn("copy", times).drop(copies, "copy")
 
 
 def indicators_without_data(

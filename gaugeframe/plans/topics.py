@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.numbers import whole_year
-from gaugeframe.operators.facts import observations_for
+from gaugeframe.operators.facts import observations_for, repeat_rows
 from gaugeframe.operators.joins import BROADCAST_BYTES, HOT_SHARE, join_on_key, measured_bytes
 from gaugeframe.operators.reshape import (
     MAX_COLUMNS,
@@ -412,9 +412,8 @@ def all_topics_long(
     spread = joined.withColumn("t", F.explode("topics")).select(
         "t.topic", "t.copies", ENTITY, YEAR, CODE, VALUE
     )
-    kept = _kept_by_policy(spread, topics)
-    repeated = kept.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return repeated.select("topic", ENTITY, whole_year(F.col(YEAR)).alias(YEAR), CODE, VALUE)
+    kept = repeat_rows(_kept_by_policy(spread, topics), "copies")
+    return kept.select("topic", ENTITY, whole_year(F.col(YEAR)).alias(YEAR), CODE, VALUE)
 
 
 def all_topics_cells(
