@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from gaugeframe.plans.export import export_topics
-from gaugeframe.plans.topics import TOPICS, topic_named
+from gaugeframe.plans.topics import TOPICS, landed_for_topics, topic_named
 from gaugeframe.sources.landing import read_landed, scan_catalog, scan_observations
 
 
@@ -18,12 +18,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True, help="folder for the CSV files")
     parser.add_argument("--topic", action="append", default=[], help="topic name; all topics if left out")
     parser.add_argument("--format", default="json", choices=["json", "parquet"], help="format of the landing tables")
-    parser.add_argument("--on-error", default="skip", choices=["skip", "fail"], help="failed responses")
+    parser.add_argument(
+        "--on-error",
+        choices=["skip", "fail"],
+        help="failed responses of selected indicators; if left out, fail where all chosen topics ask for it",
+    )
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("gaugeframe").getOrCreate()
     topics = [topic_named(name) for name in args.topic] or TOPICS
-    catalog = scan_catalog(read_landed(spark, args.catalog, args.format), args.on_error)
-    facts = scan_observations(read_landed(spark, args.observations, args.format), args.on_error)
+    on_error = args.on_error or ("fail" if all(t.on_error == "fail" for t in topics) else "skip")
+    catalog = scan_catalog(read_landed(spark, args.catalog, args.format), on_error)
+    pages = landed_for_topics(catalog, read_landed(spark, args.observations, args.format), topics)
+    facts = scan_observations(pages, on_error)
     lacking = export_topics(catalog, facts, args.output, topics)
     print(f"exported {len(topics) - len(lacking)} topics to {args.output}; without data: {lacking}")
 

@@ -27,6 +27,17 @@ def mean_of(value: Column, scale: int | None = None) -> Column:
     return F.sum(units).cast("double") / F.lit(float(10**scale)) / F.count(value)
 
 
+def data_error(*message: Column | str) -> Column:
+    """Error that stops the job, naming the partition it was found in.
+
+    The partition number makes the expression non-deterministic.  The optimizer
+    therefore leaves the check where it was written, and does not move it below a
+    join, where it would meet rows that the join leaves out.
+    """
+    parts = [F.lit(m) if isinstance(m, str) else m.cast("string") for m in message]
+    return F.raise_error(F.concat_ws("", *parts, F.lit(" (partition "), F.spark_partition_id(), F.lit(")")))
+
+
 def whole_year(column: Column, lenient: bool = False) -> Column:
     """Year as int: fractions are cut off, text that is not a whole number is an error.
 
@@ -35,8 +46,8 @@ def whole_year(column: Column, lenient: bool = False) -> Column:
     year = column.try_cast("int")
     if lenient:
         return year
-    problem = F.raise_error(F.concat(F.lit("not a year: "), column.cast("string")))
-    return F.when(year.isNull() & column.isNotNull(), problem.cast("int")).otherwise(year)
+    unreadable = year.isNull() & column.isNotNull()
+    return F.when(unreadable, data_error("not a year: ", column).cast("int")).otherwise(year)
 
 
 def float_text(column: Column) -> Column:

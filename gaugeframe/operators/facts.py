@@ -22,20 +22,23 @@ def observations_for(
     dedupe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
+    key: str = CODE,
 ) -> DataFrame:
     """Observations of the selected codes, in one scan.
 
     A code selected under two names is collected twice, as by one request per
-    selected row; ``dedupe=True`` takes every code once.
+    selected row; ``dedupe=True`` takes every code once.  ``key`` names the code
+    column of the observations; landed pages (``key="code"``) can be chosen in
+    the same way before their bodies are parsed.
     """
-    codes = selection.select(CODE)
+    codes = selection.select(F.col(CODE).alias(key))
     if dedupe:
         lookup = codes.distinct()
-        return join_on_key(observations, lookup, CODE, "left_semi", broadcast_bytes, hot_share)
+        return join_on_key(observations, lookup, key, "left_semi", broadcast_bytes, hot_share)
     if measured_bytes(codes) <= broadcast_bytes:
-        return observations.join(F.broadcast(codes), CODE)
-    copies = codes.groupBy(CODE).agg(F.count("*").alias("copies"))
-    joined = join_on_key(observations, copies, CODE, hot_share=hot_share, small=False)
+        return observations.join(F.broadcast(codes), key)
+    copies = codes.groupBy(key).agg(F.count("*").alias("copies"))
+    joined = join_on_key(observations, copies, key, hot_share=hot_share, small=False)
     return repeat_rows(joined, "copies")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.numbers import mean_of, nan_to_null, whole_year
+from gaugeframe.functions.numbers import data_error, mean_of, nan_to_null, whole_year
 from gaugeframe.operators.selection import with_ordinal
 from gaugeframe.schemas import CODE, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.storage import cut_lineage
@@ -63,8 +63,8 @@ def drop_missing(renamed: DataFrame, entity: str, null_policy: NullPolicy) -> Da
     if null_policy != "value":
         raise ValueError(f"unknown null policy {null_policy!r}")
     kept = renamed.dropna(subset=[VALUE])
-    problem = F.raise_error(F.lit("observation with a value but without a year"))
-    return kept.filter(F.when(F.col(YEAR).isNotNull(), True).otherwise(problem.cast("boolean")))
+    problem = data_error("observation with a value but without a year").cast(kept.schema[YEAR].dataType)
+    return kept.withColumn(YEAR, F.coalesce(F.col(YEAR), problem))
 
 
 def clean_long(

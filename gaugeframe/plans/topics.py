@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.numbers import whole_year
+from gaugeframe.functions.numbers import data_error, whole_year
 from gaugeframe.operators.facts import observations_for, repeat_rows
 from gaugeframe.operators.joins import BROADCAST_BYTES, HOT_SHARE, join_on_key, measured_bytes
 from gaugeframe.operators.reshape import (
@@ -24,7 +24,7 @@ from gaugeframe.operators.reshape import (
 )
 from gaugeframe.operators.selection import select_by_topic, select_indicators
 from gaugeframe.schemas import CODE, VALUE, YEAR
-from gaugeframe.sources.landing import OnError
+from gaugeframe.sources.landing import OnError, scan_catalog, scan_observations
 from gaugeframe.storage import cut_lineage
 
 ENTITY = "ENTITY"
@@ -366,6 +366,34 @@ def run_topic(
     return TopicTables(long, cells, pivot_wide(cells, topic.entity, keys, max_columns))
 
 
+def run_landed_topic(
+    landed_catalog: DataFrame,
+    landed_observations: DataFrame,
+    topic: Topic,
+    keys: Sequence[tuple[str, int]] | None = None,
+    scale: int | None = None,
+    catalog_on_error: OnError = "fail",
+    max_columns: int = MAX_COLUMNS,
+) -> TopicTables:
+    """As ``run_topic``, from landed pages.
+
+    Only pages of selected codes are parsed, and only these can fail the run.
+    """
+    selection = select_indicators(scan_catalog(landed_catalog, catalog_on_error), topic.patterns)
+    pages = observations_for(landed_observations, selection, key="code")
+    long = clean_long(scan_observations(pages, topic.on_error), topic.entity, topic.null_policy)
+    cells = mean_cells(long, topic.entity, scale)
+    return TopicTables(long, cells, pivot_wide(cells, topic.entity, keys, max_columns))
+
+
+def landed_for_topics(
+    catalog: DataFrame, landed_observations: DataFrame, topics: Sequence[Topic] = TOPICS
+) -> DataFrame:
+    """The landed pages of all codes that some topic selects, before any body is parsed."""
+    terms = [term for topic in topics for term in topic.patterns]
+    return observations_for(landed_observations, select_indicators(catalog, terms), dedupe=True, key="code")
+
+
 def _topics_per_code(catalog: DataFrame, topics: Sequence[Topic], dedupe: bool) -> DataFrame:
     """Per code the topics that select it and under how many names.
 
@@ -386,7 +414,7 @@ def _kept_by_policy(rows: DataFrame, topics: Sequence[Topic]) -> DataFrame:
     by_value = [t.name for t in topics if t.null_policy == "value"]
     by_keys = [t.name for t in topics if t.null_policy == "keys"]
     has_keys = F.col(ENTITY).isNotNull() & F.col(YEAR).isNotNull() & F.col(CODE).isNotNull()
-    problem = F.raise_error(F.lit("observation with a value but without a year")).cast("boolean")
+    problem = data_error("observation with a value but without a year").cast("boolean")
     has_value = F.when(F.col(VALUE).isNull(), False).when(F.col(YEAR).isNull(), problem).otherwise(True)
     return rows.filter(
         F.when(F.col("topic").isin(by_keys), has_keys).when(F.col("topic").isin(by_value), has_value)

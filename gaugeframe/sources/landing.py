@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeframe.functions.numbers import data_error
 from gaugeframe.schemas import CATALOG, CODE, LANDED, NEXT_LINK, OBSERVATION, ROWS, page_schema
 
 OnError = Literal["skip", "fail"]
@@ -44,16 +45,11 @@ def keep_ok(landed: DataFrame) -> DataFrame:
 
 
 def fail_on_error(landed: DataFrame) -> DataFrame:
-    """Stop the job at the first failed response, naming its address."""
-    problem = F.raise_error(
-        F.concat(
-            F.lit("response "),
-            F.coalesce(F.col("status").cast("string"), F.lit("without status")),
-            F.lit(" for "),
-            F.coalesce(F.col("url"), F.lit("unknown address")),
-        )
-    )
-    return landed.filter(F.when(F.col("status") == 200, True).otherwise(problem.cast("boolean")))
+    """Stop the job at the first failed response whose body is read, naming its address."""
+    status = F.coalesce(F.col("status").cast("string"), F.lit("without status"))
+    problem = data_error("response ", status, " for ", F.coalesce(F.col("url"), F.lit("unknown address")))
+    good = F.col("status") == 200
+    return landed.withColumn("body", F.when(good, F.col("body")).otherwise(problem.cast("string")))
 
 
 def decode_pages(landed: DataFrame, row: T.StructType, on_error: OnError = "skip") -> DataFrame:

@@ -59,7 +59,7 @@ def test_failed_responses_are_skipped_or_stop_the_job(spark, rows):
     with pytest.raises(PySparkException, match="response (404 for bad|without status for none)"):
         scan_observations(pages, on_error="fail").collect()
     with pytest.raises(PySparkException):
-        fail_on_error(pages).count()
+        fail_on_error(pages).select("body").collect()
 
 
 def test_malformed_bodies(spark):

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -7,11 +9,14 @@ from gaugeframe.plans.topics import (
     Topic,
     all_topics_cells,
     all_topics_long,
+    landed_for_topics,
+    run_landed_topic,
     run_topic,
     topic_named,
     topic_wide,
 )
-from gaugeframe.schemas import CATALOG, OBSERVATION
+from gaugeframe.schemas import CATALOG, LANDED, OBSERVATION
+from gaugeframe.sources.landing import scan_catalog
 
 
 @pytest.fixture
@@ -94,3 +99,39 @@ def test_value_policy_refuses_a_missing_year_among_many_topics(spark, catalog):
 
 def test_topic_name_is_the_default_term():
     assert Topic("patient_safety").patterns == ("patient safety",)
+
+
+def test_only_pages_of_selected_codes_are_parsed_or_can_fail(spark, rows):
+    def body(**row):
+        return json.dumps({"value": [row]})
+
+    landed_catalog = spark.createDataFrame(
+        [("c1", None, 200, body(IndicatorCode="A1", IndicatorName="Alcohol use")), ("c2", None, 200, body(IndicatorCode="M1", IndicatorName="malaria"))],
+        LANDED,
+    )
+    good = ("u1", "A1", 200, body(SpatialDim="AFG", TimeDim=2000, NumericValue=2.5))
+    other = ("u2", "M1", 503, "busy")
+    failed = ("u3", "A1", 404, "not found")
+    alcohol = topic_named("alcohol")
+    tables = run_landed_topic(landed_catalog, spark.createDataFrame([good, other], LANDED), alcohol)
+    assert rows(tables.long, "COUNTRY", "YEAR", "IndicatorCode", "NumericValue") == [("AFG", 2000, "A1", 2.5)]
+    broken = spark.createDataFrame([good, failed], LANDED)
+    with pytest.raises(PySparkException, match="response 404 for u3"):
+        run_landed_topic(landed_catalog, broken, alcohol, keys=[("A1", 2000)]).long.collect()
+    assert rows(landed_for_topics(scan_catalog(landed_catalog), broken, [alcohol]), "url") == [("u1",), ("u3",)]
+    assert rows(landed_for_topics(scan_catalog(landed_catalog), broken, [topic_named("malaria")]), "url") == []
+
+
+def test_bad_years_of_indicators_that_are_not_selected_do_no_harm(spark, catalog):
+    facts = spark.createDataFrame(
+        [("AFG", "2000", "H1", 1.0), ("AFG", "2000-2005", "M1", 2.0), ("AFG", None, "M1", 3.0)], OBSERVATION
+    )
+    hiv, by_value = topic_named("hiv"), Topic("hiv", null_policy="value")
+    for topic in (hiv, by_value):
+        tables = run_topic(catalog, facts, topic)
+        assert [r["YEAR"] for r in tables.cells.collect()] == [2000]
+        assert tables.long.filter("YEAR > 1999").count() == 2
+        assert all_topics_long(catalog, facts, [topic]).filter("YEAR > 1999").count() == 2
+        assert all_topics_cells(catalog, facts, [topic]).count() == 1
+    with pytest.raises(PySparkException, match="not a year: 2000-2005"):
+        run_topic(catalog, facts, topic_named("malaria"))

@@ -23,7 +23,15 @@ from gaugeframe.operators.reshape import (
 )
 from gaugeframe.operators.selection import number_selection, select_by_topic, select_indicators, with_ordinal
 from gaugeframe.plans.export import export_topics
-from gaugeframe.plans.topics import TOPICS, all_topics_cells, all_topics_long, run_topic, topic_named, topic_wide
+from gaugeframe.plans.topics import (
+    TOPICS,
+    all_topics_cells,
+    all_topics_long,
+    run_landed_topic,
+    run_topic,
+    topic_named,
+    topic_wide,
+)
 from gaugeframe.schemas import CATALOG, CODE, NAME, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.sinks.csv import CSV_FORMAT, wide_csv_lines, write_long_csv, write_wide_csv
 from gaugeframe.sources.landing import (
@@ -86,7 +94,7 @@ def failed_pages_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failed_pages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only good pages here, so the check lets all of them pass."""
     good = t.landed_observations(spark, sf_dir)
-    return fail_on_error(good).groupBy("code").agg(F.count("*").alias("pages"))
+    return fail_on_error(good).groupBy("code").agg(F.count("body").alias("pages"))
 
 
 # Filters, projections, scalar functions
@@ -333,6 +341,13 @@ def topic_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_topic(parts, t.typed_observations(spark, sf_dir), topic, keys=keys, scale=2).wide
 
 
+def topic_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic from landed pages; only pages of selected codes are parsed."""
+    topic = t.Topic("segments", ("BUILD", "chin(e)"))
+    landed = t.landed_customers(spark, sf_dir), t.landed_orders(spark, sf_dir)
+    return run_landed_topic(*landed, topic, keys=[("1", 1995)]).long
+
+
 def topic_wide_from_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide table of one topic out of the means of many."""
     parts = t.table(spark, sf_dir, "part").select(F.col("p_type").alias(CODE), F.col("p_type").alias(NAME))
@@ -436,6 +451,7 @@ QUERIES: dict[str, Query] = {
         wide_csv_order,
         topic_long,
         topic_wide_table,
+        topic_from_pages,
         topic_wide_from_all,
         all_topics_selection,
         all_topics_documents,

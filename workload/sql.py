@@ -264,6 +264,11 @@ FROM lineitem GROUP BY 1, 2""",
 SELECT row_number() OVER (ORDER BY section, entity) - 1 AS ordinal, split_part(line, ',', 1) AS first_field FROM lines""",
     "topic_long": f"""WITH {CATALOG}, {selection(PART_TOPICS["heat"])}, {OBS} {SELECTED}""",
     "topic_wide_table": f"""WITH {OBS_TYPED} {wide(SIZE_KEYS, '"COUNTRY/REGION"')}""",
+    "topic_from_pages": """
+SELECT o_orderpriority AS "COUNTRY", CAST(year(o_orderdate) AS INTEGER) AS "YEAR",
+       CAST(o_custkey AS VARCHAR) AS IndicatorCode, o_totalprice AS NumericValue
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE o_orderstatus NOT IN ('F', 'P') AND c_mktsegment IN ('BUILDING', 'MACHINERY')""",
     "topic_wide_from_all": f"""WITH {OBS_TYPED} {wide(PRICE_KEYS, '"REGION"')}""",
     "all_topics_selection": f"WITH {TOPICAL} {topics(BUILT_IN, 'topical')}",
     "all_topics_documents": f"""WITH texts AS (SELECT CAST(doc_id AS VARCHAR) AS IndicatorCode, text FROM documents)

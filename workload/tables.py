@@ -172,6 +172,17 @@ def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as landed catalogue pages, named by their market segment."""
+    entry = F.struct(_text("c_custkey").alias(CODE), F.col("c_mktsegment").alias(NAME))
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("customers/"), _text("c_custkey")).alias("url"),
+        F.lit(None).cast("string").alias("code"),
+        F.lit(200).alias("status"),
+        F.to_json(F.struct(F.array(entry).alias("value"))).alias("body"),
+    )
+
+
 def order_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders that have not failed as pages, each naming the next order as next page."""
     pages = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "F")
