@@ -4,37 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.operators.facts import NoDataError, ensure_not_empty
-from gaugeframe.operators.reshape import MAX_COLUMNS, mean_cells, pivot_wide, wide_keys
-from gaugeframe.plans.topics import ENTITY, TOPICS, Topic, all_topics_long
+from gaugeframe.operators.reshape import TooManyColumnsError, clean_long, mean_cells
+from gaugeframe.plans.topics import TOPICS, Topic, all_topics_rows
 from gaugeframe.sinks.csv import write_long_csv, write_wide_csv
-from gaugeframe.storage import cut_lineage, scratch_path
+from gaugeframe.storage import scratch_path
 
 
-def export_tables(
-    long: DataFrame, entity: str, path: str, scale: int | None = None, max_columns: int = MAX_COLUMNS
-) -> None:
+class TopicErrors(RuntimeError):
+    """Topics that could not be exported, with the reason of each."""
+
+    def __init__(self, problems: dict[str, Exception]):
+        super().__init__("; ".join(f"{name}: {str(error).splitlines()[0]}" for name, error in problems.items()))
+        self.problems = problems
+
+
+def export_tables(long: DataFrame, entity: str, path: str, scale: int | None = None) -> None:
     """Write ``path/long`` and ``path/wide`` from a stored long table.
 
     A table without any value, and so without wide columns, has no wide file.
     """
     write_long_csv(long, f"{path}/long")
-    cells = cut_lineage(mean_cells(long, entity, scale))
-    keys = wide_keys(cells, max_columns)
-    if keys:
-        write_wide_csv(pivot_wide(cells, entity, keys), keys, f"{path}/wide", entity)
+    write_wide_csv(mean_cells(long, entity, scale), f"{path}/wide", entity)
 
 
-def store_topics(long: DataFrame, path: str) -> None:
-    """Store long tables of many topics, one folder per topic.
+def store_topics(rows: DataFrame, path: str) -> None:
+    """Store rows of many topics, one folder per topic.
 
     The rebalancing shuffle splits a large topic over several files and packs
     small ones.
     """
-    long.hint("rebalance", "topic").write.mode("overwrite").partitionBy("topic").parquet(path)
+    rows.hint("rebalance", "topic").write.mode("overwrite").partitionBy("topic").parquet(path)
 
 
 def export_topics(
@@ -44,29 +48,32 @@ def export_topics(
     topics: Sequence[Topic] = TOPICS,
     dedupe: bool = False,
     scale: int | None = None,
-    max_columns: int = MAX_COLUMNS,
 ) -> list[str]:
     """Write ``path/<topic>/long`` and ``.../wide`` for every topic that has data.
 
     The observations are scanned once; their selected rows are stored below
-    ``spark.checkpoint.dir``, and each topic is finished from its own folder.
-    Returns the topics without data; if no topic has any, that is an error.
+    ``spark.checkpoint.dir``, and each topic is cleaned and finished from its own
+    folder.  Bad data of one topic do not keep the others from being exported;
+    they are raised as ``TopicErrors`` in the end.  Returns the topics without
+    data; if no topic has any, that is an error.
     """
     spark = catalog.sparkSession
     stored_path = scratch_path(spark, "topics")
-    rows = all_topics_long(catalog, observations, topics, dedupe)
+    rows = all_topics_rows(catalog, observations, topics, dedupe)
     store_topics(rows, stored_path)
     stored = spark.read.schema(rows.schema).parquet(stored_path)
-    lacking = []
+    lacking, problems = [], {}
     for topic in topics:
         own = stored.filter(F.col("topic") == topic.name).drop("topic")
         try:
-            ensure_not_empty(own)
+            long = clean_long(ensure_not_empty(own), topic.entity, topic.null_policy)
+            export_tables(long, topic.entity, f"{path}/{topic.name}", scale)
         except NoDataError:
             lacking.append(topic.name)
-            continue
-        own = own.withColumnRenamed(ENTITY, topic.entity)
-        export_tables(own, topic.entity, f"{path}/{topic.name}", scale, max_columns)
+        except (PySparkException, TooManyColumnsError) as error:
+            problems[topic.name] = error
+    if problems:
+        raise TopicErrors(problems)
     if len(lacking) == len(topics):
         raise NoDataError("no observations collected for any topic")
     return lacking

@@ -23,7 +23,7 @@ from gaugeframe.operators.reshape import (
     rename,
 )
 from gaugeframe.operators.selection import select_by_topic, select_indicators
-from gaugeframe.schemas import CODE, VALUE, YEAR
+from gaugeframe.schemas import CODE, NEEDED, VALUE, YEAR
 from gaugeframe.sources.landing import OnError, scan_catalog, scan_observations
 from gaugeframe.storage import cut_lineage
 
@@ -421,7 +421,7 @@ def _kept_by_policy(rows: DataFrame, topics: Sequence[Topic]) -> DataFrame:
     )
 
 
-def all_topics_long(
+def all_topics_rows(
     catalog: DataFrame,
     observations: DataFrame,
     topics: Sequence[Topic] = TOPICS,
@@ -429,18 +429,28 @@ def all_topics_long(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Long tables of all topics, marked by ``topic``, from one scan of the observations.
+    """Raw observations of all topics, marked by ``topic``, from one scan of the observations.
 
     Rows are copied to their topics after the join, so what is read, and
     shuffled if at all, does not grow with the number of topics.
     """
     lookup = _topics_per_code(catalog, topics, dedupe)
-    facts = rename(mark_missing(prune(observations)), ENTITY)
-    joined = join_on_key(facts, lookup, CODE, "inner", broadcast_bytes, hot_share)
-    spread = joined.withColumn("t", F.explode("topics")).select(
-        "t.topic", "t.copies", ENTITY, YEAR, CODE, VALUE
-    )
-    kept = repeat_rows(_kept_by_policy(spread, topics), "copies")
+    joined = join_on_key(prune(observations), lookup, CODE, "inner", broadcast_bytes, hot_share)
+    spread = joined.withColumn("t", F.explode("topics")).select("t.topic", "t.copies", *NEEDED)
+    return repeat_rows(spread, "copies")
+
+
+def all_topics_long(
+    catalog: DataFrame,
+    observations: DataFrame,
+    topics: Sequence[Topic] = TOPICS,
+    dedupe: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    hot_share: float = HOT_SHARE,
+) -> DataFrame:
+    """Long tables of all topics, marked by ``topic``, each under its own null policy."""
+    rows = all_topics_rows(catalog, observations, topics, dedupe, broadcast_bytes, hot_share)
+    kept = _kept_by_policy(rename(mark_missing(rows), ENTITY), topics)
     return kept.select("topic", ENTITY, whole_year(F.col(YEAR)).alias(YEAR), CODE, VALUE)
 
 

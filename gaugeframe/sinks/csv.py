@@ -6,12 +6,16 @@ import csv
 import io
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.numbers import float_text
-from gaugeframe.operators.reshape import WideKey
+from gaugeframe.operators.joins import BROADCAST_BYTES, measured_bytes
+from gaugeframe.operators.reshape import WideKey, wide_keys
 from gaugeframe.schemas import CODE, VALUE, YEAR
+from gaugeframe.storage import cut_lineage
+
+MAX_FILE_COLUMNS = 1_000_000
 
 # Missing is an empty field, quotes are doubled, spaces are kept.
 CSV_FORMAT = {
@@ -35,11 +39,13 @@ def write_long_csv(long: DataFrame, path: str) -> None:
 
 
 def wide_csv_lines(
-    wide: DataFrame, keys: Sequence[tuple[str, int]], entity: str = "COUNTRY"
+    cells: DataFrame, keys: Sequence[tuple[str, int]], entity: str = "COUNTRY"
 ) -> DataFrame:
     """The lines of a wide CSV file, with their order (section, entity).
 
-    Three header lines (codes, years, entity name) come before one line per entity.
+    Three header lines (codes, years, entity name) come before one line per
+    entity.  A line is put together from the means of its entity and the commas
+    between them, so the table needs no schema with a field per column.
     """
     keys = [WideKey(*k) for k in keys]
     header = [
@@ -47,29 +53,60 @@ def wide_csv_lines(
         [YEAR, *(str(k.year) for k in keys)],
         [entity, *("" for _ in keys)],
     ]
-    head = wide.sparkSession.createDataFrame(
+    spark = cells.sparkSession
+    head = spark.createDataFrame(
         [(i, None, _csv_line(fields)) for i, fields in enumerate(header)],
         "section int, entity string, line string",
     )
-    cells = F.transform(F.array(*[F.col(f"`{k.column}`") for k in keys]), float_text)
-    name = F.to_csv(F.struct(F.col(f"`{entity}`").alias("entity")), CSV_FORMAT)
-    body = wide.select(
+    columns = spark.createDataFrame(
+        [(k.code, k.year, i) for i, k in enumerate(keys)], f"{CODE} string, {YEAR} int, place int"
+    )
+    if measured_bytes(columns) <= BROADCAST_BYTES:
+        columns = F.broadcast(columns)
+    text = F.coalesce(float_text(F.col(VALUE)), F.lit(""))
+    placed = cells.join(columns, [CODE, YEAR]).select(
+        F.col(f"`{entity}`").alias("entity"), F.struct("place", text.alias("text")).alias("cell")
+    )
+    rows = placed.groupBy("entity").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
+    name = F.to_csv(F.struct("entity"), CSV_FORMAT)
+    body = rows.select(
         F.lit(len(header)).alias("section"),
-        F.col(f"`{entity}`").alias("entity"),
-        F.concat_ws(",", name, F.array_join(cells, ",", "")).alias("line"),
+        "entity",
+        F.concat(name, F.lit(","), _spaced(F.col("cells"), len(keys))).alias("line"),
     )
     return head.unionByName(body)
 
 
+def _spaced(cells: Column, width: int) -> Column:
+    """Texts of sorted cells, each after as many commas as it is places from the one before."""
+
+    def field(cell: Column, i: Column) -> Column:
+        previous = F.coalesce(F.get(cells, i - 1)["place"], F.lit(0))
+        return F.concat(F.repeat(F.lit(","), cell["place"] - previous), cell["text"])
+
+    rest = F.lit(width - 1) - F.element_at(cells, -1)["place"]
+    return F.concat(F.array_join(F.transform(cells, field), ""), F.repeat(F.lit(","), rest))
+
+
 def write_wide_csv(
-    wide: DataFrame, keys: Sequence[tuple[str, int]], path: str, entity: str = "COUNTRY"
+    cells: DataFrame,
+    path: str,
+    entity: str = "COUNTRY",
+    keys: Sequence[tuple[str, int]] | None = None,
+    max_columns: int = MAX_FILE_COLUMNS,
 ) -> None:
-    """Wide table as text parts that form the file when read in part order.
+    """Means as a wide CSV file: text parts that form it when read in part order.
 
-    The lines are range-sorted, so no task has to hold the whole table.
+    The lines are range-sorted, so no task has to hold the whole table.  Without
+    ``keys`` the means are stored and their columns looked up; means without any
+    column give no file.
     """
-    ordered = wide_csv_lines(wide, keys, entity).orderBy("section", "entity")
-    ordered.select("line").write.mode("overwrite").text(path)
+    if keys is None:
+        cells = cut_lineage(cells)
+        keys = wide_keys(cells, max_columns)
+    if keys:
+        ordered = wide_csv_lines(cells, keys, entity).orderBy("section", "entity")
+        ordered.select("line").write.mode("overwrite").text(path)
 
 
 def _csv_line(fields: Sequence[str]) -> str:

@@ -5,7 +5,7 @@ import pytest
 
 from gaugeframe.__main__ import main
 from gaugeframe.operators.facts import NoDataError
-from gaugeframe.plans.export import export_topics
+from gaugeframe.plans.export import TopicErrors, export_topics
 from gaugeframe.plans.topics import topic_named
 from gaugeframe.schemas import CATALOG, OBSERVATION
 
@@ -55,3 +55,15 @@ def test_topics_without_data_are_named_and_none_at_all_is_an_error(spark, tmp_pa
     assert [p.name for p in (tmp_path / "out" / "hiv").iterdir()] == ["long"]
     with pytest.raises(NoDataError):
         export_topics(catalog, facts, str(tmp_path / "none"), topics[1:])
+
+
+def test_bad_data_of_one_topic_do_not_stop_the_others(spark, tmp_path):
+    catalog = spark.createDataFrame([("H1", "HIV"), ("M1", "malaria"), ("S1", "AMR")], CATALOG)
+    facts = spark.createDataFrame(
+        [("AFG", "2000", "H1", 1.0), ("AFG", "2000-2005", "M1", 1.0), ("AFR", None, "S1", 1.0)], OBSERVATION
+    )
+    topics = [topic_named("malaria"), topic_named("antimicrobial_resistance"), topic_named("hiv")]
+    with pytest.raises(TopicErrors, match="malaria: .*not a year.*antimicrobial_resistance: .*without a year") as found:
+        export_topics(catalog, facts, str(tmp_path / "out"), topics)
+    assert list(found.value.problems) == ["malaria", "antimicrobial_resistance"]
+    assert text_of(tmp_path / "out" / "hiv" / "wide").endswith("AFG,1.0\n")

@@ -45,7 +45,7 @@ def test_tables_and_files(spark, tmp_path, seed):
     wide = pivot_wide(cells, keys=keys)
     assert [r[0] for r in wide.collect()] == list(expected.index)
 
-    write_wide_csv(wide, keys, str(tmp_path / "wide"))
+    write_wide_csv(cells, str(tmp_path / "wide"))
     assert "".join(text_of(tmp_path / "wide")) == expected.to_csv()
     write_long_csv(long, str(tmp_path / "long"))
     ours = [line for part in text_of(tmp_path / "long") for line in part.splitlines()[1:]]

@@ -2,7 +2,7 @@ import csv
 import io
 from pathlib import Path
 
-from gaugeframe.operators.reshape import mean_cells, pivot_wide, wide_keys
+from gaugeframe.operators.reshape import mean_cells
 from gaugeframe.sinks.csv import write_long_csv, write_wide_csv
 
 LONG = "COUNTRY string, YEAR int, IndicatorCode string, NumericValue double"
@@ -31,9 +31,7 @@ def test_wide_csv_parts_form_the_file(spark, tmp_path):
     long = spark.createDataFrame(
         [(f"E{i:03}", 2000 + i % 3, "A,1" if i % 2 else "B", i / 3) for i in range(200)] + [('x "y", z', 2000, "B", 1e8)], LONG
     )
-    cells = mean_cells(long)
-    keys = wide_keys(cells)
-    write_wide_csv(pivot_wide(cells, keys=keys), keys, str(tmp_path / "out"))
+    write_wide_csv(mean_cells(long), str(tmp_path / "out"))
     lines = list(csv.reader(io.StringIO("".join(parts(tmp_path / "out")))))
     assert lines[0] == ["IndicatorCode", "A,1", "A,1", "A,1", "B", "B", "B"]
     assert lines[1] == ["YEAR", "2000", "2001", "2002", "2000", "2001", "2002"]
@@ -41,3 +39,24 @@ def test_wide_csv_parts_form_the_file(spark, tmp_path):
     assert [r[0] for r in lines[3:]] == [f"E{i:03}" for i in range(200)] + ['x "y", z']
     assert lines[-1][1:] == ["", "", "", "100000000.0", "", ""]
     assert lines[3 + 7][1:] == ["", repr(7 / 3), "", "", "", ""]
+
+
+def test_known_columns_and_gaps(spark, tmp_path):
+    long = spark.createDataFrame([("AFG", 2000, "A", 1.5), ("AFG", 2003, "A", 2.0), ("ALB", 2001, "A", 3.0), ("X", 1999, "A", 9.0)], LONG)
+    keys = [("A", y) for y in range(2000, 2005)]
+    write_wide_csv(mean_cells(long), str(tmp_path / "out"), keys=keys)
+    lines = "".join(parts(tmp_path / "out")).splitlines()
+    assert lines[3:] == ["AFG,1.5,,,2.0,", "ALB,,3.0,,,"]
+
+
+def test_very_many_columns(spark, tmp_path):
+    long = spark.range(20000).selectExpr("'AFG' as COUNTRY", "2000 as YEAR", "cast(id as string) as IndicatorCode", "id / 2 as NumericValue")
+    write_wide_csv(mean_cells(long), str(tmp_path / "out"))
+    codes, years, _, line = ("".join(parts(tmp_path / "out"))).splitlines()
+    assert codes.split(",")[1:] == sorted(map(str, range(20000)))
+    assert line.split(",")[1:] == [repr(int(c) / 2) for c in codes.split(",")[1:]]
+
+
+def test_no_values_no_wide_file(spark, tmp_path):
+    write_wide_csv(mean_cells(spark.createDataFrame([("AFG", 2000, "A", None)], LONG)), str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()

@@ -314,13 +314,13 @@ def long_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "wide-csv")
-    write_wide_csv(wide_known_keys(spark, sf_dir), t.WIDE_KEYS, path)
+    write_wide_csv(grouped_mean(spark, sf_dir), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 def wide_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every line of the wide file."""
-    lines = wide_csv_lines(wide_known_keys(spark, sf_dir), t.WIDE_KEYS)
+    lines = wide_csv_lines(grouped_mean(spark, sf_dir), t.WIDE_KEYS)
     numbered = with_ordinal(lines, [F.col("section").asc(), F.col("entity").asc()])
     return numbered.select("ordinal", F.substring_index("line", ",", 1).alias("first_field"))
 
