@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
@@ -48,6 +49,7 @@ def export_topics(
     topics: Sequence[Topic] = TOPICS,
     dedupe: bool = False,
     scale: int | None = None,
+    parallel: int = 4,
 ) -> list[str]:
     """Write ``path/<topic>/long`` and ``.../wide`` for every topic that has data.
 
@@ -55,23 +57,28 @@ def export_topics(
     ``spark.checkpoint.dir``, and each topic is cleaned and finished from its own
     folder.  Bad data of one topic do not keep the others from being exported;
     they are raised as ``TopicErrors`` in the end.  Returns the topics without
-    data; if no topic has any, that is an error.
+    data; if no topic has any, that is an error.  The jobs of up to ``parallel``
+    topics share the cluster.
     """
     spark = catalog.sparkSession
     stored_path = scratch_path(spark, "topics")
     rows = all_topics_rows(catalog, observations, topics, dedupe)
     store_topics(rows, stored_path)
     stored = spark.read.schema(rows.schema).parquet(stored_path)
-    lacking, problems = [], {}
-    for topic in topics:
+
+    def export(topic: Topic) -> Exception | None:
         own = stored.filter(F.col("topic") == topic.name).drop("topic")
         try:
             long = clean_long(ensure_not_empty(own), topic.entity, topic.null_policy)
             export_tables(long, topic.entity, f"{path}/{topic.name}", scale)
-        except NoDataError:
-            lacking.append(topic.name)
-        except (PySparkException, TooManyColumnsError) as error:
-            problems[topic.name] = error
+        except (NoDataError, PySparkException, TooManyColumnsError) as error:
+            return error
+        return None
+
+    with ThreadPoolExecutor(parallel) as pool:
+        outcomes = dict(zip((t.name for t in topics), pool.map(export, topics)))
+    lacking = [name for name, error in outcomes.items() if isinstance(error, NoDataError)]
+    problems = {name: error for name, error in outcomes.items() if error and name not in lacking}
     if problems:
         raise TopicErrors(problems)
     if len(lacking) == len(topics):
