@@ -41,11 +41,12 @@ def write_long_csv(long: DataFrame, path: str) -> None:
 def wide_csv_lines(
     cells: DataFrame, keys: Sequence[tuple[str, int]], entity: str = "COUNTRY"
 ) -> DataFrame:
-    """The lines of a wide CSV file, with their order (section, entity).
+    """The lines of a wide CSV file in order, with their place (section, entity).
 
     Three header lines (codes, years, entity name) come before one line per
     entity.  A line is put together from the means of its entity and the commas
-    between them, so the table needs no schema with a field per column.
+    between them, so the table needs no schema with a field per column.  One range
+    partitioning serves both the grouping by entity and the order of the lines.
     """
     keys = [WideKey(*k) for k in keys]
     header = [
@@ -55,8 +56,7 @@ def wide_csv_lines(
     ]
     spark = cells.sparkSession
     head = spark.createDataFrame(
-        [(i, None, _csv_line(fields)) for i, fields in enumerate(header)],
-        "section int, entity string, line string",
+        [(i, _csv_line(fields)) for i, fields in enumerate(header)], "section int, header string"
     )
     columns = spark.createDataFrame(
         [(k.code, k.year, i) for i, k in enumerate(keys)], f"{CODE} string, {YEAR} int, place int"
@@ -65,16 +65,18 @@ def wide_csv_lines(
         columns = F.broadcast(columns)
     text = F.coalesce(float_text(F.col(VALUE)), F.lit(""))
     placed = cells.join(columns, [CODE, YEAR]).select(
-        F.col(f"`{entity}`").alias("entity"), F.struct("place", text.alias("text")).alias("cell")
-    )
-    rows = placed.groupBy("entity").agg(F.array_sort(F.collect_list("cell")).alias("cells"))
-    name = F.to_csv(F.struct("entity"), CSV_FORMAT)
-    body = rows.select(
         F.lit(len(header)).alias("section"),
-        "entity",
-        F.concat(name, F.lit(","), _spaced(F.col("cells"), len(keys))).alias("line"),
+        F.col(f"`{entity}`").alias("entity"),
+        F.struct("place", text.alias("text")).alias("cell"),
     )
-    return head.unionByName(body)
+    parts = head.unionByName(placed, allowMissingColumns=True).repartitionByRange("section", "entity")
+    rows = parts.groupBy("section", "entity").agg(
+        F.first("header").alias("header"), F.array_sort(F.collect_list("cell")).alias("cells")
+    )
+    name = F.to_csv(F.struct("entity"), CSV_FORMAT)
+    body = F.concat(name, F.lit(","), _spaced(F.col("cells"), len(keys)))
+    line = F.when(F.col("section") < len(header), F.col("header")).otherwise(body)
+    return rows.select("section", "entity", line.alias("line")).orderBy("section", "entity")
 
 
 def _spaced(cells: Column, width: int) -> Column:
@@ -105,8 +107,8 @@ def write_wide_csv(
         cells = cut_lineage(cells)
         keys = wide_keys(cells, max_columns)
     if keys:
-        ordered = wide_csv_lines(cells, keys, entity).orderBy("section", "entity")
-        ordered.select("line").write.mode("overwrite").text(path)
+        lines = wide_csv_lines(cells, keys, entity).select("line")
+        lines.write.mode("overwrite").text(path)
 
 
 def _csv_line(fields: Sequence[str]) -> str:

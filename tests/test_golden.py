@@ -51,7 +51,7 @@ def test_wide_file_follows_from_long_file(spark, tmp_path, pair):
     schema = f"`{entity}` string, YEAR int, IndicatorCode string, NumericValue double"
     cells = mean_cells(spark.read.schema(schema).csv(str(long_file), header=True), entity)
     keys = wide_keys(cells)
-    lines = [r["line"] for r in wide_csv_lines(cells, keys, entity).orderBy("section", "entity").collect()]
+    lines = [r["line"] for r in wide_csv_lines(cells, keys, entity).collect()]
     found, expected = list(csv.reader(lines)), list(csv.reader(expected))
     assert found[:3] == expected[:3]
     assert [r[0] for r in found] == [r[0] for r in expected]
@@ -81,5 +81,5 @@ def test_wide_file_survives_a_round_trip(spark, file):
     long = spark.createDataFrame(cells, f"`{entity}` string, YEAR int, IndicatorCode string, NumericValue double")
     means = mean_cells(long, entity)
     keys = wide_keys(means)
-    lines = wide_csv_lines(means, keys, entity).orderBy("section", "entity")
+    lines = wide_csv_lines(means, keys, entity)
     assert list(csv.reader(r["line"] for r in lines.collect())) == expected
