@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,11 +34,31 @@ def read_page_files(
 
     Page-per-line files can be split between tasks and should be preferred.
     """
-    mode = {"skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_error]
-    reader = spark.read.schema(page_schema(row)).option("mode", mode).option("multiLine", multiline)
+    reader = _page_reader(spark, page_schema(row), on_error, multiline)
     return reader.json(path).select("*", F.col("_metadata.file_path").alias("url"))
 
 
+def scan_observation_files(
+    spark: SparkSession, path: str, on_error: OnError = "skip", multiline: bool = False
+) -> DataFrame:
+    """Observations of page files that lie in one folder per requested code.
+
+    The folder names (``IndicatorCode=...``) give the code, always as text; a join
+    with a selection leaves the other folders unread.
+    """
+    schema = T.StructType([*page_schema(OBSERVATION), T.StructField(CODE, T.StringType())])
+    pages = _page_reader(spark, schema, on_error, multiline).json(path)
+    rows = unnest_rows(pages.withColumnRenamed(CODE, "code"), keep=("code",))
+    return stamp_code(rows, "code")
+
+
+def _page_reader(
+    spark: SparkSession, schema: T.StructType, on_error: OnError, multiline: bool
+) -> DataFrameReader:
+    mode = {"skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_error]
+    return spark.read.schema(schema).option("mode", mode).option("multiLine", multiline)
+
+
 def keep_ok(landed: DataFrame) -> DataFrame:
     """Leave out failed responses."""
     return landed.filter(F.col("status") == 200)

@@ -5,6 +5,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from gaugeframe.operators.facts import observations_for
 from gaugeframe.schemas import CATALOG, LANDED, NEXT_LINK, OBSERVATION
 from gaugeframe.sources.landing import (
     audit_page_chain,
@@ -13,6 +14,7 @@ from gaugeframe.sources.landing import (
     keep_ok,
     read_page_files,
     scan_catalog,
+    scan_observation_files,
     scan_observations,
     unnest_rows,
 )
@@ -110,3 +112,16 @@ def test_a_link_under_another_name_is_not_followed(spark):
     body = json.dumps({"value": [], "@data.nextLink": "p2"})
     decoded = decode_pages(landed(spark, ("p1", None, 200, body)), CATALOG)
     assert decoded.filter(F.col(f"`{NEXT_LINK}`").isNotNull()).count() == 0
+
+
+def test_page_files_in_code_folders(spark, rows, tmp_path):
+    for code, value in (("007", 1), ("8", 2), ("9", 3)):
+        folder = tmp_path / f"IndicatorCode={code}"
+        folder.mkdir()
+        (folder / "p.json").write_text(page({"SpatialDim": "AFG", "TimeDim": 2000, "IndicatorCode": "payload", "NumericValue": value}))
+    found = scan_observation_files(spark, str(tmp_path))
+    assert rows(found, "IndicatorCode", "TimeDim", "NumericValue") == [("007", "2000", 1.0), ("8", "2000", 2.0), ("9", "2000", 3.0)]
+    names = spark.createDataFrame([("007", "agent"), ("8", "other")], CATALOG).filter(F.col("IndicatorName").rlike("age"))
+    chosen = observations_for(found, names)
+    assert rows(chosen, "IndicatorCode", "NumericValue") == [("007", 1.0)]
+    assert "dynamicpruning" in chosen._jdf.queryExecution().executedPlan().toString().lower()

@@ -39,6 +39,7 @@ from gaugeframe.sources.landing import (
     decode_pages,
     fail_on_error,
     scan_catalog,
+    scan_observation_files,
     scan_observations,
     unnest_rows,
 )
@@ -87,6 +88,17 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unnest_rows(decode_pages(pages, row), keep=("event_id",))
 
 
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as files in one folder per code, read back for the selected codes."""
+    path = scratch_path(spark, "pages")
+    landed = t.landed_observations(spark, sf_dir)
+    landed.select(F.col("code").alias(CODE), "body").write.partitionBy(CODE).text(path)
+    lines = t.table(spark, sf_dir, "lineitem")
+    status = lines.select(F.col("l_linestatus").alias(CODE), F.concat(F.lit("status "), "l_linestatus").alias(NAME))
+    rows = observations_for(scan_observation_files(spark, path), select_indicators(status, ["status o"]))
+    return rows.groupBy(CODE, SPATIAL, TIME).agg(F.count("*").alias("n"))
+
+
 def failed_pages_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_observations(t.landed_orders(spark, sf_dir), on_error="skip")
 
@@ -411,6 +423,7 @@ QUERIES: dict[str, Query] = {
         observation_scan,
         page_rows,
         event_properties,
+        page_files,
         failed_pages_skipped,
         failed_pages_refused,
         one_term,

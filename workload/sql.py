@@ -188,6 +188,10 @@ SELECT CAST(l_suppkey AS VARCHAR) AS SpatialDim, CAST(year(l_shipdate) AS VARCHA
        count(*) AS n, CAST(sum(CAST(round(v * 100) AS BIGINT)) AS BIGINT) AS units
 FROM rows GROUP BY 1, 2""",
     "event_properties": "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
+    "page_files": """
+SELECT 'O' AS IndicatorCode, CAST(l_suppkey AS VARCHAR) AS SpatialDim, CAST(year(l_shipdate) AS VARCHAR) AS TimeDim,
+       3 * count(*) AS n
+FROM lineitem WHERE l_linestatus = 'O' GROUP BY 2, 3""",
     "failed_pages_skipped": """
 SELECT o_orderpriority AS SpatialDim, CAST(year(o_orderdate) AS VARCHAR) AS TimeDim,
        o_totalprice AS NumericValue, CAST(o_custkey AS VARCHAR) AS IndicatorCode
