@@ -121,17 +121,20 @@ def pivot_wide(
 
     Known ``keys`` give a stable schema and need no job; cells of other keys are
     left out, as are entities without any cell.  Without ``keys`` the cells are
-    stored, so that finding the keys and pivoting read the observations once.  The cells are range-partitioned
+    stored, so that finding the keys and pivoting read the observations once; cells
+    without any key give an empty table of entities.  The cells are range-partitioned
     by entity once, which serves the pivot and the order of the rows; an entity
     has at most one cell per column.
     """
     if keys is None:
         cells = cut_lineage(cells)
         wanted = wide_keys(cells, max_columns)
+        if not wanted:
+            return cells.select(f"`{entity}`").limit(0)
     else:
         wanted = [WideKey(*k) for k in keys]
-    if not wanted:
-        raise ValueError("a wide table needs at least one column")
+        if not wanted:
+            raise ValueError("a wide table needs at least one column")
     names = [k.column for k in wanted]
     label = F.concat_ws("|", CODE, YEAR)
     labelled = cells.select(entity, label.alias("__key"), VALUE)

@@ -137,6 +137,11 @@ def test_known_keys_give_a_stable_schema(spark):
         pivot_wide(cells, keys=[])
 
 
+def test_no_values_give_an_empty_wide_table(spark):
+    wide = pivot_wide(mean_cells(spark.createDataFrame([("AFG", 2000, "A", None)], LONG)))
+    assert wide.columns == ["COUNTRY"] and wide.count() == 0
+
+
 def test_too_many_columns_are_refused_not_cut(spark):
     cells = mean_cells(spark.createDataFrame([("AFG", y, "A", 1.0) for y in range(2000, 2006)], LONG))
     assert len(wide_keys(cells, 6)) == 6

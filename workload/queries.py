@@ -45,6 +45,7 @@ from gaugeframe.sources.landing import (
 )
 from gaugeframe.sources.observations import read_observations, write_observations
 from gaugeframe.storage import scratch_path
+from gaugeframe.streaming.intake import append_observations, stream_landed
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +104,16 @@ def failed_pages_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_observations(t.landed_orders(spark, sf_dir), on_error="skip")
 
 
+def page_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed orders as a file stream, taken in twice: every page counts once."""
+    folder = scratch_path(spark, "intake")
+    t.landed_orders(spark, sf_dir).write.json(f"{folder}/landing")
+    for _ in range(2):
+        landed = stream_landed(spark, f"{folder}/landing")
+        append_observations(landed, f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return spark.read.parquet(f"{folder}/table")
+
+
 def failed_pages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only good pages here, so the check lets all of them pass."""
     good = t.landed_observations(spark, sf_dir)
@@ -425,6 +436,7 @@ QUERIES: dict[str, Query] = {
         event_properties,
         page_files,
         failed_pages_skipped,
+        page_intake,
         failed_pages_refused,
         one_term,
         any_term,
