@@ -135,16 +135,27 @@ def pivot_wide(
         wanted = [WideKey(*k) for k in keys]
         if not wanted:
             raise ValueError("a wide table needs at least one column")
+        cells = _cells_of_keys(cells, wanted)
     names = [k.column for k in wanted]
-    label = F.concat_ws("|", CODE, YEAR)
-    labelled = cells.select(entity, label.alias("__key"), VALUE)
-    if keys is not None:
-        labelled = labelled.filter(F.col("__key").isin(names))
+    labelled = cells.select(entity, F.concat_ws("|", CODE, YEAR).alias("__key"), VALUE)
     placed = labelled.repartitionByRange(F.col(f"`{entity}`"))
     spread = placed.groupBy(entity).pivot("__key", names).agg(F.first(VALUE))
     return spread.orderBy(F.col(f"`{entity}`"))
 
 
+def _cells_of_keys(cells: DataFrame, keys: Sequence[WideKey]) -> DataFrame:
+    """Cells of the given keys.
+
+    Codes and years are tested one by one, which can reach the scan; pairs are
+    tested only where the keys are not all combinations of the two.
+    """
+    codes, years = sorted({k.code for k in keys}), sorted({k.year for k in keys})
+    kept = cells.filter(F.col(CODE).isin(codes) & F.col(YEAR).isin(years))
+    if len(set(keys)) == len(codes) * len(years):
+        return kept
+    return kept.filter(F.concat_ws("|", CODE, YEAR).isin([k.column for k in keys]))
+
+
 def unpivot_wide(wide: DataFrame, entity: str, keys: Sequence[tuple[str, int]]) -> DataFrame:
     """The cells of a wide table as rows again, absent cells left out."""
     cell = F.explode(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeframe.operators.facts import observations_for
-from gaugeframe.operators.reshape import clean_long, mean_cells
+from gaugeframe.operators.reshape import clean_long, mean_cells, pivot_wide
 from gaugeframe.operators.selection import select_by_topic, select_indicators
 from gaugeframe.plans.topics import TOPICS, all_topics_cells, all_topics_rows
 from gaugeframe.sinks.csv import wide_csv_lines
@@ -80,6 +80,13 @@ def test_means_are_partly_made_before_the_only_shuffle(stored):
     assert "partial_avg" in text[text.index("Exchange ") :]
 
 
+def test_known_keys_reach_the_scan(stored):
+    _, facts = stored
+    wide = pivot_wide(mean_cells(clean_long(facts)), keys=[("C1", 2001), ("C2", 2001)])
+    (scan,) = scans(wide, "NumericValue")
+    assert "In(IndicatorCode, [C1,C2])" in scan and "EqualTo(TimeDim,2001)" in scan
+
+
 def test_wide_lines_take_one_shuffle_of_the_means(stored):
     _, facts = stored
     cells = cut_lineage(mean_cells(clean_long(facts)))

@@ -137,6 +137,12 @@ def test_known_keys_give_a_stable_schema(spark):
         pivot_wide(cells, keys=[])
 
 
+def test_known_keys_that_are_not_all_combinations(spark):
+    rows = [("AFG", 2000, "A", 1.0), ("AFG", 2001, "B", 2.0), ("ALB", 2001, "A", 9.0), ("ZWE", 2000, "B", 9.0)]
+    wide = pivot_wide(mean_cells(spark.createDataFrame(rows, LONG)), keys=[("A", 2000), ("B", 2001)])
+    assert [tuple(r) for r in wide.collect()] == [("AFG", 1.0, 2.0)]
+
+
 def test_no_values_give_an_empty_wide_table(spark):
     wide = pivot_wide(mean_cells(spark.createDataFrame([("AFG", 2000, "A", None)], LONG)))
     assert wide.columns == ["COUNTRY"] and wide.count() == 0
