@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm import maglev, repetition, secrets
+from gaugeframe.llm import disclosure, maglev, mixing, repetition, secrets
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
+DOMAINS = ("web", "reference", "forum", "news")
+MIX_WEIGHTS = {"domain": {"web": 4, "reference": 3, "forum": 2, "news": 1}, "lang": {"en": 6, "de": 2}}
+BUDGET_SHARE = (3, 4)
+MAX_EPOCHS = 2
+MIX_SEED = 17
+
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -44,6 +50,25 @@ def spans_digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
     )
 
 
+def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    found = disclosure.find_personal_data(read(spark, folder, "documents"))
+    return spans_digest(found.withColumnRenamed("spans", "found"), disclosure.KINDS[:4])
+
+
+def mix(documents: DataFrame) -> DataFrame:
+    """The production mixture: a tree of domain, language and source."""
+    digest = F.substring(F.md5(F.coalesce("source", F.lit("unknown")).cast("binary")), 1, 8)
+    group = F.pmod(F.conv(digest, 16, 10).cast("long"), F.lit(len(DOMAINS)).cast("long")).cast("int")
+    domain = F.element_at(F.array(*map(F.lit, DOMAINS)), group + 1)
+    levels = {"domain": domain, "lang": documents["lang"], "source": documents["source"]}
+    return mixing.mix_sources(documents, levels, MIX_WEIGHTS, BUDGET_SHARE, MAX_EPOCHS, MIX_SEED)
+
+
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix(read(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    return mixed.select("doc_id", "mix_domain", "mix_lang", "mix_source", "mix_tokens", "mix_epoch")
+
+
 def op9_shard_table(spark: SparkSession, folder: str) -> DataFrame:
     placed = maglev.assign_shards(read(spark, folder, "documents"), SHARDS)
     return placed.select("doc_id", "slot", "shard")
@@ -52,6 +77,8 @@ def op9_shard_table(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_secret_scan": op2_secret_scan,
+    "op3_disclosure": op3_disclosure,
+    "op8_source_mix": op8_source_mix,
     "op9_shard_table": op9_shard_table,
 }
 ORACLE: dict[str, str] = {}
