@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeframe.llm.rows import packed_rows
+
 TABLE_SIZE = 65_537
 MAX_TABLE_SIZE = 1_000_003
 
@@ -59,7 +61,7 @@ def slot_of(key: Column, size: int = TABLE_SIZE) -> Column:
 def assign_shards(
     rows: DataFrame,
     shards: Sequence[str],
-    key: Column | str = "doc_id",
+    key: str = "doc_id",
     size: int = TABLE_SIZE,
     slot_column: str = "slot",
     shard_column: str = "shard",
@@ -67,19 +69,15 @@ def assign_shards(
     """Add the slot and the shard of every row; rows are neither moved nor dropped.
 
     The table has ``size`` rows at most ``MAX_TABLE_SIZE`` and is broadcast.  Equal keys,
-    repeated rows and null keys have one shard each.  Existing columns of the two names
-    are an error.
+    repeated rows and null keys have one shard each.  Columns that have one of the two new
+    names already are replaced.
     """
-    for name in (slot_column, shard_column):
-        if name in rows.columns:
-            raise ValueError(f"the rows have a column {name} already")
-    table = pd.DataFrame({slot_column: np.arange(size), "_shard": lookup_table(shards, size)})
-    table[shard_column] = [shards[i] for i in table.pop("_shard")]
-    places = rows.sparkSession.createDataFrame(table, f"`{slot_column}` long, `{shard_column}` string")
-    column = rows[key] if isinstance(key, str) else key
-    placed = rows.withColumn(slot_column, slot_of(column, size))
-    joined = placed.join(F.broadcast(places), slot_column)
-    return joined.select(*[joined[f"`{c}`"] for c in rows.columns], slot_column, shard_column)
+    table = pd.DataFrame({"place": np.arange(size), "shard": lookup_table(shards, size)})
+    table["shard"] = [shards[i] for i in table["shard"]]
+    places = rows.sparkSession.createDataFrame(table, "place long, shard string")
+    packed = packed_rows(rows, [slot_column, shard_column])
+    placed = packed.withColumn("place", slot_of(F.col(f"row.`{key}`"), size)).join(F.broadcast(places), "place")
+    return placed.select("row.*", F.col("place").alias(slot_column), F.col("shard").alias(shard_column))
 
 
 def write_shards(placed: DataFrame, path: str, shard_column: str = "shard") -> None:

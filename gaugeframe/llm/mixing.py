@@ -57,31 +57,36 @@ def mix_sources(
 
     Rows with the same id and text are taken together.  Null and empty texts have no tokens;
     they are taken with the epochs they lie in.  A leaf without tokens gets no budget.
+    Columns that have one of the new names already are replaced.
     """
     labels = {f"mix_{name}": F.coalesce(label.cast("string"), F.lit("unknown")) for name, label in levels.items()}
-    clash = {*labels, "mix_tokens", "mix_epoch"} & set(documents.columns)
-    if clash:
-        raise ValueError(f"the documents have columns {sorted(clash)} already")
     names = list(labels)
-    # A null text has no digest; its place tells it from an empty one by the leading mark.
+    added = [*names, "mix_tokens", "mix_epoch"]
     text = documents[text_column]
+    # The leading letter tells a null text from an empty one.
     body = F.coalesce(F.concat(F.lit("t"), F.md5(text.cast("binary"))), F.lit("n"))
     identity = F.concat_ws(":", F.coalesce(documents[id_column].cast("string"), F.lit("")), body)
-    marked = documents.withColumns({**labels, "mix_tokens": token_count(text), "_identity": identity})
-    rows = cut_lineage(marked.select(*names, "mix_tokens", "_identity"))
+    own = [documents[f"`{c}`"] for c in documents.columns if c.lower() not in added]
+    marked = documents.select(
+        F.struct(*own).alias("row"),
+        *[label.alias(name) for name, label in labels.items()],
+        token_count(text).alias("mix_tokens"),
+        identity.alias("identity"),
+    )
+    rows = cut_lineage(marked.select(*names, "mix_tokens", "identity"))
 
     leaves = rows.groupBy(names).agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("n_rows"))
     leaves = cut_lineage(leaves)
     plan = _leaf_plan(leaves, names, weights, budget_share, max_epochs)
     cuts = _cuts(rows, plan, names, seed)
     taken = marked.join(cuts, names)
-    key = order_key(F.col("_identity"), F.col("whole") + 1, seed)
+    key = order_key(F.col("identity"), F.col("whole") + 1, seed)
     whole = F.when(F.col("whole") > 0, F.sequence(F.lit(1).cast("long"), "whole")).otherwise(
         F.array().cast("array<bigint>")
     )
     part = F.when(key <= F.col("cut"), F.array(F.col("whole") + 1)).otherwise(F.array().cast("array<bigint>"))
     epochs = F.explode(F.concat(whole, part)).alias("mix_epoch")
-    return taken.select(*[documents[f"`{c}`"] for c in documents.columns], *names, "mix_tokens", epochs)
+    return taken.select("row", *names, "mix_tokens", epochs).select("row.*", *added)
 
 
 def _leaf_plan(
@@ -165,7 +170,7 @@ def _cuts(rows: DataFrame, plan: DataFrame, names: Sequence[str], seed: int) ->
         return F.broadcast(df) if few else df
 
     partial = rows.join(small(plan.filter(F.col("rest") > 0)), list(names))
-    partial = partial.withColumn("key", order_key(F.col("_identity"), F.col("whole") + 1, seed))
+    partial = partial.withColumn("key", order_key(F.col("identity"), F.col("whole") + 1, seed))
     partial = partial.withColumn("bucket", F.expr(f"shiftright(key, {KEY_BITS} - bits)"))
     sums = partial.groupBy(*names, "bucket", "rest").agg(F.sum("mix_tokens").alias("held"))
     running = Window.partitionBy(*names).orderBy("bucket")

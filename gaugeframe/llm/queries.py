@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm import disclosure, maglev, mixing, repetition, secrets
+from gaugeframe.llm import disclosure, jaccard, maglev, mixing, repetition, secrets, toxicity
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
@@ -55,6 +55,21 @@ def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     return spans_digest(found.withColumnRenamed("spans", "found"), disclosure.KINDS[:4])
 
 
+def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    return toxicity.add_scores(documents, toxicity.fit(documents, labels))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    scored = score_toxicity(documents, read(spark, folder, "labels"))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, folder, "documents"))
+
+
 def mix(documents: DataFrame) -> DataFrame:
     """The production mixture: a tree of domain, language and source."""
     digest = F.substring(F.md5(F.coalesce("source", F.lit("unknown")).cast("binary")), 1, 8)
@@ -78,7 +93,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_disclosure": op3_disclosure,
+    "op5_toxicity": op5_toxicity,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_source_mix": op8_source_mix,
     "op9_shard_table": op9_shard_table,
 }
-ORACLE: dict[str, str] = {}
