@@ -5,26 +5,73 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeframe.llm import maglev
-from gaugeframe.llm.queries import SHARDS
+from gaugeframe.llm import jaccard, maglev, tiling
+from gaugeframe.llm.queries import SHARDS, mix, read, score_toxicity
+from gaugeframe.llm.rows import packed_rows
+from gaugeframe.llm.storing import small, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+TOXIC_FROM = 0.5
+COPIES_TO_BROADCAST = 2_000_000
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add slot and shard to every document."""
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine scores below the limit; labels are those of ``sf_dir``."""
+    scored = score_toxicity(packed_rows(docs).select("row", "row.doc_id", "row.text"), read(spark, sf_dir, "labels"))
+    return scored.filter(F.col("score") < TOXIC_FROM).select("row.*")
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays, the one with the smallest id.
+
+    Of rows that repeat an id that stays, the one with the smallest text stays.  Documents
+    without words are linked with nothing and stay, as do rows without an id.
+    """
+    found = jaccard.near_duplicates(docs).filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
+    verdict = found.agg(F.max(F.col("component_id") == F.col("doc_id")).alias("stays"), F.count("*").alias("rows"))
+    verdict = stored(verdict.filter(~F.col("stays") | (F.col("rows") > 1)), "copies")
+    packed = packed_rows(docs).withColumn("doc_id", F.col("row.doc_id").cast("long"))
+    single = packed.join(small(verdict, COPIES_TO_BROADCAST), "doc_id", "left_anti")
+    repeated = packed.join(small(verdict.filter("stays"), COPIES_TO_BROADCAST), "doc_id", "left_semi")
+    first = repeated.groupBy("doc_id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    return single.select("row").union(first.select("row")).select("row.*")
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return tiling.decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture; a document of two epochs is there twice."""
+    return mix(docs).select(*[f"`{c}`" for c in docs.columns])
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its slot and shard."""
     return maglev.assign_shards(docs, SHARDS)
 
 
-STAGES: list[tuple[str, Stage]] = [("sharding", shard)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", without_toxic),
+    ("n-gram Jaccard join", without_copies),
+    ("benchmark decontamination", without_benchmark),
+    ("mixing sources to target weights", mixed),
+    ("sharding", sharded),
+]
 
-# Toxicity is learned, and the table of the last stage is filled turn by turn.
+# SQL cannot learn the toxicity scores; the stages are tested one by one.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages over the documents, each written and read again as the next one's input."""
+    docs = read(spark, sf_dir, "documents")
+    for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stored(docs, f"stage-{number}")
     return docs

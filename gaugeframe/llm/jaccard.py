@@ -16,7 +16,7 @@ comparisons and gives n - 1 edges, not all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,31 +64,44 @@ def near_duplicates(
     classes = sets.filter((F.col("n") > 0) & F.col("id").isNotNull()).groupBy(*same)
     classes = stored(classes.agg(F.min("id").alias("rep"), F.min_by("keys", "id").alias("keys")), "classes")
 
+    def elements(tiled: DataFrame) -> DataFrame:
+        chosen = texts.join(small(tiled.withColumnRenamed("rep", "id"), broadcast_rows), "id")
+        rows = chosen.select("id", "sum_a", "sum_b", "tiles", "body")
+        return rows.mapInArrow(_sorted_sets, "id long, tiles array<long>, elements binary")
+
+    labels = connected(classes, elements, tile_sets, tile_elements)
+    labelled = classes.drop("keys").join(labels, "rep", "left")
+    labelled = stored(labelled.select(*same, F.coalesce("component", "rep").alias("component")), "labelled")
+    joined = sets.drop("keys").join(labelled, same, "left")
+    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")))
+    return joined.select(
+        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
+
+
+def connected(
+    classes: DataFrame,
+    elements: Callable[[DataFrame], DataFrame],
+    tile_sets: int = TILE_SETS,
+    tile_elements: int = TILE_ELEMENTS,
+) -> DataFrame:
+    """``rep`` and ``component`` of all sets that are linked with another one.
+
+    ``classes`` has different sets: ``rep``, ``n``, ``sum_a``, ``sum_b`` and the band ``keys``.
+    ``elements`` is given candidates (``rep``, the sums, ``tiles``) and returns their sorted
+    sets (``id``, ``tiles``, ``elements``).
+    """
     keyed = classes.select("rep", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     shared = cut_lineage(shared.filter("low < high").select("key", "low"))
     touching = keyed.join(shared, "key").filter("rep <> low").select("rep", "low").distinct()
-    groups = cut_lineage(components(touching, "rep", "low"))
-
-    members = classes.drop("keys").join(groups.withColumnRenamed("node", "rep"), "rep")
-    tiled = _tiles(cut_lineage(members), tile_sets, tile_elements)
-    chosen = texts.join(small(tiled.withColumnRenamed("rep", "id"), broadcast_rows), "id")
-    rows = chosen.select("id", "sum_a", "sum_b", "tiles", "body").mapInArrow(
-        _sorted_sets, "id long, tiles array<long>, elements binary"
-    )
+    groups = components(touching, "rep", "low").withColumnRenamed("node", "rep")
+    members = cut_lineage(classes.drop("keys").join(groups, "rep"))
+    rows = elements(_tiles(members, tile_sets, tile_elements))
     placed = rows.select("id", F.explode("tiles").alias("tile"), "elements")
     ordered = placed.repartition("tile").sortWithinPartitions("tile", "id")
     edges = cut_lineage(ordered.mapInArrow(_edges, "a long, b long").distinct())
-    labels = cut_lineage(components(edges))
-
-    labelled = classes.drop("keys").join(
-        labels.select(F.col("node").alias("rep"), "component"), "rep", "left"
-    ).select(*same, F.coalesce("component", "rep").alias("component"))
-    joined = sets.drop("keys").join(stored(labelled, "labelled"), same, "left")
-    component = F.when(F.col("id").isNotNull(), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")))
-    return joined.select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id")
-    )
+    return cut_lineage(components(edges).withColumnRenamed("node", "rep"))
 
 
 def _tiles(members: DataFrame, tile_sets: int, tile_elements: int) -> DataFrame:
@@ -124,7 +137,7 @@ def _tiles(members: DataFrame, tile_sets: int, tile_elements: int) -> DataFrame:
     return cut_lineage(sized.select("rep", "sum_a", "sum_b", tiles.alias("tiles")))
 
 
-def _sums(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+def sums(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """Two sums per set that tell different sets apart."""
     result = []
     for turn in (U64(0), U64(0xA5A5A5A5A5A5A5A5)):
@@ -133,14 +146,14 @@ def _sums(hashes: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     return result
 
 
-def _band_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def band_keys(hashes: np.ndarray, bounds: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) -> np.ndarray:
     """For each set and band a hash of the minima of the band's rows; sets are not empty."""
-    low = (hashes >> U64(32)).astype(np.uint32)
-    keys = np.zeros((len(bounds) - 1, BANDS), U64)
-    for band in range(BANDS):
+    high = (hashes >> U64(32)).astype(np.uint32)
+    keys = np.zeros((len(bounds) - 1, bands), U64)
+    for band in range(bands if len(bounds) > 1 else 0):
         key = np.full(len(bounds) - 1, band, U64)
-        for j in range(band * BAND_ROWS, (band + 1) * BAND_ROWS):
-            minima = np.minimum.reduceat((low ^ _TURN[j]) * _FACTOR[j], bounds[:-1])
+        for j in range(band * rows, (band + 1) * rows):
+            minima = np.minimum.reduceat((high ^ _TURN[j]) * _FACTOR[j], bounds[:-1])
             key = mix(key * U64(0x100000001B3) + minima)
         keys[:, band] = key
     return keys.view(np.int64)
@@ -149,15 +162,12 @@ def _band_keys(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["id", "n", "sum_a", "sum_b", "keys"]
     for batch in batches:
-        for first, hashes, bounds in shingle_sets(batch.column(1), SHINGLE_WORDS):
+        for first, hashes, bounds, _ in shingle_sets(batch.column(1), SHINGLE_WORDS):
             sizes = np.diff(bounds)
-            held = np.flatnonzero(sizes)
-            keys = np.zeros((0, BANDS), np.int64)
-            if len(held):
-                keys = _band_keys(hashes, np.append(bounds[:-1][held], bounds[-1]))
+            keys = band_keys(hashes, np.append(bounds[:-1][sizes > 0], bounds[-1]))
             offsets = np.concatenate(([0], np.cumsum((sizes > 0) * BANDS)))
             arrays = [batch.column(0).slice(first, len(sizes)), pa.array(sizes, pa.int64())]
-            arrays += [pa.array(x) for x in _sums(hashes, bounds)]
+            arrays += map(pa.array, sums(hashes, bounds))
             arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel())))
             yield pa.RecordBatch.from_arrays(arrays, names)
 
@@ -165,11 +175,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         wanted = [batch.column(i).to_numpy() for i in (1, 2)]
-        for first, hashes, bounds in shingle_sets(batch.column(4), SHINGLE_WORDS):
-            sums = _sums(hashes, bounds)
+        for first, hashes, bounds, _ in shingle_sets(batch.column(4), SHINGLE_WORDS):
+            found = sums(hashes, bounds)
             mine = slice(first, first + len(bounds) - 1)
             # Another text with the same id is not the one that was chosen.
-            right = np.flatnonzero((sums[0] == wanted[0][mine]) & (sums[1] == wanted[1][mine]))
+            right = np.flatnonzero((found[0] == wanted[0][mine]) & (found[1] == wanted[1][mine]))
             elements = pa.array([hashes[bounds[i] : bounds[i + 1]].tobytes() for i in right], pa.binary())
             place = pa.array(first + right)
             yield pa.RecordBatch.from_arrays(

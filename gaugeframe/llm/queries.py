@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm import disclosure, jaccard, maglev, mixing, repetition, secrets, toxicity
+from gaugeframe.llm import disclosure, jaccard, maglev, mincut, mixing, paragraphs, repetition, secrets, tiling, toxicity
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
@@ -55,6 +55,10 @@ def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     return spans_digest(found.withColumnRenamed("spans", "found"), disclosure.KINDS[:4])
 
 
+def op4_paragraph_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(read(spark, folder, "documents"))
+
+
 def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return toxicity.add_scores(documents, toxicity.fit(documents, labels))
 
@@ -66,6 +70,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return mincut.extract(read(spark, folder, "pages"))
+
+
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, folder, "documents"))
 
@@ -89,12 +97,19 @@ def op9_shard_table(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "slot", "shard")
 
 
+def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_secret_scan": op2_secret_scan,
     "op3_disclosure": op3_disclosure,
+    "op4_paragraph_repeats": op4_paragraph_repeats,
     "op5_toxicity": op5_toxicity,
+    "op6_main_text": op6_main_text,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_source_mix": op8_source_mix,
     "op9_shard_table": op9_shard_table,
+    "op10_string_tiling": op10_string_tiling,
 }

@@ -129,8 +129,8 @@ def text_of(first: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
-def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per slice: index of the first text, all sorted distinct shingle hashes, bounds per text.
+def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per slice: index of the first text, all sorted distinct shingle hashes, bounds and words per text.
 
     Texts are compared by lower-case words (A-Z only).  A text with fewer than ``n``
     words, but at least one, has its whole sequence as its single shingle.
@@ -152,8 +152,4 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np
         fresh = np.ones(len(hashes), bool)
         fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
         hashes, owner = hashes[fresh], owner[fresh]
-        yield s.first, hashes, np.searchsorted(owner, np.arange(len(s) + 1))
-
-
-def take_rows(batch: pa.RecordBatch, columns: list[str]) -> list[pa.Array]:
-    return [batch.column(batch.schema.get_field_index(c)) for c in columns]
+        yield s.first, hashes, np.searchsorted(owner, np.arange(len(s) + 1)), counts
