@@ -108,8 +108,10 @@ def _tiles(members: DataFrame, tile_sets: int, tile_elements: int) -> DataFrame:
     """The tiles of every candidate: its group, or its size-banded parts if the group is large."""
     groups = members.groupBy("component").agg(F.count("*").alias("sets"), F.sum("n").alias("elements"))
     large = (F.col("sets") > tile_sets) | (F.col("elements") > tile_elements)
-    sized = members.join(cut_lineage(groups.select("component", large.alias("large"))), "component")
-    sized = sized.withColumn("band", F.floor(F.log(SIZE_BAND, F.col("n"))))
+    # There are fewer large groups than sets divided by the size of a tile.
+    groups = cut_lineage(groups.filter(large).select("component", F.lit(True).alias("large")))
+    sized = members.join(small(groups, BROADCAST_ROWS), "component", "left")
+    sized = sized.withColumn("large", F.coalesce("large", F.lit(False))).withColumn("band", F.floor(F.log(SIZE_BAND, F.col("n"))))
     bands = sized.filter("large").groupBy("component", "band")
     parts = F.ceil(F.greatest(F.count("*") / tile_sets, F.sum("n") / tile_elements))
     bands = cut_lineage(bands.agg(parts.cast("long").alias("parts")))
@@ -118,7 +120,7 @@ def _tiles(members: DataFrame, tile_sets: int, tile_elements: int) -> DataFrame:
         return bands.select("component", (F.col("band") - step).alias("band"), F.col("parts").alias(name))
 
     for step, name in ((0, "own"), (1, "above"), (-1, "below")):
-        sized = sized.join(near(step, name), ["component", "band"], "left")
+        sized = sized.join(small(near(step, name), BROADCAST_ROWS), ["component", "band"], "left")
     salt = F.pmod(F.xxhash64("rep"), F.col("own"))
 
     def tile(low, first, high, second):
