@@ -38,6 +38,15 @@ def data_error(*message: Column | str) -> Column:
     return F.raise_error(F.concat_ws("", *parts, F.lit(" (partition "), F.spark_partition_id(), F.lit(")")))
 
 
+def input_error(*message: Column | str) -> Column:
+    """Error that stops the job where a value of the input is used.
+
+    Unlike ``data_error`` it lets the optimizer move a filter below it, so that stored
+    folders are left unread, and what is not read cannot fail.
+    """
+    return F.raise_error(F.concat_ws("", *[F.lit(m) if isinstance(m, str) else m for m in message]))
+
+
 def whole_year(column: Column, lenient: bool = False) -> Column:
     """Year as int: fractions are cut off, text that is not a whole number is an error.
 

@@ -31,7 +31,9 @@ def observations_for(
     column of the observations; landed pages (``key="code"``) can be chosen in
     the same way before their bodies are parsed.
     """
-    codes = selection.select(F.col(CODE).alias(key))
+    # The filter keeps every code but null, which meets no observation; it tells the
+    # optimizer that the codes are a choice, so that other stored folders are not read.
+    codes = selection.select(F.col(CODE).alias(key)).filter(F.length(key) >= 0)
     if dedupe:
         lookup = codes.distinct()
         return join_on_key(observations, lookup, key, "left_semi", broadcast_bytes, hot_share)

@@ -16,12 +16,14 @@ VALUE = "NumericValue"
 YEAR = "YEAR"
 ROWS = "value"
 NEXT_LINK = "@odata.nextLink"
+UNREADABLE = "__unreadable"
+PROBLEM = "problem"
 NEEDED = (SPATIAL, TIME, CODE, VALUE)
 
 CATALOG = T.StructType([T.StructField(CODE, T.StringType()), T.StructField(NAME, T.StringType())])
 
-# The year is read as text, so that an unreadable one is reported by the cast
-# in ``clean_long`` and not lost as a null of the JSON reader.
+# The year is text, so that an unreadable one is reported by the cast in
+# ``clean_long`` and not lost as a null of the JSON reader.
 OBSERVATION = T.StructType(
     [
         T.StructField(SPATIAL, T.StringType()),
@@ -44,9 +46,23 @@ LANDED = T.StructType(
 
 
 def page_schema(row: T.StructType) -> T.StructType:
-    """Envelope of one page whose rows have the type ``row``."""
+    """Envelope of one page whose rows have the type ``row``, as it is read.
+
+    A year keeps its JSON type, since numbers and texts are cut in different ways;
+    values are read as text, so that one that is not a number can be told from a
+    missing one.  ``UNREADABLE`` gets a body that does not have this form.
+    """
+
+    def as_read(field: T.StructField) -> T.StructField:
+        kind = T.VariantType() if field.name == TIME else field.dataType
+        return T.StructField(field.name, T.StringType() if isinstance(kind, T.DoubleType) else kind)
+
     return T.StructType(
-        [T.StructField(ROWS, T.ArrayType(row)), T.StructField(NEXT_LINK, T.StringType())]
+        [
+            T.StructField(ROWS, T.ArrayType(T.StructType([as_read(f) for f in row]))),
+            T.StructField(NEXT_LINK, T.StringType()),
+            T.StructField(UNREADABLE, T.StringType()),
+        ]
     )
 
 

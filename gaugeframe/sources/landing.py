@@ -8,14 +8,33 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeframe.functions.numbers import data_error
-from gaugeframe.schemas import CATALOG, CODE, LANDED, NEXT_LINK, OBSERVATION, ROWS, page_schema
+from gaugeframe.functions.numbers import data_error, input_error
+from gaugeframe.schemas import (
+    CATALOG,
+    CODE,
+    LANDED,
+    NEXT_LINK,
+    OBSERVATION,
+    PROBLEM,
+    ROWS,
+    TIME,
+    UNREADABLE,
+    VALUE,
+    page_schema,
+)
 
 OnError = Literal["skip", "fail"]
+# What becomes of bodies and values that cannot be read: the job stops, or they
+# stay with a ``problem`` for ``unreadable_pages``.  They never vanish.
+OnUnreadable = Literal["fail", "mark"]
+
+
+class IncompletePagesError(RuntimeError):
+    """Pages are linked that have not been landed."""
 
 
 def read_landed(spark: SparkSession, path: str | list[str], file_format: str = "json") -> DataFrame:
@@ -23,40 +42,43 @@ def read_landed(spark: SparkSession, path: str | list[str], file_format: str = "
     return spark.read.format(file_format).schema(LANDED).load(path)
 
 
+def landed_page_files(
+    spark: SparkSession, path: str | list[str], multiline: bool = False, by_code: bool = False
+) -> DataFrame:
+    """Page files as a landing table: one page per line or (``multiline``) per file.
+
+    Page-per-line files can be split between tasks and should be preferred; their empty
+    lines are no pages.  ``by_code`` takes the code from folders named
+    ``IndicatorCode=...``, always as text.
+    """
+    schema = f"value string, {CODE} string" if by_code else "value string"
+    lines = spark.read.schema(schema).text(path, wholetext=multiline)
+    if not multiline:
+        lines = lines.filter(F.trim("value") != "")
+    code = F.col(CODE) if by_code else F.lit(None).cast("string")
+    url = F.col("_metadata.file_path")
+    return lines.select(url.alias("url"), code.alias("code"), F.lit(200).alias("status"), F.col("value").alias("body"))
+
+
 def read_page_files(
     spark: SparkSession,
     path: str | list[str],
     row: T.StructType,
-    on_error: OnError = "skip",
+    on_unreadable: OnUnreadable = "fail",
     multiline: bool = False,
 ) -> DataFrame:
-    """Pages stored as JSON files, one page per line or (``multiline``) per file.
-
-    Page-per-line files can be split between tasks and should be preferred.
-    """
-    reader = _page_reader(spark, page_schema(row), on_error, multiline)
-    return reader.json(path).select("*", F.col("_metadata.file_path").alias("url"))
+    """Pages stored as JSON files, decoded as those of a landing table."""
+    return decode_pages(landed_page_files(spark, path, multiline), row, on_unreadable=on_unreadable)
 
 
 def scan_observation_files(
-    spark: SparkSession, path: str, on_error: OnError = "skip", multiline: bool = False
+    spark: SparkSession, path: str, on_unreadable: OnUnreadable = "fail", multiline: bool = False
 ) -> DataFrame:
     """Observations of page files that lie in one folder per requested code.
 
-    The folder names (``IndicatorCode=...``) give the code, always as text; a join
-    with a selection leaves the other folders unread.
+    A join with a selection leaves the folders of other codes unread.
     """
-    schema = T.StructType([*page_schema(OBSERVATION), T.StructField(CODE, T.StringType())])
-    pages = _page_reader(spark, schema, on_error, multiline).json(path)
-    rows = unnest_rows(pages.withColumnRenamed(CODE, "code"), keep=("code",))
-    return stamp_code(rows, "code")
-
-
-def _page_reader(
-    spark: SparkSession, schema: T.StructType, on_error: OnError, multiline: bool
-) -> DataFrameReader:
-    mode = {"skip": "DROPMALFORMED", "fail": "FAILFAST"}[on_error]
-    return spark.read.schema(schema).option("mode", mode).option("multiLine", multiline)
+    return scan_observations(landed_page_files(spark, path, multiline, by_code=True), on_unreadable=on_unreadable)
 
 
 def keep_ok(landed: DataFrame) -> DataFrame:
@@ -72,48 +94,133 @@ def fail_on_error(landed: DataFrame) -> DataFrame:
     return landed.withColumn("body", F.when(good, F.col("body")).otherwise(problem.cast("string")))
 
 
-def decode_pages(landed: DataFrame, row: T.StructType, on_error: OnError = "skip") -> DataFrame:
-    """Apply the status policy and parse the bodies; adds ``value`` and the next link."""
+def decode_pages(
+    landed: DataFrame, row: T.StructType, on_error: OnError = "skip", on_unreadable: OnUnreadable = "fail"
+) -> DataFrame:
+    """Apply the status policy and parse the bodies; adds ``value`` and the next link.
+
+    An accepted body that is not a page with rows stops the job, or with ``mark`` has
+    no rows and a ``problem``.
+    """
     accepted = {"skip": keep_ok, "fail": fail_on_error}[on_error](landed)
-    mode = {"skip": "PERMISSIVE", "fail": "FAILFAST"}[on_error]
-    page = F.from_json("body", page_schema(row), {"mode": mode})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
     others = [c for c in landed.columns if c != "body"]
-    return accepted.withColumn("page", page).select(*others, "page.*")
+    pages = accepted.withColumn("page", F.from_json("body", page_schema(row), options))
+    unreadable = F.col(f"page.{UNREADABLE}").isNotNull()
+    problem = F.when(unreadable, "not a page").when(F.col(f"page.{ROWS}").isNull(), "no rows")
+    rows, link = F.col(f"page.{ROWS}"), F.col(f"page.`{NEXT_LINK}`").alias(NEXT_LINK)
+    if on_unreadable == "mark":
+        kept = F.when(problem.isNull(), rows)
+        return pages.select(*others, kept.alias(ROWS), link, problem.alias(PROBLEM))
+    stop = input_error("unreadable page (", problem, "): ", *_address(landed)).cast(_type_of(pages, ROWS))
+    return pages.select(*others, F.when(problem.isNull(), rows).otherwise(stop).alias(ROWS), link)
+
+
+def _address(landed: DataFrame) -> list[Column]:
+    names = [c for c in ("url", "code") if c in landed.columns]
+    return [F.concat_ws(" ", *names)] if names else []
+
+
+def _type_of(pages: DataFrame, field: str) -> T.DataType:
+    return pages.schema["page"].dataType[field].dataType
 
 
 def unnest_rows(pages: DataFrame, keep: tuple[str, ...] = (), position: str | None = None) -> DataFrame:
     """One row per entry of ``value``; null and empty arrays give none.
 
-    ``position`` names a column for the place of the entry within its page.
+    ``position`` names a column for the place of the entry within its page.  Pages that
+    carry a ``problem`` stay as one row; so do rows with a value that is not a number.
+    Without that column such a value stops the job.
+
     The outer form of explode, with the filter after it, parses each body once;
     for the inner form the optimizer adds a filter that parses it again.
     """
+    marking = PROBLEM in pages.columns
+    keep = (*keep, PROBLEM) if marking else keep
     if position is None:
         rows = pages.select(*keep, F.explode_outer(ROWS).alias("row"))
     else:
         rows = pages.select(*keep, F.posexplode_outer(ROWS).alias(position, "row"))
         keep = (*keep, position)
-    return rows.filter(F.col("row").isNotNull()).select(*keep, "row.*")
-
-
-def scan_catalog(landed: DataFrame, on_error: OnError = "skip") -> DataFrame:
+    held = F.col("row").isNotNull()
+    flat = rows.filter(held | F.col(PROBLEM).isNotNull() if marking else held).select(*keep, "row.*")
+    if TIME in flat.columns and isinstance(flat.schema[TIME].dataType, T.VariantType):
+        flat = flat.withColumn(TIME, _year_text(F.col(TIME)))
+    if VALUE in flat.columns and isinstance(flat.schema[VALUE].dataType, T.StringType):
+        text = F.trim(F.col(VALUE), F.lit('"'))
+        number = text.try_cast("double")
+        wrong = number.isNull() & F.col(VALUE).isNotNull()
+        if marking:
+            reason = F.concat(F.lit("not a number: "), F.col(VALUE))
+            flat = flat.withColumn(PROBLEM, F.coalesce(PROBLEM, F.when(wrong, reason))).withColumn(VALUE, number)
+        else:
+            stop = input_error("not a number: ", F.col(VALUE)).cast("double")
+            flat = flat.withColumn(VALUE, F.when(wrong, stop).otherwise(number))
+    return flat
+
+
+def _year_text(year: Column) -> Column:
+    """A year as text: fractions of JSON numbers are cut off, texts stay as they are."""
+    number = F.try_variant_get(year, "$", "double").cast("bigint").cast("string")
+    numeric = F.schema_of_variant(year).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return F.when(numeric, number).otherwise(F.try_variant_get(year, "$", "string"))
+
+
+def scan_catalog(
+    landed: DataFrame, on_error: OnError = "fail", on_unreadable: OnUnreadable = "fail"
+) -> DataFrame:
     """Catalogue rows of all landed catalogue pages."""
-    return unnest_rows(decode_pages(landed, CATALOG, on_error))
+    return unnest_rows(decode_pages(landed, CATALOG, on_error, on_unreadable))
 
 
 def scan_observations(
-    landed: DataFrame, on_error: OnError = "skip", row: T.StructType = OBSERVATION
+    landed: DataFrame,
+    on_error: OnError = "skip",
+    row: T.StructType = OBSERVATION,
+    on_unreadable: OnUnreadable = "fail",
 ) -> DataFrame:
-    """Observations of all landed pages, stamped with the code that was asked for."""
-    rows = unnest_rows(decode_pages(landed, row, on_error), keep=("code",))
+    """Observations of all landed pages, stamped with the code that was asked for.
+
+    With ``mark`` what cannot be read stays as rows with a ``problem``.
+    """
+    rows = unnest_rows(decode_pages(landed, row, on_error, on_unreadable), keep=("code",))
     return stamp_code(rows, "code")
 
 
+def unreadable_pages(landed: DataFrame, on_error: OnError = "skip", row: T.StructType = OBSERVATION) -> DataFrame:
+    """Address, code and problem of every page and every row that cannot be read."""
+    rows = unnest_rows(decode_pages(landed, row, on_error, "mark"), keep=("url", "code"))
+    return rows.filter(F.col(PROBLEM).isNotNull()).select("url", "code", PROBLEM)
+
+
+def readable_observations(
+    landed: DataFrame, on_error: OnError = "skip", row: T.StructType = OBSERVATION
+) -> DataFrame:
+    """The observations that ``unreadable_pages`` does not name."""
+    rows = scan_observations(landed, on_error, row, "mark")
+    return rows.filter(F.col(PROBLEM).isNull()).drop(PROBLEM)
+
+
 def stamp_code(rows: DataFrame, requested: str) -> DataFrame:
     """Replace a payload's indicator code by the requested one."""
     return rows.withColumn(CODE, F.col(requested)).drop(requested)
 
 
+def page_links(landed: DataFrame, on_error: OnError = "skip") -> DataFrame:
+    """Address and next link of the landed pages; rows are not decoded."""
+    accepted = {"skip": keep_ok, "fail": fail_on_error}[on_error](landed)
+    link = F.from_json("body", T.StructType([T.StructField(NEXT_LINK, T.StringType())]))
+    return accepted.select("url", link[NEXT_LINK].alias(NEXT_LINK))
+
+
+def ensure_complete(landed: DataFrame, on_error: OnError = "skip") -> DataFrame:
+    """Return ``landed`` unchanged, or raise if a page is linked that was not landed."""
+    missing = [r["missing_url"] for r in audit_page_chain(page_links(landed, on_error)).limit(5).collect()]
+    if missing:
+        raise IncompletePagesError(f"linked pages were not landed, among them {missing}")
+    return landed
+
+
 def audit_page_chain(pages: DataFrame, link: str = NEXT_LINK) -> DataFrame:
     """Next-page addresses that were never landed, and how many pages name them.
 

@@ -6,17 +6,23 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gaugeframe.operators.facts import observations_for
+from gaugeframe.operators.selection import select_indicators
 from gaugeframe.schemas import CATALOG, LANDED, NEXT_LINK, OBSERVATION
 from gaugeframe.sources.landing import (
     audit_page_chain,
     decode_pages,
+    ensure_complete,
     fail_on_error,
+    IncompletePagesError,
     keep_ok,
+    landed_page_files,
     read_page_files,
+    readable_observations,
     scan_catalog,
     scan_observation_files,
     scan_observations,
     unnest_rows,
+    unreadable_pages,
 )
 
 
@@ -36,10 +42,11 @@ def test_catalog_pages_are_unnested(spark, rows):
         spark,
         ("u1", None, 200, page({"IndicatorCode": "A", "IndicatorName": "a", "Language": "EN"}, {"IndicatorCode": "B"})),
         ("u2", None, 200, page()),
-        ("u3", None, 200, '{"other": 1}'),
-        ("u4", None, 200, '{"value": null}'),
     )
     assert rows(scan_catalog(pages)) == [("A", "a"), ("B", None)]
+    for body in ('{"other": 1}', '{"value": null}', None):
+        with pytest.raises(PySparkException, match="no rows"):
+            scan_catalog(pages.union(landed(spark, ("u3", None, 200, body)))).collect()
 
 
 def test_requested_code_replaces_the_payload_code(spark, rows):
@@ -64,11 +71,40 @@ def test_failed_responses_are_skipped_or_stop_the_job(spark, rows):
         fail_on_error(pages).select("body").collect()
 
 
-def test_malformed_bodies(spark):
-    pages = landed(spark, ("u", "A", 200, "<html>not json"), ("v", "A", 200, page({"SpatialDim": "AFG"})))
-    assert scan_observations(pages, on_error="skip").count() == 1
-    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed"):
-        scan_observations(pages, on_error="fail").collect()
+BAD = [
+    ("html", "<html>not json", "not a page"),
+    ("cut", '{"value": [{"SpatialDim": "AFG"}, {"Spa', "not a page"),
+    ("object", '{"value": {"SpatialDim": "AFG"}}', "not a page"),
+    ("list", "[1, 2]", "not a page"),
+    ("other", '{"error": 1}', "no rows"),
+    ("text", page({"SpatialDim": "AFG", "NumericValue": 1}, {"NumericValue": "n/a"}, {"SpatialDim": "ALB", "NumericValue": "2.5"}), "not a number: n/a"),
+]
+
+
+def test_unreadable_pages_stop_the_job_or_are_named(spark, rows):
+    good = ("good", "A", 200, page({"SpatialDim": "AND", "TimeDim": 2000, "NumericValue": 3}))
+    pages = landed(spark, good, ("failed", "A", 500, "oops"), *[(u, "A", 200, b) for u, b, _ in BAD])
+    assert rows(unreadable_pages(pages)) == sorted((u, "A", p) for u, _, p in BAD)
+    assert rows(readable_observations(pages), "SpatialDim", "NumericValue") == [("AFG", 1.0), ("ALB", 2.5), ("AND", 3.0)]
+    for u, body, problem in BAD:
+        with pytest.raises((PySparkException, Py4JJavaError), match=problem):
+            scan_observations(landed(spark, good, (u, "A", 200, body))).collect()
+
+
+def test_files_and_table_give_the_same(spark, rows, tmp_path):
+    bodies = [b for _, b, _ in BAD] + [page({"SpatialDim": "AND", "TimeDim": 2000.9, "NumericValue": 3})]
+    (tmp_path / "pages.json").write_text("\n\n".join(bodies))
+    table = landed(spark, *[("u", None, 200, b) for b in bodies])
+    files = landed_page_files(spark, str(tmp_path))
+    for read in (readable_observations, lambda x: unreadable_pages(x).select("problem")):
+        assert rows(read(files)) == rows(read(table))
+
+
+def test_years_of_json(spark, rows):
+    years = [2016, 2016.0, 2016.7, 2.016e3, "2016", "2016.7", None]
+    pages = landed(spark, ("u", "A", 200, page(*[{"SpatialDim": str(i), "TimeDim": y} for i, y in enumerate(years)])))
+    found = [r["TimeDim"] for r in scan_observations(pages).orderBy("SpatialDim").collect()]
+    assert found == ["2016", "2016", "2016", "2016", "2016", "2016.7", None]
 
 
 def test_positions_within_pages(spark, rows):
@@ -78,13 +114,10 @@ def test_positions_within_pages(spark, rows):
 
 
 def test_page_files(spark, rows, tmp_path):
-    lines = [page({"SpatialDim": "AFG", "NumericValue": 2}), '{"error": "x"}', "broken", page()]
-    (tmp_path / "pages.json").write_text("\n".join(lines))
+    (tmp_path / "pages.json").write_text(page({"SpatialDim": "AFG", "NumericValue": 2}) + "\n" + page())
     found = unnest_rows(read_page_files(spark, str(tmp_path), OBSERVATION), keep=("url",))
     assert rows(found, "SpatialDim", "NumericValue") == [("AFG", 2.0)]
     assert found.select("url").first()["url"].endswith("pages.json")
-    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed"):
-        read_page_files(spark, str(tmp_path), OBSERVATION, on_error="fail").collect()
 
 
 def test_one_page_per_file(spark, rows, tmp_path):
@@ -102,6 +135,13 @@ def test_chain_audit_names_missing_pages(spark, rows):
     assert rows(audit_page_chain(pages)) == [("p3", 1), ("p9", 2)]
 
 
+def test_complete_chain_is_required(spark):
+    pages = landed(spark, ("p1", None, 200, page(link="p2")), ("p2", None, 200, page()))
+    assert ensure_complete(pages) is pages
+    with pytest.raises(IncompletePagesError, match="p2"):
+        ensure_complete(pages.filter("url = 'p1'"))
+
+
 def test_bodies_are_parsed_once(spark):
     pages = landed(spark, ("u", "A", 200, page()))
     plan = scan_observations(pages)._jdf.queryExecution().executedPlan().toString()
@@ -121,7 +161,7 @@ def test_page_files_in_code_folders(spark, rows, tmp_path):
         (folder / "p.json").write_text(page({"SpatialDim": "AFG", "TimeDim": 2000, "IndicatorCode": "payload", "NumericValue": value}))
     found = scan_observation_files(spark, str(tmp_path))
     assert rows(found, "IndicatorCode", "TimeDim", "NumericValue") == [("007", "2000", 1.0), ("8", "2000", 2.0), ("9", "2000", 3.0)]
-    names = spark.createDataFrame([("007", "agent"), ("8", "other")], CATALOG).filter(F.col("IndicatorName").rlike("age"))
-    chosen = observations_for(found, names)
+    names = spark.createDataFrame([("007", "agent"), ("8", "other")], CATALOG)
+    chosen = observations_for(found, select_indicators(names, ["age"]))
     assert rows(chosen, "IndicatorCode", "NumericValue") == [("007", 1.0)]
     assert "dynamicpruning" in chosen._jdf.queryExecution().executedPlan().toString().lower()
