@@ -8,7 +8,8 @@ from pyspark.sql import SparkSession
 
 from gaugeframe.plans.export import export_topics
 from gaugeframe.plans.topics import TOPICS, landed_for_topics, topic_named
-from gaugeframe.sources.landing import read_landed, scan_catalog, scan_observations
+from gaugeframe.sources.landing import ensure_complete, read_landed, scan_catalog, scan_observations
+from gaugeframe.storage import cut_lineage
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -21,15 +22,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--on-error",
         choices=["skip", "fail"],
-        help="failed responses of selected indicators; if left out, fail where all chosen topics ask for it",
+        help="failed responses of selected indicators; if left out, as each topic asks for",
     )
+    parser.add_argument("--catalog-on-error", choices=["skip", "fail"], default="fail", help="failed catalogue pages")
+    parser.add_argument("--allow-missing-pages", action="store_true", help="linked pages may be absent")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("gaugeframe").getOrCreate()
     topics = [topic_named(name) for name in args.topic] or TOPICS
-    on_error = args.on_error or ("fail" if all(t.on_error == "fail" for t in topics) else "skip")
-    catalog = scan_catalog(read_landed(spark, args.catalog, args.format), on_error)
-    pages = landed_for_topics(catalog, read_landed(spark, args.observations, args.format), topics)
-    facts = scan_observations(pages, on_error)
+    catalog_pages = read_landed(spark, args.catalog, args.format)
+    if not args.allow_missing_pages:
+        ensure_complete(catalog_pages, args.catalog_on_error)
+    catalog = cut_lineage(scan_catalog(catalog_pages, args.catalog_on_error))
+    pages = landed_for_topics(catalog, read_landed(spark, args.observations, args.format), topics, args.on_error)
+    if not args.allow_missing_pages:
+        ensure_complete(pages)
+    facts = scan_observations(pages)
     lacking = export_topics(catalog, facts, args.output, topics)
     print(f"exported {len(topics) - len(lacking)} topics to {args.output}; without data: {lacking}")
 

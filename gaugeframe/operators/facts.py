@@ -8,8 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeframe.operators.joins import BROADCAST_BYTES, HOT_SHARE, join_on_key, measured_bytes
+from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key, measured_bytes
 from gaugeframe.schemas import CODE
+from gaugeframe.storage import cut_lineage
 
 
 class NoDataError(RuntimeError):
@@ -21,7 +22,6 @@ def observations_for(
     selection: DataFrame,
     dedupe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
     key: str = CODE,
 ) -> DataFrame:
     """Observations of the selected codes, in one scan.
@@ -33,14 +33,15 @@ def observations_for(
     """
     # The filter keeps every code but null, which meets no observation; it tells the
     # optimizer that the codes are a choice, so that other stored folders are not read.
-    codes = selection.select(F.col(CODE).alias(key)).filter(F.length(key) >= 0)
+    # Stored, since it is measured and then joined.
+    codes = cut_lineage(selection.select(F.col(CODE).alias(key))).filter(F.length(key) >= 0)
     if dedupe:
         lookup = codes.distinct()
-        return join_on_key(observations, lookup, key, "left_semi", broadcast_bytes, hot_share)
+        return join_on_key(observations, lookup, key, "left_semi", broadcast_bytes)
     if measured_bytes(codes) <= broadcast_bytes:
         return observations.join(F.broadcast(codes), key)
     copies = codes.groupBy(key).agg(F.count("*").alias("copies"))
-    joined = join_on_key(observations, copies, key, hot_share=hot_share, small=False)
+    joined = join_on_key(observations, copies, key, small=False)
     return repeat_rows(joined, "copies")
 
 
@@ -54,7 +55,6 @@ def indicators_without_data(
     selection: DataFrame,
     observations: DataFrame,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Selected indicators that have no observation.
 
@@ -62,7 +62,7 @@ def indicators_without_data(
     shuffle, and the anti join meets each code once.
     """
     wanted = selection.select(CODE).distinct()
-    held = join_on_key(observations.select(CODE), wanted, CODE, "left_semi", broadcast_bytes, hot_share)
+    held = join_on_key(observations.select(CODE), wanted, CODE, "left_semi", broadcast_bytes)
     return selection.join(held.distinct(), CODE, "left_anti")
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeframe.storage import cut_lineage
+
 BROADCAST_BYTES = 32 * 1024 * 1024
-HOT_SHARE = 0.002
-SKETCH_GROUPS = 256
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -20,44 +18,21 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def frequent_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list[Any]:
-    """Keys that hold more than ``share`` of the rows: at most ``1/share`` of them.
-
-    Sketches of bounded size find them in one pass over the key column, without a
-    shuffle of keys; they are merged in two steps, so that no task receives the
-    sketches of all others.  The counts are approximate, which may cost speed but
-    no rows: any list of keys gives the same join result.
-    """
-    most = int(1 / share)
-    tracked = max(4096, 4 * most)
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
-    partial = df.filter(F.col(key).isNotNull()).groupBy(group.alias("part")).agg(
-        F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias("sketch"), F.count("*").alias("n")
-    )
-    whole = partial.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {most})").alias("top"),
-        F.sum("n").alias("total"),
-    )
-    found = whole.select(F.explode("top").alias("t"), "total")
-    hot = found.filter(F.col("t.count") > F.col("total") * share).select("t.item")
-    return [r["item"] for r in hot.collect()]
-
-
 def join_on_key(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
     small: bool | None = None,
 ) -> DataFrame:
     """Join many ``rows`` with a ``lookup`` that has each key once (inner or left_semi).
 
-    A lookup measured as small is broadcast, so the rows are not shuffled.
-    Otherwise the few hot keys are split off: their at most ``1/hot_share``
-    lookup rows are broadcast, and only rows of the other keys, none of which is
-    frequent, are shuffled.  ``small`` passes on a size check already made.
+    A lookup measured as small is broadcast, so the rows are not shuffled.  Otherwise both
+    sides are shuffled once; the lookup is stored first, so that its side is a plain shuffle
+    too and adaptive execution can split a key that has a large share of the rows, with the
+    lookup row of that key copied to each part.  The rows are read once in either case.
+    ``small`` passes on a size check already made.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -65,10 +40,4 @@ def join_on_key(
         small = measured_bytes(lookup) <= broadcast_bytes
     if small:
         return rows.join(F.broadcast(lookup), key, how)
-    hot = frequent_keys(rows, key, hot_share)
-    if not hot:
-        return rows.join(lookup, key, how)
-    is_hot = F.col(key).isin(hot)
-    spread = rows.filter(~is_hot).join(lookup.filter(~is_hot), key, how)
-    heavy = rows.filter(is_hot).join(F.broadcast(lookup.filter(is_hot)), key, how)
-    return spread.unionByName(heavy)
+    return rows.join(cut_lineage(lookup).filter(F.col(key).isNotNull()).hint("merge"), key, how)

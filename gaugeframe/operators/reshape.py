@@ -15,7 +15,6 @@ from gaugeframe.schemas import CODE, NEEDED, SPATIAL, TIME, VALUE, YEAR, require
 from gaugeframe.storage import cut_lineage
 
 NullPolicy = Literal["keys", "value"]
-MAX_COLUMNS = 5000
 
 
 class WideKey(NamedTuple):
@@ -100,11 +99,14 @@ def column_dictionary(cells: DataFrame) -> DataFrame:
     return with_ordinal(keys, [F.col(CODE).asc(), F.col(YEAR).asc()])
 
 
-def wide_keys(cells: DataFrame, max_columns: int = MAX_COLUMNS) -> list[WideKey]:
-    """Sorted wide columns of ``cells``; raises rather than leaving any out."""
+def wide_keys(cells: DataFrame, max_columns: int | None = None) -> list[WideKey]:
+    """Sorted wide columns of ``cells``, which become fields of a schema on the driver.
+
+    With ``max_columns`` more of them are an error; none is ever left out.
+    """
     distinct = cells.select(CODE, YEAR).distinct().orderBy(CODE, YEAR)
-    found = distinct.limit(max_columns + 1).collect()
-    if len(found) > max_columns:
+    found = (distinct if max_columns is None else distinct.limit(max_columns + 1)).collect()
+    if max_columns is not None and len(found) > max_columns:
         raise TooManyColumnsError(
             f"more than {max_columns} wide columns: raise max_columns, or keep the means as rows"
         )
@@ -115,7 +117,7 @@ def pivot_wide(
     cells: DataFrame,
     entity: str = "COUNTRY",
     keys: Sequence[tuple[str, int]] | None = None,
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """One row per entity, one column ``code|year`` per key, both in order.
 

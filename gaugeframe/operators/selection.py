@@ -28,16 +28,24 @@ def select_indicators(
     return kept.groupBy(CODE, NAME).agg(F.min(position).alias(position))
 
 
-def select_by_topic(catalog: DataFrame, patterns: Mapping[str, Sequence[str]]) -> DataFrame:
+def select_by_topic(
+    catalog: DataFrame, patterns: Mapping[str, Sequence[str]], names: bool = True
+) -> DataFrame:
     """Distinct (topic, code, name) for many topics in one pass over the catalogue.
 
+    Each (code, name) is kept once before it is copied to its topics.  ``names=False`` gives
+    (topic, code) and does not shuffle the names, which may be whole texts.
+
     The outer explode, filtered afterwards, matches every name once; for the
     inner one the optimizer adds a filter that matches it again.
     """
     require_columns(catalog, [CODE, NAME])
-    topics = F.explode_outer(matching_topics(F.col(NAME), patterns)).alias("topic")
-    hits = catalog.select(topics, CODE, NAME).filter(F.col("topic").isNotNull())
-    return hits.dropDuplicates(["topic", CODE, NAME])
+    found = matching_topics(F.col(NAME), patterns).alias("topics")
+    if names:
+        pairs = catalog.select(found, CODE, NAME).filter(F.size("topics") > 0).dropDuplicates([CODE, NAME])
+        return pairs.select(F.explode("topics").alias("topic"), CODE, NAME)
+    hits = catalog.select(F.explode_outer(found).alias("topic"), CODE).filter(F.col("topic").isNotNull())
+    return hits.dropDuplicates(["topic", CODE])
 
 
 def selection_order() -> list[Column]:

@@ -13,7 +13,7 @@ from gaugeframe.operators.facts import NoDataError, ensure_not_empty
 from gaugeframe.operators.reshape import TooManyColumnsError, clean_long, mean_cells
 from gaugeframe.plans.topics import TOPICS, Topic, all_topics_rows
 from gaugeframe.sinks.csv import write_long_csv, write_wide_csv
-from gaugeframe.storage import scratch_path
+from gaugeframe.storage import remove_path, scratch_path
 
 
 class TopicErrors(RuntimeError):
@@ -61,6 +61,9 @@ def export_topics(
     topics share the cluster.
     """
     spark = catalog.sparkSession
+    # Files of an earlier export must not stand beside those of this one.
+    for topic in topics:
+        remove_path(spark, f"{path}/{topic.name}")
     stored_path = scratch_path(spark, "topics")
     rows = all_topics_rows(catalog, observations, topics, dedupe)
     store_topics(rows, stored_path)
@@ -75,8 +78,11 @@ def export_topics(
             return error
         return None
 
-    with ThreadPoolExecutor(parallel) as pool:
-        outcomes = dict(zip((t.name for t in topics), pool.map(export, topics)))
+    try:
+        with ThreadPoolExecutor(parallel) as pool:
+            outcomes = dict(zip((t.name for t in topics), pool.map(export, topics)))
+    finally:
+        remove_path(spark, stored_path)
     lacking = [name for name, error in outcomes.items() if isinstance(error, NoDataError)]
     problems = {name: error for name, error in outcomes.items() if error and name not in lacking}
     if problems:

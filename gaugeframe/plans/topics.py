@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.numbers import data_error, whole_year
-from gaugeframe.operators.facts import observations_for, repeat_rows
-from gaugeframe.operators.joins import BROADCAST_BYTES, HOT_SHARE, join_on_key, measured_bytes
+from gaugeframe.operators.facts import indicators_without_data, observations_for, repeat_rows
+from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key, measured_bytes
 from gaugeframe.operators.reshape import (
-    MAX_COLUMNS,
     NullPolicy,
     clean_long,
     mark_missing,
@@ -24,7 +23,7 @@ from gaugeframe.operators.reshape import (
 )
 from gaugeframe.operators.selection import select_by_topic, select_indicators
 from gaugeframe.schemas import CODE, NEEDED, VALUE, YEAR
-from gaugeframe.sources.landing import OnError, scan_catalog, scan_observations
+from gaugeframe.sources.landing import OnError, ensure_complete, fail_on_error, scan_catalog, scan_observations
 from gaugeframe.storage import cut_lineage
 
 ENTITY = "ENTITY"
@@ -39,6 +38,7 @@ class Topic:
     entity: str = "COUNTRY"
     null_policy: NullPolicy = "keys"
     on_error: OnError = "skip"
+    catalog_on_error: OnError = "fail"
 
     @property
     def patterns(self) -> tuple[str, ...]:
@@ -336,12 +336,36 @@ def topic_named(name: str, topics: Sequence[Topic] = TOPICS) -> Topic:
     return found[0]
 
 
-class TopicTables(NamedTuple):
-    """Lazy results of one topic."""
+@dataclass(frozen=True)
+class TopicTables:
+    """Results of one topic; nothing is computed before a table is asked for.
+
+    ``wide`` needs its columns: without ``keys`` the means are then stored and their
+    columns looked up.  ``without_data`` are the selected indicators without observations.
+    """
+
+    selection: DataFrame
+    collected: DataFrame
+    topic: Topic
+    keys: Sequence[tuple[str, int]] | None = None
+    scale: int | None = None
+    max_columns: int | None = None
 
-    long: DataFrame
-    cells: DataFrame
-    wide: DataFrame
+    @cached_property
+    def long(self) -> DataFrame:
+        return clean_long(self.collected, self.topic.entity, self.topic.null_policy)
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return mean_cells(self.long, self.topic.entity, self.scale)
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        return pivot_wide(self.cells, self.topic.entity, self.keys, self.max_columns)
+
+    @cached_property
+    def without_data(self) -> DataFrame:
+        return indicators_without_data(self.selection, self.collected)
 
 
 def run_topic(
@@ -351,19 +375,13 @@ def run_topic(
     keys: Sequence[tuple[str, int]] | None = None,
     scale: int | None = None,
     dedupe: bool = False,
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> TopicTables:
-    """Select, collect, clean, average and pivot for one topic.
-
-    Without ``keys`` the wide columns come from the data, which runs the
-    averaging at once.
-    """
+    """Select, collect, clean, average and pivot for one topic."""
     selection = select_indicators(catalog, topic.patterns)
     chosen = observations_for(prune(observations), selection, dedupe, broadcast_bytes)
-    long = clean_long(chosen, topic.entity, topic.null_policy)
-    cells = mean_cells(long, topic.entity, scale)
-    return TopicTables(long, cells, pivot_wide(cells, topic.entity, keys, max_columns))
+    return TopicTables(selection, chosen, topic, keys, scale, max_columns)
 
 
 def run_landed_topic(
@@ -372,26 +390,41 @@ def run_landed_topic(
     topic: Topic,
     keys: Sequence[tuple[str, int]] | None = None,
     scale: int | None = None,
-    catalog_on_error: OnError = "fail",
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
+    allow_missing_pages: bool = False,
 ) -> TopicTables:
     """As ``run_topic``, from landed pages.
 
-    Only pages of selected codes are parsed, and only these can fail the run.
+    Pages that are linked but not landed are an error unless they are allowed.  Only pages
+    of selected codes are parsed, and only these can fail the run.
     """
-    selection = select_indicators(scan_catalog(landed_catalog, catalog_on_error), topic.patterns)
+    if not allow_missing_pages:
+        ensure_complete(landed_catalog)
+    selection = select_indicators(scan_catalog(landed_catalog, topic.catalog_on_error), topic.patterns)
     pages = observations_for(landed_observations, selection, key="code")
-    long = clean_long(scan_observations(pages, topic.on_error), topic.entity, topic.null_policy)
-    cells = mean_cells(long, topic.entity, scale)
-    return TopicTables(long, cells, pivot_wide(cells, topic.entity, keys, max_columns))
+    if not allow_missing_pages:
+        ensure_complete(pages)
+    return TopicTables(selection, scan_observations(pages, topic.on_error), topic, keys, scale, max_columns)
 
 
 def landed_for_topics(
-    catalog: DataFrame, landed_observations: DataFrame, topics: Sequence[Topic] = TOPICS
+    catalog: DataFrame,
+    landed_observations: DataFrame,
+    topics: Sequence[Topic] = TOPICS,
+    on_error: OnError | None = None,
 ) -> DataFrame:
-    """The landed pages of all codes that some topic selects, before any body is parsed."""
-    terms = [term for topic in topics for term in topic.patterns]
-    return observations_for(landed_observations, select_indicators(catalog, terms), dedupe=True, key="code")
+    """The landed pages of all codes that some topic selects, before any body is parsed.
+
+    A failed page stops the job if a topic that selects its code asks for that, and is left
+    out otherwise; ``on_error`` holds for all topics instead.
+    """
+    policies = {t.name: on_error or t.on_error for t in topics}
+    chosen = select_by_topic(catalog, {t.name: t.patterns for t in topics})
+    strict = F.max(F.col("topic").isin([name for name, policy in policies.items() if policy == "fail"]))
+    codes = cut_lineage(chosen.groupBy(F.col(CODE).alias("code")).agg(strict.alias("strict")))
+    pages = join_on_key(landed_observations, codes.filter(F.length("code") >= 0), "code")
+    accepted = pages.filter((F.col("status") == 200) | F.col("strict"))
+    return fail_on_error(accepted).drop("strict")
 
 
 def _topics_per_code(catalog: DataFrame, topics: Sequence[Topic], dedupe: bool) -> DataFrame:
@@ -427,7 +460,6 @@ def all_topics_rows(
     topics: Sequence[Topic] = TOPICS,
     dedupe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Raw observations of all topics, marked by ``topic``, from one scan of the observations.
 
@@ -435,7 +467,7 @@ def all_topics_rows(
     shuffled if at all, does not grow with the number of topics.
     """
     lookup = _topics_per_code(catalog, topics, dedupe)
-    joined = join_on_key(prune(observations), lookup, CODE, "inner", broadcast_bytes, hot_share)
+    joined = join_on_key(prune(observations), lookup, CODE, "inner", broadcast_bytes)
     spread = joined.withColumn("t", F.explode("topics")).select("t.topic", "t.copies", *NEEDED)
     return repeat_rows(spread, "copies")
 
@@ -446,10 +478,9 @@ def all_topics_long(
     topics: Sequence[Topic] = TOPICS,
     dedupe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Long tables of all topics, marked by ``topic``, each under its own null policy."""
-    rows = all_topics_rows(catalog, observations, topics, dedupe, broadcast_bytes, hot_share)
+    rows = all_topics_rows(catalog, observations, topics, dedupe, broadcast_bytes)
     kept = _kept_by_policy(rename(mark_missing(rows), ENTITY), topics)
     return kept.select("topic", ENTITY, whole_year(F.col(YEAR)).alias(YEAR), CODE, VALUE)
 
@@ -460,7 +491,6 @@ def all_topics_cells(
     topics: Sequence[Topic] = TOPICS,
     scale: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
-    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Means of all topics, marked by ``topic``, from one scan of the observations.
 
@@ -471,12 +501,12 @@ def all_topics_cells(
     small = measured_bytes(lookup) <= broadcast_bytes
     codes = lookup.select(CODE)
     facts = join_on_key(
-        prune(observations), codes, CODE, "left_semi", hot_share=hot_share, small=small
+        prune(observations), codes, CODE, "left_semi", small=small
     )
     cells = mean_cells(clean_long(facts, ENTITY), ENTITY, scale)
     if not small:
         cells = cut_lineage(cells)
-    marked = join_on_key(cells, lookup, CODE, "inner", hot_share=hot_share, small=small)
+    marked = join_on_key(cells, lookup, CODE, "inner", small=small)
     return marked.withColumn("t", F.explode("topics")).select("t.topic", ENTITY, CODE, YEAR, VALUE)
 
 
@@ -484,7 +514,7 @@ def topic_wide(
     cells: DataFrame,
     topic: Topic,
     keys: Sequence[tuple[str, int]] | None = None,
-    max_columns: int = MAX_COLUMNS,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """Wide table of one topic from the means of all topics.
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,12 +9,10 @@ from pyspark.sql import functions as F
 
 from gaugeframe.functions.numbers import float_text
 from gaugeframe.operators.joins import BROADCAST_BYTES, measured_bytes
-from gaugeframe.operators.reshape import WideKey, wide_keys
+from gaugeframe.operators.reshape import column_dictionary
 from gaugeframe.schemas import CODE, VALUE, YEAR
 from gaugeframe.storage import cut_lineage
 
-MAX_FILE_COLUMNS = 1_000_000
-
 # Missing is an empty field, quotes are doubled, spaces are kept.
 CSV_FORMAT = {
     "nullValue": "",
@@ -39,33 +35,38 @@ def write_long_csv(long: DataFrame, path: str) -> None:
 
 
 def wide_csv_lines(
-    cells: DataFrame, keys: Sequence[tuple[str, int]], entity: str = "COUNTRY"
+    cells: DataFrame, keys: Sequence[tuple[str, int]] | None = None, entity: str = "COUNTRY"
 ) -> DataFrame:
     """The lines of a wide CSV file in order, with their place (section, entity).
 
     Three header lines (codes, years, entity name) come before one line per
     entity.  A line is put together from the means of its entity and the commas
-    between them, so the table needs no schema with a field per column.  One range
+    between them, so the table needs no schema with a field per column, and the columns
+    stay rows of a table.  Without ``keys`` they are those of the (stored) means.  One range
     partitioning serves both the grouping by entity and the order of the lines.
     """
-    keys = [WideKey(*k) for k in keys]
-    header = [
-        [CODE, *(k.code for k in keys)],
-        [YEAR, *(str(k.year) for k in keys)],
-        [entity, *("" for _ in keys)],
-    ]
-    spark = cells.sparkSession
-    head = spark.createDataFrame(
-        [(i, _csv_line(fields)) for i, fields in enumerate(header)], "section int, header string"
-    )
-    columns = spark.createDataFrame(
-        [(k.code, k.year, i) for i, k in enumerate(keys)], f"{CODE} string, {YEAR} int, place int"
-    )
+    if keys is None:
+        columns = column_dictionary(cells)
+    else:
+        listed = [(i, *key) for i, key in enumerate(keys)]
+        columns = cells.sparkSession.createDataFrame(listed, f"ordinal long, {CODE} string, {YEAR} int")
+    columns = cut_lineage(columns.select(CODE, YEAR, F.col("ordinal").cast("int").alias("place")))
+    width = columns.count()
+    ordered = columns.select(F.struct("place", _field(F.col(CODE)).alias("code"), F.col(YEAR).cast("string").alias("year")).alias("c"))
+    names = ordered.agg(F.array_sort(F.collect_list("c")).alias("all"))
+
+    def line(section: int, first: str, rest: Column) -> Column:
+        text = F.concat(_field(F.lit(first)), F.when(F.size("all") > 0, F.concat(F.lit(","), rest)).otherwise(""))
+        return F.struct(F.lit(section).alias("section"), text.alias("header"))
+
+    lines = [line(0, CODE, F.array_join("all.code", ",")), line(1, YEAR, F.array_join("all.year", ","))]
+    lines.append(line(2, entity, F.repeat(F.lit(","), F.size("all") - 1)))
+    head = names.select(F.explode(F.array(*lines)).alias("line")).select("line.*")
     if measured_bytes(columns) <= BROADCAST_BYTES:
         columns = F.broadcast(columns)
     text = F.coalesce(float_text(F.col(VALUE)), F.lit(""))
     placed = cells.join(columns, [CODE, YEAR]).select(
-        F.lit(len(header)).alias("section"),
+        F.lit(len(lines)).alias("section"),
         F.col(f"`{entity}`").alias("entity"),
         F.struct("place", text.alias("text")).alias("cell"),
     )
@@ -73,10 +74,13 @@ def wide_csv_lines(
     rows = parts.groupBy("section", "entity").agg(
         F.first("header").alias("header"), F.array_sort(F.collect_list("cell")).alias("cells")
     )
-    name = F.to_csv(F.struct("entity"), CSV_FORMAT)
-    body = F.concat(name, F.lit(","), _spaced(F.col("cells"), len(keys)))
-    line = F.when(F.col("section") < len(header), F.col("header")).otherwise(body)
-    return rows.select("section", "entity", line.alias("line")).orderBy("section", "entity")
+    body = F.concat(_field(F.col("entity")), F.lit(","), _spaced(F.col("cells"), width))
+    finished = F.when(F.col("section") < len(lines), F.col("header")).otherwise(body)
+    return rows.select("section", "entity", finished.alias("line")).orderBy("section", "entity")
+
+
+def _field(text: Column) -> Column:
+    return F.to_csv(F.struct(text.alias("field")), CSV_FORMAT)
 
 
 def _spaced(cells: Column, width: int) -> Column:
@@ -95,7 +99,6 @@ def write_wide_csv(
     path: str,
     entity: str = "COUNTRY",
     keys: Sequence[tuple[str, int]] | None = None,
-    max_columns: int = MAX_FILE_COLUMNS,
 ) -> None:
     """Means as a wide CSV file: text parts that form it when read in part order.
 
@@ -105,13 +108,7 @@ def write_wide_csv(
     """
     if keys is None:
         cells = cut_lineage(cells)
-        keys = wide_keys(cells, max_columns)
-    if keys:
-        lines = wide_csv_lines(cells, keys, entity).select("line")
-        lines.write.mode("overwrite").text(path)
-
-
-def _csv_line(fields: Sequence[str]) -> str:
-    line = io.StringIO()
-    csv.writer(line, lineterminator="").writerow(fields)
-    return line.getvalue()
+        if cells.isEmpty():
+            return
+    lines = wide_csv_lines(cells, keys, entity).select("line")
+    lines.write.mode("overwrite").text(path)

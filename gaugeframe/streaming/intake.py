@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeframe.schemas import LANDED
+from gaugeframe.schemas import CODE, LANDED
 from gaugeframe.sources.landing import OnError, scan_observations
 
 
@@ -24,7 +24,11 @@ def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None =
 def append_observations(
     landed: DataFrame, table_path: str, checkpoint_path: str, on_error: OnError = "skip"
 ) -> StreamingQuery:
-    """Decode what has landed since the last run, append it as parquet, and end."""
+    """Decode what has landed since the last run, append it as parquet, and end.
+
+    The table has one folder per code, as ``read_observations`` reads it; each run adds at
+    most one file per code.
+    """
     rows = scan_observations(landed, on_error)
-    writer = rows.writeStream.outputMode("append").trigger(availableNow=True)
+    writer = rows.repartition(CODE).writeStream.partitionBy(CODE).outputMode("append").trigger(availableNow=True)
     return writer.option("checkpointLocation", checkpoint_path).format("parquet").start(table_path)

@@ -8,7 +8,9 @@ from gaugeframe.operators.facts import (
     observations_for,
     union_all,
 )
-from gaugeframe.operators.joins import frequent_keys, join_on_key, measured_bytes
+from gaugeframe.operators.joins import join_on_key, measured_bytes
+from gaugeframe.operators.selection import select_indicators
+from gaugeframe.plans.topics import Topic, run_topic
 from gaugeframe.schemas import CATALOG
 from gaugeframe.sources.observations import read_observations, write_observations
 
@@ -24,7 +26,7 @@ def facts(spark):
     return spark.createDataFrame(rows, "IndicatorCode string, NumericValue int")
 
 
-WAYS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_share": 0.3}]
+WAYS = [{}, {"broadcast_bytes": 0}]
 
 
 @pytest.mark.parametrize("way", WAYS)
@@ -46,22 +48,31 @@ def test_indicators_without_data(selection, facts, rows, way):
     assert rows(found, "IndicatorCode", "IndicatorName") == [(None, "null"), ("Z", "empty")]
 
 
-def test_frequent_keys_are_few_and_hot(spark):
-    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert frequent_keys(df, "k", 0.01) == ["hot"]
-
-
-def test_hot_key_is_split_off_and_nothing_is_lost(spark):
-    facts = spark.range(30000).select(
+def test_hot_key_is_split_and_nothing_is_lost(spark):
+    facts = spark.range(300000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("k"), "id"
     )
     lookup = spark.range(900).select(F.col("id").cast("string").alias("k")).union(spark.createDataFrame([("hot",)], "k string"))
     plain = facts.join(lookup, "k")
-    split = join_on_key(facts, lookup, "k", broadcast_bytes=0, hot_share=0.01)
-    assert split.count() == plain.count()
-    assert split.exceptAll(plain).count() == 0
-    plan = split._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan and "Union" in plan
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for how in ("inner", "left_semi"):
+            joined = join_on_key(facts, lookup, "k", how, broadcast_bytes=0)
+            assert joined.count() == plain.count() and joined.exceptAll(plain).count() == 0
+            joined.collect()
+            text = joined._jdf.queryExecution().executedPlan().toString()
+            final = text.split("== Initial Plan ==")[0]
+            assert "SortMergeJoin(skew=true)" in final and final.count("Range (0, 300000") == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_measured_size_decides_on_broadcasting(spark, facts, selection):
@@ -82,10 +93,38 @@ def test_stored_observations_are_pruned_by_code(spark, rows, tmp_path):
     stored = read_observations(spark, str(tmp_path / "facts"))
     assert dict(stored.dtypes)["IndicatorCode"] == "string"
     catalog = spark.createDataFrame([(str(i), f"name {i % 4}") for i in range(12)], CATALOG)
-    chosen = catalog.filter(F.col("IndicatorName").rlike("3"))
-    found = observations_for(stored, chosen)
-    assert rows(found.groupBy("IndicatorCode").count()) == [("11", 50), ("3", 50), ("7", 50)]
-    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
+    for terms in (["3"], ["3", "no such"]):
+        for dedupe in (False, True):
+            found = observations_for(stored, select_indicators(catalog, terms), dedupe)
+            assert rows(found.groupBy("IndicatorCode").count()) == [("11", 50), ("3", 50), ("7", 50)]
+            assert files_read(found) == 3
+    topic = Topic("threes", ("3",))
+    assert files_read(run_topic(catalog, stored.withColumn("TimeDim", F.lit(2000)), topic).long) == 3
+
+
+def files_read(df):
+    """Files that the scan of the facts really read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    text = plan.toString()
+    assert "dynamicpruning" in text.lower()
+    return plan_metric(plan, "numFiles")
+
+
+def plan_metric(plan, name):
+    nodes, total = [plan], 0
+    while nodes:
+        node = nodes.pop()
+        children = [c for c in (node.children().apply(i) for i in range(node.children().size()))]
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            children.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            children.append(node.plan())
+        nodes += children
+        if node.getClass().getSimpleName() == "FileSourceScanExec" and node.metrics().contains(name):
+            total += node.metrics().apply(name).value()
+    return total
 
 
 def test_codes_with_leading_zeros_stay_text(spark, rows, tmp_path):

@@ -70,8 +70,8 @@ def test_one_topic(catalog, facts, rows):
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_all_topics_equal_the_single_ones(catalog, facts, rows, limit):
-    long = all_topics_long(catalog, facts, CHOSEN, broadcast_bytes=limit, hot_share=0.3)
-    cells = all_topics_cells(catalog, facts, CHOSEN, broadcast_bytes=limit, hot_share=0.3)
+    long = all_topics_long(catalog, facts, CHOSEN, broadcast_bytes=limit)
+    cells = all_topics_cells(catalog, facts, CHOSEN, broadcast_bytes=limit)
     for topic in CHOSEN:
         keys = [("H1", 2000), ("X1", 2000), ("M1", 2000)]
         single = run_topic(catalog, facts, topic, keys=keys)
@@ -134,4 +134,4 @@ def test_bad_years_of_indicators_that_are_not_selected_do_no_harm(spark, catalog
         assert all_topics_long(catalog, facts, [topic]).filter("YEAR > 1999").count() == 2
         assert all_topics_cells(catalog, facts, [topic]).count() == 1
     with pytest.raises(PySparkException, match="not a year: 2000-2005"):
-        run_topic(catalog, facts, topic_named("malaria"))
+        run_topic(catalog, facts, topic_named("malaria")).long.collect()
