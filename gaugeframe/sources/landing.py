@@ -94,6 +94,12 @@ def fail_on_error(landed: DataFrame) -> DataFrame:
     return landed.withColumn("body", F.when(good, F.col("body")).otherwise(problem.cast("string")))
 
 
+def refused_pages(landed: DataFrame) -> DataFrame:
+    """Address, code and status of the responses at which ``fail_on_error`` stops."""
+    names = [c for c in ("url", "code", "status") if c in landed.columns]
+    return landed.filter(~F.coalesce(F.col("status") == 200, F.lit(False))).select(*names)
+
+
 def decode_pages(
     landed: DataFrame, row: T.StructType, on_error: OnError = "skip", on_unreadable: OnUnreadable = "fail"
 ) -> DataFrame:

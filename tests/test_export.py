@@ -3,11 +3,14 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.errors import PySparkException
+
 from gaugeframe.__main__ import main
 from gaugeframe.operators.facts import NoDataError
 from gaugeframe.plans.export import TopicErrors, export_topics
 from gaugeframe.plans.topics import topic_named
 from gaugeframe.schemas import CATALOG, OBSERVATION
+from gaugeframe.sources.landing import IncompletePagesError
 
 
 def text_of(folder):
@@ -67,3 +70,34 @@ def test_bad_data_of_one_topic_do_not_stop_the_others(spark, tmp_path):
         export_topics(catalog, facts, str(tmp_path / "out"), topics)
     assert list(found.value.problems) == ["malaria", "antimicrobial_resistance"]
     assert text_of(tmp_path / "out" / "hiv" / "wide").endswith("AFG,1.0\n")
+
+
+def test_no_stale_files_and_no_scratch_are_left(spark, tmp_path):
+    catalog = spark.createDataFrame([("H1", "HIV"), ("M1", "malaria")], CATALOG)
+    topics = [topic_named("hiv"), topic_named("malaria")]
+    full = spark.createDataFrame([("AFG", "2000", "H1", 1.0), ("AFG", "2000", "M1", 1.0)], OBSERVATION)
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    export_topics(catalog, full, str(tmp_path / "out"), topics)
+    assert (tmp_path / "out" / "hiv" / "wide").exists() and (tmp_path / "out" / "malaria" / "long").exists()
+    empty = spark.createDataFrame([("AFG", "2000", "H1", None)], OBSERVATION)
+    assert export_topics(catalog, empty, str(tmp_path / "out"), topics) == ["malaria"]
+    assert [p.name for p in (tmp_path / "out").glob("*/*")] == ["long"]
+    assert not list(shared.glob("topics-*"))
+
+
+def test_failed_or_missing_catalog_pages_stop_the_export(spark, tmp_path):
+    good = {"url": "c1", "code": None, "status": 200, "body": json.dumps({"value": [{"IndicatorCode": "H1", "IndicatorName": "HIV"}], "@odata.nextLink": "c2"})}
+    fact = {"url": "f", "code": "H1", "status": 200, "body": json.dumps({"value": [{"SpatialDim": "AFG", "TimeDim": 2000, "NumericValue": 1}]})}
+    (tmp_path / "facts").mkdir()
+    (tmp_path / "facts" / "p.json").write_text(json.dumps(fact))
+    (tmp_path / "catalog").mkdir()
+    args = ["--catalog", str(tmp_path / "catalog"), "--observations", str(tmp_path / "facts"), "--output", str(tmp_path / "out"), "--topic", "hiv"]
+    (tmp_path / "catalog" / "p.json").write_text(json.dumps(good))
+    with pytest.raises(IncompletePagesError, match="c2"):
+        main(args)
+    bad = {"url": "c2", "code": None, "status": 503, "body": "busy"}
+    (tmp_path / "catalog" / "p.json").write_text(json.dumps(good) + "\n" + json.dumps(bad))
+    with pytest.raises(PySparkException, match="response 503 for c2"):
+        main(args)
+    main([*args, "--catalog-on-error", "skip", "--allow-missing-pages"])
+    assert (tmp_path / "out" / "hiv" / "wide").exists()

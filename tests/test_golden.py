@@ -14,19 +14,19 @@ from gaugeframe.operators.reshape import mean_cells, pivot_wide, wide_keys
 from gaugeframe.sinks.csv import wide_csv_lines
 
 EXTRACT_LONG = """REGION,YEAR,IndicatorCode,NumericValue
-EUR,2018,C1,1.0
-AFR,2018,C1,4.0
-AFR,2018,C1,5.0
-AFR,2018,C1,5.0
-AFR,2017,C2,20.0
-EUR,2017,C2,
-AMR,2017,C2,
+North,2031,Q7,2.5
+South,2031,Q7,7.0
+South,2031,Q7,8.0
+South,2031,Q7,8.0
+South,2029,Q8,31.0
+North,2029,Q8,
+West,2029,Q8,
 """
-EXTRACT_WIDE = """IndicatorCode,C1,C2
-YEAR,2018,2017
+EXTRACT_WIDE = """IndicatorCode,Q7,Q8
+YEAR,2031,2029
 REGION,,
-AFR,4.666666666666667,20.0
-EUR,1.0,
+North,2.5,
+South,7.666666666666667,31.0
 """
 
 

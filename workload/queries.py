@@ -38,10 +38,14 @@ from gaugeframe.sources.landing import (
     audit_page_chain,
     decode_pages,
     fail_on_error,
+    page_links,
+    readable_observations,
+    refused_pages,
     scan_catalog,
     scan_observation_files,
     scan_observations,
     unnest_rows,
+    unreadable_pages,
 )
 from gaugeframe.sources.observations import read_observations, write_observations
 from gaugeframe.storage import scratch_path
@@ -60,15 +64,15 @@ def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_page_chain(t.order_chain(spark, sf_dir))
+    """Links of real page bodies; failed pages do not count as landed."""
+    return audit_page_chain(page_links(t.order_chain(spark, sf_dir)))
 
 
 def observation_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store by code, read back the selected codes only."""
     path = scratch_path(spark, "observations")
     write_observations(t.typed_observations(spark, sf_dir).select(*NEEDED), path)
-    types = t.table(spark, sf_dir, "part").select(F.col("p_type").alias(CODE), F.lower("p_type").alias(NAME))
-    chosen = select_indicators(types, ["om", "ll"])
+    chosen = select_indicators(t.numbered_types(spark, sf_dir), ["group 1", "group 3"])
     return clean_long(observations_for(read_observations(spark, path), chosen))
 
 
@@ -95,8 +99,9 @@ def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = t.landed_observations(spark, sf_dir)
     landed.select(F.col("code").alias(CODE), "body").write.partitionBy(CODE).text(path)
     lines = t.table(spark, sf_dir, "lineitem")
-    status = lines.select(F.col("l_linestatus").alias(CODE), F.concat(F.lit("status "), "l_linestatus").alias(NAME))
-    rows = observations_for(scan_observation_files(spark, path), select_indicators(status, ["status o"]))
+    name = F.when(F.col("l_linestatus") == "O", "not yet paid").otherwise("done")
+    status = lines.select(F.col("l_linestatus").alias(CODE), name.alias(NAME))
+    rows = observations_for(scan_observation_files(spark, path), select_indicators(status, ["PAID"]))
     return rows.groupBy(CODE, SPATIAL, TIME).agg(F.count("*").alias("n"))
 
 
@@ -111,13 +116,32 @@ def page_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         landed = stream_landed(spark, f"{folder}/landing")
         append_observations(landed, f"{folder}/table", f"{folder}/progress").awaitTermination()
-    return spark.read.parquet(f"{folder}/table")
+    return read_observations(spark, f"{folder}/table")
 
 
 def failed_pages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only good pages here, so the check lets all of them pass."""
-    good = t.landed_observations(spark, sf_dir)
-    return fail_on_error(good).groupBy("code").agg(F.count("body").alias("pages"))
+    """Addresses that stop a job, and the good pages that do not."""
+    landed = t.landed_orders(spark, sf_dir)
+    good = fail_on_error(landed.filter(F.col("status") == 200)).groupBy("status")
+    passed = good.agg(F.count("body").cast("string").alias("what"))
+    return refused_pages(landed).select("status", F.col("url").alias("what")).unionByName(passed)
+
+
+def unreadable_pages_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies broken in several ways: what is named as unreadable, and what is still read."""
+    landed = t.broken_orders(spark, sf_dir)
+    named = unreadable_pages(landed).select("url", F.col("problem").alias("found"))
+    read = readable_observations(landed).select(
+        F.concat(F.lit("customer/"), CODE).alias("url"),
+        F.concat_ws("|", SPATIAL, TIME, F.round(F.col(VALUE) * 100).cast("long")).alias("found"),
+    )
+    return named.unionByName(read)
+
+
+def json_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years as whole and fractional JSON numbers and as text."""
+    years = clean_long(scan_observations(t.landed_years(spark, sf_dir)))
+    return years.groupBy(CODE, YEAR).agg(F.count("*").alias("n"))
 
 
 # Filters, projections, scalar functions
@@ -158,7 +182,8 @@ def null_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.topical_catalog(spark, sf_dir).withColumn("Language", F.lit("EN")).select(CODE, NAME)
+    """Any name matches; other columns of the catalogue are left out."""
+    return select_indicators(t.topical_catalog(spark, sf_dir).withColumn("Language", F.lit("EN")), ["."])
 
 
 def requested_code(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,10 +212,10 @@ def selected_observations_shuffled(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def indicators_lacking_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes observed in one year only by returned lines."""
+    """Every third part has its observations under another code."""
     chosen = select_indicators(t.catalog(spark, sf_dir), ("ring", "gizmo"))
-    seen = t.observations(spark, sf_dir).filter((F.col("Dim1") == "R") & (F.col(TIME) == 1998))
-    return indicators_without_data(chosen, seen)
+    code = F.when(F.col("l_partkey") % 3 == 0, "none").otherwise(F.col("l_partkey").cast("string"))
+    return indicators_without_data(chosen, t.observations(spark, sf_dir, code))
 
 
 # Set operations, sorts, limits
@@ -212,7 +237,7 @@ def non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.catalog(spark, sf_dir).dropDuplicates([CODE, NAME])
+    return select_indicators(t.catalog(spark, sf_dir), ["."])
 
 
 def numbered_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,6 +273,15 @@ def grouped_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_cells(clean_long(t.typed_observations(spark, sf_dir)), scale=2)
 
 
+def grouped_mean_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unscaled mean, whose last digits depend on the order of the rows.
+
+    The offset keeps exact halves away from the place where both sides round.
+    """
+    cells = mean_cells(clean_long(t.typed_observations(spark, sf_dir)))
+    return cells.withColumn(VALUE, F.round(F.col(VALUE) + 0.0000123, 4))
+
+
 def grouped_mean_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearly as many groups as rows."""
     return mean_cells(clean_long(t.observations(spark, sf_dir)), scale=2)
@@ -341,6 +375,13 @@ def wide_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def wide_csv_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column per part and year, far more than a table may have fields."""
+    path = scratch_path(spark, "wide-csv")
+    write_wide_csv(grouped_mean_many(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def wide_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every line of the wide file."""
     lines = wide_csv_lines(grouped_mean(spark, sf_dir), t.WIDE_KEYS)
@@ -353,7 +394,7 @@ def wide_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = topic_named("heat", t.PART_TOPICS)
-    return run_topic(t.catalog(spark, sf_dir), t.observations(spark, sf_dir), topic, keys=[("1", 1995)]).long
+    return run_topic(t.catalog(spark, sf_dir), t.observations(spark, sf_dir), topic).long
 
 
 def topic_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +409,7 @@ def topic_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic from landed pages; only pages of selected codes are parsed."""
     topic = t.Topic("segments", ("BUILD", "chin(e)"))
     landed = t.landed_customers(spark, sf_dir), t.landed_orders(spark, sf_dir)
-    return run_landed_topic(*landed, topic, keys=[("1", 1995)]).long
+    return run_landed_topic(*landed, topic).long
 
 
 def topic_wide_from_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -390,7 +431,7 @@ def all_topics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = t.table(spark, sf_dir, "documents")
     texts = documents.select(F.col("doc_id").cast("string").alias(CODE), F.col("text").alias(NAME))
     patterns = {x.name: x.patterns for x in TOPICS} | t.TEXT_TOPICS
-    return select_by_topic(texts, patterns).select("topic", CODE)
+    return select_by_topic(texts, patterns, names=False)
 
 
 def all_topics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +459,7 @@ def exported_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     export_topics(parts, t.typed_observations(spark, sf_dir), path, t.TYPE_TOPICS, scale=2)
     lines = []
-    for topic in t.TYPE_TOPICS[:2]:
+    for topic in t.TYPE_TOPICS:
         for kind in ("long", "wide"):
             text = spark.read.text(f"{path}/{topic.name}/{kind}").withColumnRenamed("value", "line")
             lines.append(text.select(F.lit(topic.name).alias("topic"), F.lit(kind).alias("kind"), "line"))
@@ -438,6 +479,8 @@ QUERIES: dict[str, Query] = {
         failed_pages_skipped,
         page_intake,
         failed_pages_refused,
+        unreadable_pages_named,
+        json_years,
         one_term,
         any_term,
         any_term_documents,
@@ -458,6 +501,7 @@ QUERIES: dict[str, Query] = {
         catalog_size,
         collected_shape,
         grouped_mean,
+        grouped_mean_plain,
         grouped_mean_many,
         wide_known_keys,
         wide_discovered_keys,
@@ -473,6 +517,7 @@ QUERIES: dict[str, Query] = {
         whole_years,
         long_csv,
         wide_csv,
+        wide_csv_many,
         wide_csv_order,
         topic_long,
         topic_wide_table,

@@ -178,7 +178,7 @@ WITH pages AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
 SELECT 'orders/' || CAST(p.o_orderkey + 1 AS VARCHAR) AS missing_url, count(*) AS referrers
 FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.o_orderkey = p.o_orderkey + 1) GROUP BY 1""",
     "observation_scan": f"""WITH {OBS_TYPED} SELECT SpatialDim AS "COUNTRY", TimeDim AS "YEAR", IndicatorCode, NumericValue
-FROM obs WHERE {KEYS_PRESENT} AND IndicatorCode IN ('ECONOMY', 'PROMO', 'SMALL')""",
+FROM obs WHERE {KEYS_PRESENT} AND IndicatorCode IN ('ECONOMY', 'MEDIUM')""",
     "page_rows": """
 WITH rows AS (
   SELECT l_suppkey, l_shipdate, l_quantity AS v FROM lineitem
@@ -200,7 +200,18 @@ FROM orders WHERE o_orderstatus NOT IN ('F', 'P')""",
 SELECT o_orderpriority AS SpatialDim, CAST(year(o_orderdate) AS VARCHAR) AS TimeDim,
        o_totalprice AS NumericValue, CAST(o_custkey AS VARCHAR) AS IndicatorCode
 FROM orders WHERE o_orderstatus NOT IN ('F', 'P')""",
-    "failed_pages_refused": "SELECT l_linestatus AS code, count(*) AS pages FROM lineitem GROUP BY 1",
+    "failed_pages_refused": """
+SELECT 404 AS status, 'orders/' || o_orderkey AS what FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 200, CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderstatus <> 'F' HAVING count(*) > 0""",
+    "unreadable_pages_named": """
+SELECT 'orders/' || o_orderkey AS url, CASE o_orderkey % 7 WHEN 2 THEN 'no rows' WHEN 3 THEN 'not a number: ?'
+    WHEN 4 THEN 'not a number: n/a' ELSE 'not a page' END AS found
+FROM orders WHERE o_orderkey % 7 < 5
+UNION ALL SELECT 'customer/' || o_custkey, o_orderpriority || '|1998|' || CAST(round(o_totalprice * 100) AS BIGINT)
+FROM orders WHERE o_orderkey % 7 IN (3, 5, 6)""",
+    "json_years": """
+SELECT l_linestatus AS IndicatorCode, CAST(year(l_shipdate) AS INTEGER) AS "YEAR", count(*) AS n
+FROM lineitem GROUP BY 1, 2""",
     "one_term": f"WITH {CATALOG} SELECT IndicatorCode, IndicatorName FROM catalog WHERE lower(IndicatorName) LIKE '%ring%'",
     "any_term": f"WITH {CATALOG}, {selection(RINGS)} SELECT * FROM selection",
     "any_term_documents": f"""
@@ -222,13 +233,15 @@ FROM catalog GROUP BY 1, 2""",
 {long()} AND IndicatorCode IN (SELECT IndicatorCode FROM selection)""",
     "selected_observations_shuffled": f"WITH {CATALOG}, {selection(('o', 'ring'))}, {OBS_SKEWED} {SELECTED}",
     "indicators_lacking_data": f"""WITH {CATALOG}, {selection(("ring", "gizmo"))}, {OBS}
-SELECT * FROM selection WHERE IndicatorCode NOT IN (SELECT IndicatorCode FROM obs WHERE Dim1 = 'R' AND TimeDim = 1998)""",
+SELECT * FROM selection WHERE CAST(IndicatorCode AS BIGINT) % 3 = 0
+    OR IndicatorCode NOT IN (SELECT IndicatorCode FROM obs)""",
     "union_by_name": """
 SELECT c_acctbal AS NumericValue, c_name AS SpatialDim, c_mktsegment AS segment, NULL::INTEGER AS nation FROM customer
 UNION ALL SELECT s_acctbal, s_name, NULL, s_nationkey FROM supplier
 UNION ALL SELECT s_acctbal, s_name, NULL, s_nationkey FROM supplier""",
     "non_empty": "SELECT l_returnflag AS Dim1, count(*) AS n FROM lineitem GROUP BY 1",
-    "distinct_indicators": f"WITH {CATALOG} SELECT DISTINCT IndicatorCode, IndicatorName FROM catalog",
+    "distinct_indicators": f"""WITH {CATALOG}
+SELECT DISTINCT IndicatorCode, IndicatorName FROM catalog WHERE IndicatorName IS NOT NULL""",
     "numbered_indicators": f"""WITH {CATALOG}, {selection(RINGS)}
 SELECT *, row_number() OVER (ORDER BY IndicatorCode, IndicatorName) - 1 AS ordinal FROM selection""",
     "catalog_positions": f"""WITH {CATALOG},
@@ -242,6 +255,9 @@ SELECT * FROM selection ORDER BY IndicatorCode, IndicatorName LIMIT 5""",
 SELECT count(*) AS n_rows, 5 AS n_columns
 FROM lineitem JOIN selection ON CAST(l_partkey AS VARCHAR) = IndicatorCode""",
     "grouped_mean": f"WITH {OBS_TYPED} {cells()}",
+    "grouped_mean_plain": f"""WITH {OBS_TYPED}
+SELECT SpatialDim AS "COUNTRY", IndicatorCode, TimeDim AS "YEAR", round(avg(NumericValue) + 0.0000123, 4) AS NumericValue
+FROM obs WHERE {KEYS_PRESENT} AND NumericValue IS NOT NULL GROUP BY 1, 2, 3""",
     "grouped_mean_many": f"WITH {OBS} {cells()}",
     "wide_known_keys": f"WITH {OBS_TYPED} {wide(t.WIDE_KEYS)}",
     "wide_discovered_keys": f"WITH {OBS_TYPED} {wide(t.WIDE_KEYS)}",
@@ -268,6 +284,16 @@ SELECT CAST(trunc(year(l_shipdate) + l_discount * 9) AS INTEGER) AS cut,
 FROM lineitem GROUP BY 1, 2""",
     "long_csv": f"WITH {OBS} {long()}",
     "wide_csv": f"WITH {OBS_TYPED}, {WIDE_LINES} SELECT line FROM lines",
+    "wide_csv_many": f"""WITH {OBS}, c AS ({cells()}),
+keys AS (SELECT *, row_number() OVER (ORDER BY IndicatorCode, "YEAR") AS place FROM
+  (SELECT DISTINCT IndicatorCode, "YEAR" FROM c)),
+filled AS (SELECT e."COUNTRY", place, NumericValue FROM (SELECT DISTINCT "COUNTRY" FROM c) e CROSS JOIN keys
+  LEFT JOIN c ON c."COUNTRY" = e."COUNTRY" AND c.IndicatorCode = keys.IndicatorCode AND c."YEAR" = keys."YEAR")
+SELECT 'IndicatorCode,' || string_agg(IndicatorCode, ',' ORDER BY place) AS line FROM keys
+UNION ALL SELECT 'YEAR,' || string_agg(CAST("YEAR" AS VARCHAR), ',' ORDER BY place) FROM keys
+UNION ALL SELECT 'COUNTRY' || repeat(',', CAST(count(*) AS INTEGER)) FROM keys
+UNION ALL SELECT filled."COUNTRY" || ',' || string_agg(coalesce(CAST(NumericValue AS VARCHAR), ''), ',' ORDER BY place)
+FROM filled GROUP BY filled."COUNTRY" """,
     "wide_csv_order": f"""WITH {OBS_TYPED}, {WIDE_LINES}
 SELECT row_number() OVER (ORDER BY section, entity) - 1 AS ordinal, split_part(line, ',', 1) AS first_field FROM lines""",
     "topic_long": f"""WITH {CATALOG}, {selection(PART_TOPICS["heat"])}, {OBS} {SELECTED}""",
@@ -286,5 +312,5 @@ SELECT topic, IndicatorCode FROM ({topics(BUILT_IN | t.TEXT_TOPICS, "texts", "te
     "all_topics_means": _topic_means(OBS),
     "all_topics_means_shuffled": _topic_means(OBS_SKEWED),
     "exported_topics": f"""WITH {OBS_TYPED} {_exported("size", ("MEDIUM", "SMALL"))}
-UNION ALL {_exported("price", ("ECONOMY", "PROMO"))}""",
+UNION ALL {_exported("price", ("ECONOMY", "PROMO"))} UNION ALL {_exported("rest", ("STANDARD",))}""",
 }

@@ -26,7 +26,7 @@ PART_TOPICS = (
     Topic("gizmo", ("gizmo",)),
     Topic("nothing", ("no such part",)),
 )
-TYPE_TOPICS = (Topic("size", ("SMALL", "medium")), Topic("price", ("economy", "promo")), Topic("other", ("no such",)))
+TYPE_TOPICS = (Topic("size", ("SMALL", "medium")), Topic("price", ("economy", "promo")), Topic("rest", ("stand",)))
 TOPIC_TERMS = tuple(term for topic in TOPICS for term in topic.patterns)
 TEXT_TOPICS = {"stems": ("tion there", "wash"), "accents": ("ÉTION", "öre"), "articles": ("que la", "und (der|die)")}
 
@@ -184,9 +184,53 @@ def landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders that have not failed as pages, each naming the next order as next page."""
-    pages = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "F")
-    return pages.select(
+    """Orders as landed pages, each naming the next order as next page; finished ones failed."""
+    link = F.concat(F.lit("orders/"), (F.col("o_orderkey") + 1).cast("string")).alias(NEXT_LINK)
+    none = F.array().cast("array<string>").alias("value")
+    return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("orders/"), _text("o_orderkey")).alias("url"),
-        F.concat(F.lit("orders/"), (F.col("o_orderkey") + 1).cast("string")).alias(NEXT_LINK),
+        F.when(F.col("o_orderstatus") == "F", 404).otherwise(200).alias("status"),
+        F.to_json(F.struct(none, link)).alias("body"),
+    )
+
+
+def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as landed pages of status 200, most of them broken by a rule on the key."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    value = F.when(F.col("o_orderkey") % 7 == 5, F.concat(F.lit('"'), price, F.lit('"'))).otherwise(price)
+    value = F.when(F.col("o_orderkey") % 7 == 4, '"n/a"').otherwise(value)
+    row = F.concat(F.lit('{"SpatialDim":"'), "o_orderpriority", F.lit('","TimeDim":1998,"NumericValue":'), value, F.lit("}"))
+    page = F.concat(F.lit('{"value":['), row, F.lit("]}"))
+    body = (
+        F.when(F.col("o_orderkey") % 7 == 0, "<html>busy</html>")
+        .when(F.col("o_orderkey") % 7 == 1, page.substr(F.lit(1), F.length(page) - 4))
+        .when(F.col("o_orderkey") % 7 == 2, '{"error":"busy"}')
+        .when(F.col("o_orderkey") % 7 == 3, F.replace(page, F.lit("}]}"), F.lit('},{"SpatialDim":"X","TimeDim":1999,"NumericValue":"?"}]}')))
+        .otherwise(page)
+    )
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("orders/"), _text("o_orderkey")).alias("url"),
+        _text("o_custkey").alias("code"),
+        F.lit(200).alias("status"),
+        body.alias("body"),
     )
+
+
+def landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as pages whose year is 1998, 1998.0, 1998.7 or "1998", by line number."""
+    year = F.year("l_shipdate").cast("string")
+    number = F.col("l_linenumber") % 4
+    written = F.when(number == 1, F.concat(year, F.lit(".0"))).when(number == 2, F.concat(year, F.lit(".7")))
+    written = written.when(number == 3, F.concat(F.lit('"'), year, F.lit('"'))).otherwise(year)
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("/", F.lit("lines"), "l_orderkey", "l_linenumber").alias("url"),
+        F.col("l_linestatus").alias("code"),
+        F.lit(200).alias("status"),
+        F.concat(F.lit('{"value":[{"SpatialDim":"A","TimeDim":'), written, F.lit("}]}")).alias("body"),
+    )
+
+
+def numbered_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part types as a catalogue whose names do not hold the codes."""
+    place = F.array_position(F.array(*map(F.lit, PART_TYPES)), F.col("p_type"))
+    return table(spark, sf_dir, "part").select(F.col("p_type").alias(CODE), F.concat(F.lit("group "), place).alias(NAME))
