@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.llm.components import components
-from gaugeframe.llm.storing import small, stored
+from gaugeframe.llm.storing import release, small, stored
 from gaugeframe.llm.text import U64, mix, shingle_sets
 from gaugeframe.storage import cut_lineage
 
@@ -97,11 +97,15 @@ def connected(
     touching = keyed.join(shared, "key").filter("rep <> low").select("rep", "low").distinct()
     groups = components(touching, "rep", "low").withColumnRenamed("node", "rep")
     members = cut_lineage(classes.drop("keys").join(groups, "rep"))
+    release(classes.sparkSession)
     rows = elements(_tiles(members, tile_sets, tile_elements))
     placed = rows.select("id", F.explode("tiles").alias("tile"), "elements")
     ordered = placed.repartition("tile").sortWithinPartitions("tile", "id")
     edges = cut_lineage(ordered.mapInArrow(_edges, "a long, b long").distinct())
-    return cut_lineage(components(edges).withColumnRenamed("node", "rep"))
+    release(classes.sparkSession)
+    labels = cut_lineage(components(edges).withColumnRenamed("node", "rep"))
+    release(classes.sparkSession)
+    return labels
 
 
 def _tiles(members: DataFrame, tile_sets: int, tile_elements: int) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeframe.storage import scratch_path
@@ -21,3 +23,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def small(rows: DataFrame, most: int) -> DataFrame:
     """``rows`` for broadcasting if they are counted to be at most ``most``; else as they are."""
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of shuffles, broadcasts and checkpoints that no frame refers to any more.
+
+    Spark removes them, and the memory and disk they take, only after the driver has collected
+    its garbage, which may be long after the rounds of a loop have ended.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
