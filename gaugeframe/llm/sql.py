@@ -150,4 +150,31 @@ SELECT doc_id, mix_domain, mix_lang, mix_source, CAST(mix_tokens AS BIGINT) AS m
 FROM mixed
 """
 
-ORACLE = {"op1_repetition_rules": OP1, "op7_jaccard_join": OP7, "op8_source_mix": OP8}
+OP4 = rf"""
+WITH RECURSIVE l AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM documents WHERE text IS NOT NULL
+), p AS (
+    SELECT *, regexp_extract_all(translate(line, '{UPPER}', '{LOWER}'), {WORDS}) AS words,
+        coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY place
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM l
+), s AS (
+    SELECT row_number() OVER (ORDER BY doc_id, place) AS id, *,
+        list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingles
+    FROM p WHERE len(words) >= 20
+), e AS (SELECT id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+    SELECT a.id AS a, b.id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.id <> b.id
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT DISTINCT a AS id, a AS other FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON l.a = r.other
+), component AS (SELECT id, min(other) AS keeper FROM reach GROUP BY id)
+SELECT s.doc_id, CAST(s.place AS BIGINT) AS line, CAST(s.start AS BIGINT) AS start,
+    CAST(s.start + length(s.line) AS BIGINT) AS "end", CAST(len(s.words) AS BIGINT) AS n_words,
+    k.doc_id AS keep_id, CAST(k.place AS BIGINT) AS keep_line, s.id <> k.id AS removed
+FROM component c JOIN s ON s.id = c.id JOIN s k ON k.id = c.keeper
+"""
+
+ORACLE = {"op1_repetition_rules": OP1, "op4_paragraph_repeats": OP4, "op7_jaccard_join": OP7, "op8_source_mix": OP8}
