@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 
 from gaugeframe.llm.text import U64, Rolling, mix, ranges, slices, text_of, window_starts, windows
 
-# Largest share, in hundredths of the characters in words, that repeated windows of so
-# many words may cover, and that repeated lines may cover.
+# Largest share, in hundredths of the characters in words, that windows of so many words
+# may cover that the text has had before, and that lines may have that it has had before.
 NGRAM_SHARES = {5: 15, 7: 13, 10: 10}
 LINE_SHARE = 20
 BASE_WINDOW = 3
@@ -38,8 +38,8 @@ def repetition(
 
     One row per input row, repeated rows included: counts of words, characters in words
     and symbols; lines equal to an earlier line and the characters in them; words in
-    3-word windows found twice or more; characters of words in repeated windows of each
-    length.  ``kept`` is false if the base rules fail or a share is exceeded.  Null and
+    3-word windows found twice or more; of each other length characters of words in windows
+    that the text has had before.  ``kept`` is false if the base rules fail or a share is exceeded.  Null and
     empty texts have no words and fail; a null id is passed on; other columns are ignored.
     """
     lengths = sorted(ngram_shares)
@@ -77,6 +77,14 @@ def _repeated(keys: np.ndarray) -> np.ndarray:
     return twice[place] == keys
 
 
+def _later(keys: np.ndarray) -> np.ndarray:
+    """True for each key that an earlier one equals."""
+    order = np.argsort(keys, kind="stable")
+    later = np.zeros(len(keys), bool)
+    later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    return later
+
+
 def _measure(s, lengths: list[int]) -> list[np.ndarray]:
     starts, ends, first = ranges(s)
     rolling = Rolling(s.data)
@@ -93,26 +101,29 @@ def _measure(s, lengths: list[int]) -> list[np.ndarray]:
     line_starts, line_ends = line_starts[held], breaks[held]
     line_owner = np.searchsorted(s.bounds, line_starts, "right") - 1
     keys = mix(rolling.of(line_starts, line_ends) + mix(line_owner.astype(U64)))
-    order = np.argsort(keys, kind="stable")
-    later = np.zeros(len(keys), bool)
-    later[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    later = _later(keys)
     dup_lines = np.bincount(line_owner[later], minlength=len(s))
     line_points = points[line_ends[later]] - points[line_starts[later]]
     # Weights are summed as doubles, exact far beyond the length of any text.
     dup_chars = np.bincount(line_owner[later], line_points, len(s)).astype(np.int64)
 
-    def covered(n: int) -> np.ndarray:
-        """True for each word in a window of ``n`` words that its text has twice or more."""
+    def covered(n: int, first_too: bool = False) -> np.ndarray:
+        """True for each word in a window of ``n`` words that its text has had before.
+
+        ``first_too`` marks the first of the equal windows as well.
+        """
         begins = np.flatnonzero(window_starts(first, n))
         if not len(begins):
             return np.zeros(len(words), bool)
-        hit = begins[_repeated(mix(windows(words, n)[begins] + mix(owner[begins].astype(U64))))]
+        keys = mix(windows(words, n)[begins] + mix(owner[begins].astype(U64)))
+        twice = np.flatnonzero(_repeated(keys))
+        hit = begins[twice if first_too else twice[_later(keys[twice])]]
         steps = np.zeros(len(words) + 1, np.int64)
         np.add.at(steps, hit, 1)
         np.add.at(steps, hit + n, -1)
         return np.cumsum(steps[:-1]) > 0
 
-    base = np.bincount(owner[covered(BASE_WINDOW)], minlength=len(s))
+    base = np.bincount(owner[covered(BASE_WINDOW, first_too=True)], minlength=len(s))
     result = [np.diff(first), chars, s.per_text(_SYMBOL[s.data]), dup_lines, base, dup_chars]
     for n in lengths:
         mask = covered(n)

@@ -26,11 +26,11 @@ links AS (
 SELECT s.doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id FROM s JOIN component USING (doc_id)
 """
 
-# Words in repeated windows: ``covered`` marks the words of all windows found twice or more.
+# Words in repeated windows: of 3 words in all windows found twice or more, else in later ones.
 _COVERED = """
 c{n} AS (
     SELECT DISTINCT doc_id, place + k AS place FROM (
-        SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, words[place:place + {n} - 1]) AS times
+        SELECT doc_id, place, {rank} OVER (PARTITION BY doc_id, words[place:place + {n} - 1] {order}) AS times
         FROM (SELECT doc_id, words, unnest(range(1, len(words) - {n} + 2)) AS place FROM w)
     ), range(0, {n}) AS r(k) WHERE times > 1
 )"""
@@ -43,7 +43,8 @@ def _covered_chars(n: int, name: str) -> str:
 OP1 = rf"""
 WITH w AS (
     SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), {WORDS}) AS words FROM documents
-), {",".join(_COVERED.format(n=n) for n in (3, 5, 7, 10))},
+), {_COVERED.format(n=3, rank="count(*)", order="")},
+{",".join(_COVERED.format(n=n, rank="row_number()", order="ORDER BY place") for n in (5, 7, 10))},
 line AS (
     SELECT doc_id, line, count(*) AS times FROM (SELECT doc_id, unnest(string_split(body, chr(10))) AS line FROM w)
     WHERE regexp_matches(line, {WORDS}) GROUP BY doc_id, line

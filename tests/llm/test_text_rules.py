@@ -27,10 +27,13 @@ def plain_repetition(text):
     text = text or ""
     words = WORD.findall(text)
 
-    def covered(n):
+    def covered(n, first_too=False):
         grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
-        times = Counter(grams)
-        return {i + k for i, g in enumerate(grams) if times[g] > 1 for k in range(n)}
+        times, before, marked = Counter(grams), set(), set()
+        for i, g in enumerate(grams):
+            marked |= set(range(i, i + n)) if g in before or first_too and times[g] > 1 else set()
+            before.add(g)
+        return marked
 
     lines = [x for x in text.split("\n") if WORD.search(x)]
     seen, dup, dup_chars = set(), 0, 0
@@ -40,7 +43,7 @@ def plain_repetition(text):
         seen.add(x)
     chars = sum(map(len, words))
     symbols = sum(c in "#*$%&|<>" for c in text)
-    repeat = len(covered(3))
+    repeat = len(covered(3, True))
     failed = len(words) < 50 or 100 * repeat > 50 * len(words)
     shares = {n: sum(len(words[i]) for i in covered(n)) for n in repetition.NGRAM_SHARES}
     good = 100 * dup_chars <= repetition.LINE_SHARE * chars
