@@ -107,14 +107,10 @@ def fit(
                 yield pa.RecordBatch.from_arrays(arrays, ["place", "label", "bucket", "value"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), batches_schema).combine_chunks()
-        machine = _learn(table, bits, factors)
+        machine = _learn(list(batches), bits, factors)
         arrays = [pa.array([x.astype("<f4").tobytes()]) for x in (machine.weights, machine.factors)]
         yield pa.RecordBatch.from_arrays([pa.array([machine.bias]), *arrays], ["bias", "weights", "factors"])
 
-    batches_schema = pa.schema(
-        [("place", pa.int64()), ("label", pa.int32()), ("bucket", pa.list_(pa.int32())), ("value", pa.list_(pa.float32()))]
-    )
     features = chosen.mapInArrow(extract, "place long, label int, bucket array<int>, value array<float>")
     # A bounded number of rows: one task learns from all of them.
     one = features.repartition(1).sortWithinPartitions("place", "label")
@@ -125,23 +121,20 @@ def fit(
     return Machine(learned["bias"], weights, np.frombuffer(learned["factors"], "<f4").reshape(1 << bits, factors))
 
 
-def _learn(table: pa.Table, bits: int, factors: int) -> Machine:
+def _learn(batches: list[pa.RecordBatch], bits: int, factors: int) -> Machine:
+    """Fit to batches of (place, label, bucket, value); only what tells the label is unpacked."""
     size = 1 << bits
     random = np.random.default_rng(SEED)
     weights = np.zeros(size)
     inner = random.normal(0, 0.02, (size, factors))
-    if not len(table):
+    label = np.concatenate([b.column(1).to_numpy() for b in batches]) if batches else np.zeros(0, np.int32)
+    if not len(label):
         return Machine(0.0, weights.astype(np.float32), np.zeros((size, factors), np.float32))
-    label = table["label"].to_numpy()
-    columns = [table[c].chunk(0) for c in ("bucket", "value")]
-    first = columns[0].offsets.to_numpy().astype(np.int64)
-    bucket, value = (c.values.to_numpy(zero_copy_only=False) for c in columns)
-    scale = _told_by_label(bucket, np.repeat(label, np.diff(first)), label, size)
-    value = value * scale[bucket]
-    kept = value > 0
-    row_of = np.repeat(np.arange(len(label)), np.diff(first))[kept]
-    bucket, value = bucket[kept], value[kept]
-    first = np.searchsorted(row_of, np.arange(len(label) + 1))
+    scale = _told_by_label(batches, label, size)
+    kept = [_kept_terms(b, scale) for b in batches]
+    row_count = np.concatenate([c for c, _, _ in kept])
+    bucket, value = np.concatenate([k for _, k, _ in kept]), np.concatenate([v for _, _, v in kept])
+    first = np.concatenate(([0], np.cumsum(row_count)))
     share = (label.sum() + 1) / (len(label) + 2)
     bias = float(np.log(share / (1 - share)))
     pace = [1e-8, np.full(size, 1e-8), np.full((size, factors), 1e-8)]
@@ -175,14 +168,31 @@ def _learn(table: pa.Table, bits: int, factors: int) -> Machine:
     return Machine(bias, weights.astype(np.float32), inner.astype(np.float32))
 
 
-def _told_by_label(bucket: np.ndarray, entry_label: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries per row, buckets and values of a batch."""
+    counts = np.diff(batch.column(2).offsets.to_numpy())
+    return counts, batch.column(2).flatten().to_numpy(), batch.column(3).flatten().to_numpy()
+
+
+def _kept_terms(batch: pa.RecordBatch, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    counts, bucket, value = _entries(batch)
+    kept = np.flatnonzero(scale[bucket] > 0)
+    rows = np.searchsorted(np.cumsum(counts), kept, "right")
+    return np.bincount(rows, minlength=len(counts)), bucket[kept], value[kept] * scale[bucket[kept]]
+
+
+def _told_by_label(batches: list[pa.RecordBatch], label: np.ndarray, size: int) -> np.ndarray:
     """Scale of each bucket: how many standard errors its log odds of the label are from none.
 
     Buckets within ``MIN_ERRORS`` of none have scale 0, so the machine cannot learn rows by
     heart from their rare words.  The scale is multiplied into the weights after the fit.
     """
-    toxic = np.bincount(bucket, entry_label == 1, size) + 1
-    clean = np.bincount(bucket, entry_label != 1, size) + 1
+    toxic, clean = np.ones(size), np.ones(size)
+    for batch in batches:
+        counts, bucket, _ = _entries(batch)
+        mark = np.repeat(batch.column(1).to_numpy() == 1, counts)
+        toxic += np.bincount(bucket[mark], minlength=size)
+        clean += np.bincount(bucket[~mark], minlength=size)
     odds = np.log(toxic / clean) - np.log(((label == 1).sum() + 2) / ((label != 1).sum() + 2))
     errors = np.abs(odds) / np.sqrt(1 / toxic + 1 / clean)
     return np.where(errors >= MIN_ERRORS, errors, 0.0)
