@@ -25,6 +25,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     ends = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).dropna()
     pairs = ends.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = cut_lineage(pairs)
+    release(pairs.sparkSession)
     while not _stars(pairs):
         pairs = _round(pairs)
         release(pairs.sparkSession)
@@ -50,6 +51,7 @@ def _round(pairs: DataFrame) -> DataFrame:
     larger = pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))
     linked = larger.join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
     linked = cut_lineage(linked)
+    release(linked.sparkSession)
     # Small star: a node and its smaller neighbours are linked to the smallest of them.
     least = cut_lineage(linked.groupBy("u").agg(F.min("v").alias("low")))
     turned = linked.join(least, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v")

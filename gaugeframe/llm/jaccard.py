@@ -94,11 +94,14 @@ def connected(
     keyed = classes.select("rep", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     shared = cut_lineage(shared.filter("low < high").select("key", "low"))
+    release(classes.sparkSession)
     touching = keyed.join(shared, "key").filter("rep <> low").select("rep", "low").distinct()
     groups = components(touching, "rep", "low").withColumnRenamed("node", "rep")
     members = cut_lineage(classes.drop("keys").join(groups, "rep"))
     release(classes.sparkSession)
-    rows = elements(_tiles(members, tile_sets, tile_elements))
+    tiles = _tiles(members, tile_sets, tile_elements)
+    release(classes.sparkSession)
+    rows = elements(tiles)
     placed = rows.select("id", F.explode("tiles").alias("tile"), "elements")
     ordered = placed.repartition("tile").sortWithinPartitions("tile", "id")
     edges = cut_lineage(ordered.mapInArrow(_edges, "a long, b long").distinct())

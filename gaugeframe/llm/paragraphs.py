@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected, sums
-from gaugeframe.llm.storing import small, stored
+from gaugeframe.llm.storing import release, small, stored
 from gaugeframe.llm.text import shingle_sets
 
 MIN_WORDS = 20
@@ -70,6 +70,7 @@ def repeated_paragraphs(
     classes = classes.agg(first, F.count("*").alias("times"), F.min_by("keys", F.struct("id", "line")).alias("keys"))
     # Sets are named by their sum; two different sets share one with a probability of 2^-64.
     classes = stored(classes.withColumn("rep", F.col("sum_a")), "paragraph-classes")
+    release(documents.sparkSession)
 
     def elements(tiled: DataFrame) -> DataFrame:
         wanted = tiled.join(classes.select("rep", "first.id", "first.line"), "rep").select("rep", "id", "line", "tiles")
@@ -91,6 +92,7 @@ def repeated_paragraphs(
     groups = joined.groupBy("component").agg(F.min("first").alias("keeper"), F.sum("times").alias("times"))
     groups = groups.filter("times > 1").select("component", "keeper")
     repeated = stored(joined.select(*same, "component").join(groups, "component"), "repeated")
+    release(documents.sparkSession)
     found = texts.mapInArrow(places, plain).join(small(repeated, broadcast_rows), same)
     removed = (F.col("id") != F.col("keeper.id")) | (F.col("line") != F.col("keeper.line"))
     return found.select(
