@@ -134,8 +134,12 @@ def find_personal_data(
         documents[id_column].alias("id"), F.coalesce(documents[text_column], F.lit("")).alias("body")
     ).withColumn("text_key", F.xxhash64("body"))
     base = cut_lineage(texts.select("id", "text_key", identifiers(F.col("body")).alias("found")))
-    revealing = _revealing_terms(base, texts, threshold, min_support, broadcast_rows)
-    terms = _term_spans(texts, revealing, broadcast_rows)
+    # Of equal texts one is searched for terms; its spans are those of all.
+    copies = base.groupBy("text_key").agg(F.min("id").alias("first"), F.count("*").alias("times")).filter("times > 1")
+    copies = _small(cut_lineage(copies.select("text_key", "first")), broadcast_rows)
+    unique = texts.join(copies, "text_key", "left").filter("first is null or id <=> first").drop("first")
+    revealing = _revealing_terms(base, unique, threshold, min_support, broadcast_rows)
+    terms = _term_spans(unique, revealing, broadcast_rows)
     identified = F.transform("found", lambda m: _span(m["kind"], m["start"], m["end"], F.lit(False)))
     joined = base.join(terms, "text_key", "left")
     spans = F.array_sort(F.concat(identified, F.coalesce("terms", F.array().cast(SPANS))))
@@ -156,7 +160,7 @@ def _span(kind: Column, start: Column, end: Column, removed: Column) -> Column:
 def _revealing_terms(
     base: DataFrame, texts: DataFrame, threshold: float, min_support: int, broadcast_rows: int
 ) -> DataFrame:
-    """Hits (text_key, term, removed) of all terms that reveal an entity, over the corpus."""
+    """(text_key, term, removed) of all terms that reveal an entity, wherever they occur."""
     mention = base.select(F.explode("found").alias("m")).select(
         F.concat_ws(":", "m.kind", F.lower(F.regexp_replace("m.value", "[ ()-]", ""))).alias("entity"),
         F.concat_ws(" ", "m.before", "m.after").alias("context"),
@@ -168,17 +172,30 @@ def _revealing_terms(
     ).filter(F.length("term") > 1)
     pairs = words.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).filter(F.col("n_ct") >= min_support)
     pairs = cut_lineage(pairs.join(mentions, "entity"))
-    candidates = _small(pairs.select("term").distinct(), broadcast_rows)
-    corpus = texts.select("text_key", F.explode(_terms(F.col("body"))).alias("term"))
-    hits = cut_lineage(corpus.join(candidates, "term", "left_semi").distinct())
-    documents = base.select(F.countDistinct("text_key").alias("n"))
-    spread = hits.groupBy("term").agg(F.count("*").alias("n_t"))
-    n = F.lit(documents.first()["n"])
-    mutual = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t")))
-    # An entity in every document has no information, so nothing reveals it.
-    scored = pairs.join(spread, "term").withColumn("ratio", F.try_divide(mutual, F.log2(n / F.col("n_c"))))
-    chosen = scored.filter(F.col("ratio") >= threshold).groupBy("term").agg(F.max("ratio").alias("ratio"))
-    return hits.join(chosen, "term").select("text_key", "term", (F.col("ratio") >= REMOVE_FROM).alias("removed"))
+    n = base.select(F.countDistinct("text_key").alias("n")).first()["n"]
+
+    def reaching(counted: DataFrame, terms: DataFrame) -> DataFrame:
+        """Terms that reach the threshold if they are in the given texts only."""
+        spread = _holding(counted, terms, broadcast_rows).groupBy("term").agg(F.count("*").alias("n_t"))
+        mutual = F.log2(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t")))
+        # An entity in every document has no information, so nothing reveals it.
+        scored = pairs.join(spread, "term").withColumn("ratio", F.try_divide(mutual, F.log2(n / F.col("n_c"))))
+        reached = scored.filter(F.col("ratio") >= threshold)
+        return cut_lineage(reached.groupBy("term").agg(F.max("ratio").alias("ratio")))
+
+    # A word is in no fewer texts than in those with identifiers.  What is too common there
+    # cannot reach the threshold, and is not looked for in all the others.
+    holders = _small(base.filter(F.size("found") > 0).select("text_key").distinct(), broadcast_rows)
+    possible = reaching(texts.join(holders, "text_key", "left_semi"), pairs.select("term").distinct())
+    chosen = reaching(texts, possible.select("term"))
+    chosen = cut_lineage(chosen.select("term", (F.col("ratio") >= REMOVE_FROM).alias("removed")))
+    return _holding(texts, chosen, broadcast_rows, "inner")
+
+
+def _holding(texts: DataFrame, terms: DataFrame, broadcast_rows: int, how: str = "left_semi") -> DataFrame:
+    """(text_key, term) of the given terms in the texts, each once per text."""
+    words = texts.select("text_key", F.explode(F.array_distinct(_terms(F.col("body")))).alias("term"))
+    return words.join(_small(terms, broadcast_rows), "term", how)
 
 
 def _term_spans(texts: DataFrame, hits: DataFrame, broadcast_rows: int) -> DataFrame:
