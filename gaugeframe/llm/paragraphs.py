@@ -4,6 +4,11 @@ A paragraph is a line of a text.  Bands of minima are tuned so that a pair at th
 similarity meets in at least one band with the wanted recall; paragraphs that collide are
 joined, their exact Jaccard similarity is verified, and of each connected component the
 first paragraph stays and the others are marked for removal.
+
+Passages do not keep to lines: any run of enough words that occurs again is found over the
+word stream of the whole text.  Of every stretch of windows the one with the least hash is
+an anchor, so equal runs have an anchor in common; around the anchors that occur again all
+windows of the least length are compared.
 """
 
 from __future__ import annotations
@@ -14,14 +19,15 @@ from math import ceil, log
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected, sums
 from gaugeframe.llm.storing import release, small, stored
-from gaugeframe.llm.text import shingle_sets
+from gaugeframe.llm.text import U64, Rolling, mix, ranges, shingle_sets, slices, window_starts, windows
 
 MIN_WORDS = 20
+PASSAGE_WORDS = 50
 BAND_ROWS = 3
 RECALL = 0.99999
 BROADCAST_ROWS = 1_000_000
@@ -113,6 +119,152 @@ def without_repeats(documents: DataFrame, id_column: str = "doc_id", text_column
     return joined.select(*[text.alias(c) if c == text_column else documents[f"`{c}`"] for c in documents.columns])
 
 
+def repeated_passages(
+    documents: DataFrame,
+    min_words: int = PASSAGE_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """All runs of at least ``min_words`` words that occur again, in any text and at any place.
+
+    A row per run: the id, start and end in code points, words, the id and start of the keeper
+    and whether the run is removed.  Every window of ``min_words`` words that occurs twice or
+    more lies in a run; its keeper is its first occurrence by id, key of the text and place, and
+    windows that overlap with the same shift to the same keeper are one run.  Runs with
+    different keepers may overlap.  A text that is equal to one of a smaller id is one run.
+    Words are compared in lower case (A-Z only), white space is not.  A repeated row counts,
+    but is listed once.  Null and empty texts and rows with a null id have no runs; other
+    columns are ignored.
+    """
+    texts = documents.select(documents[id_column].cast("long").alias("id"), documents[text_column].alias("body"))
+    texts = texts.dropna().withColumn("text", F.xxhash64("body"))
+    copies = texts.groupBy("text").agg(F.min("id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    copies = small(stored(copies, "text-copies"), broadcast_rows)
+    texts = texts.join(copies, "text", "left").select("id", "body", "text", "first", "rows")
+    # Of equal texts one is searched.
+    unique = texts.filter("first is null or id = first").select("id", "body", "text", F.coalesce("rows", F.lit(1)).alias("rows"))
+    again = texts.filter("id <> first").select("id", "body", "text", "first")
+    anchor = (min_words + 1) // 2
+    margin = min_words - anchor
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in slices(batch.column(1), lower=True):
+                starts, ends, first = ranges(s)
+                words = Rolling(s.data).of(starts, ends)
+                at, keys = _anchors(words, first, min_words, anchor)
+                owner = np.searchsorted(first, at, "right") - 1
+                low, high = np.maximum(at - margin, first[owner]), np.minimum(at + min_words, first[owner + 1])
+                point = np.concatenate(([0], np.cumsum((s.data & 0xC0) != 0x80)))
+                begin = point[s.bounds[owner]]
+                # All words of the windows that hold the anchor.
+                total = Rolling(words.view(np.uint8)).of(8 * low, 8 * high) ^ mix((at - low).astype(U64))
+                rows = pa.array(s.first + owner)
+                columns = [keys.view(np.int64), total.view(np.int64), at - first[owner], low - first[owner], high - low]
+                columns += [point[starts[low]] - begin, point[ends[high - 1]] - begin]
+                arrays = [batch.column(i).take(rows) for i in (0, 2, 3)] + [pa.array(c.astype(np.int64)) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "rows", "key", "around", "at", *_RUN])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch.column(4).offsets.to_numpy()
+            places = batch.column(4).values.to_numpy()
+            for s in slices(batch.column(1), lower=True):
+                starts, ends, first = ranges(s)
+                words = Rolling(s.data).of(starts, ends)
+                mine = slice(s.first, s.first + len(s) + 1)
+                at = np.repeat(first[:-1], np.diff(offsets[mine])) + places[offsets[mine][0] : offsets[mine][-1]]
+                # A window from here to there holds the anchor.
+                reach = np.zeros(len(words) + 1, np.int64)
+                np.add.at(reach, np.maximum(at - margin, 0), 1)
+                np.add.at(reach, at + 1, -1)
+                found = np.flatnonzero((np.cumsum(reach[:-1]) > 0) & window_starts(first, min_words))
+                owner = np.searchsorted(first, found, "right") - 1
+                point = np.concatenate(([0], np.cumsum((s.data & 0xC0) != 0x80)))
+                begin = point[s.bounds[owner]]
+                a, b = (windows(w, min_words)[found] if len(found) else found for w in (words, mix(words ^ _TURN)))
+                rows = pa.array(s.first + owner)
+                columns = [a.view(np.int64), b.view(np.int64), found - first[owner], np.full(len(found), min_words)]
+                columns += [point[starts[found]] - begin, point[ends[found + min_words - 1]] - begin]
+                arrays = [batch.column(i).take(rows) for i in (0, 2, 3)] + [pa.array(c.astype(np.int64)) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "rows", "a", "b", *_RUN])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in slices(batch.column(1)):
+                starts, ends, first = ranges(s)
+                long = np.flatnonzero(np.diff(first) >= min_words)
+                point = np.concatenate(([0], np.cumsum((s.data & 0xC0) != 0x80)))
+                begin = point[s.bounds[long]]
+                columns = [np.zeros(len(long)), np.diff(first)[long]]
+                columns += [point[starts[first[long]]] - begin, point[ends[first[long + 1] - 1]] - begin]
+                arrays = [batch.column(i).take(pa.array(s.first + long)) for i in (0, 2, 3)]
+                arrays += [pa.array(c.astype(np.int64)) for c in columns]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "keep_id", *_RUN])
+
+    run = "place long, n long, start long, stop long"
+    marks = stored(unique.mapInArrow(anchors, f"id long, text long, rows long, key long, around long, at long, {run}"), "anchors")
+    # If all that surrounds an anchor is equal too, so are all windows that hold it.
+    times = marks.groupBy("key").agg(F.sum("rows").alias("times"), (F.min("around") == F.max("around")).alias("equal"))
+    times = small(stored(times.filter("times > 1").select("key", "equal"), "repeated-anchors"), broadcast_rows)
+    marks = stored(marks.join(times, "key"), "marks")
+    release(documents.sparkSession)
+    held = marks.filter("not equal").groupBy("text").agg(F.collect_set("at").alias("places"))
+    held = stored(held, "anchored")
+    chosen = unique.join(small(held, broadcast_rows), "text").select("id", "body", "text", "rows", "places")
+    found = stored(chosen.mapInArrow(near, f"id long, text long, rows long, a long, b long, {run}"), "windows")
+    release(documents.sparkSession)
+    same = marks.filter("equal").withColumnRenamed("key", "a").withColumnRenamed("around", "b").drop("at", "equal")
+    placed = _kept(found, broadcast_rows).unionByName(_kept(same, broadcast_rows))
+    # Runs of one text and keeper, joined where they touch.
+    line = ["id", "text", "keep_id", "keep_text", "shift"]
+    before = Window.partitionBy(*line).orderBy("place", "n").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.coalesce(F.col("place") >= F.max(F.col("place") + F.col("n")).over(before), F.lit(True))
+    upto = Window.partitionBy(*line).orderBy("place", "n").rowsBetween(Window.unboundedPreceding, 0)
+    runs = placed.withColumn("fresh", fresh.cast("long")).withColumn("run", F.sum("fresh").over(upto))
+    runs = runs.groupBy(*line, "run").agg(
+        F.min("start").alias("start"), F.max("stop").alias("end"),
+        (F.max(F.col("place") + F.col("n")) - F.min("place")).alias("n_words"), F.min("keep_start").alias("keep_start"),
+    )
+    removed = (F.col("id") != F.col("keep_id")) | (F.col("text") != F.col("keep_text")) | (F.col("shift") != 0)
+    names = ["id", "start", "end", "n_words", "keep_id", "keep_start", "removed"]
+    equal = again.mapInArrow(whole, f"id long, text long, keep_id long, {run}").distinct()
+    equal = equal.select("id", "start", F.col("stop").alias("end"), F.col("n").alias("n_words"), "keep_id",
+                         F.col("start").alias("keep_start"), F.lit(True).alias("removed"))
+    return runs.withColumn("removed", removed).select(*names).unionByName(equal).withColumnRenamed("id", id_column)
+
+
+def _kept(found: DataFrame, broadcast_rows: int) -> DataFrame:
+    """Ranges that occur again, with their first occurrence and the shift to it."""
+    keeper = F.min(F.struct("id", "text", "place", "start")).alias("keep")
+    repeated = found.groupBy("a", "b").agg(F.sum("rows").alias("times"), keeper).filter("times > 1").drop("times")
+    repeated = stored(repeated, "repeated-ranges")
+    release(found.sparkSession)
+    return found.join(small(repeated, broadcast_rows), ["a", "b"]).select(
+        "id", "text", "place", "n", "start", "stop", F.col("keep.id").alias("keep_id"), F.col("keep.text").alias("keep_text"),
+        F.col("keep.start").alias("keep_start"), (F.col("keep.place") - F.col("place")).alias("shift"),
+    )
+
+
+_RUN = ["place", "n", "start", "stop"]
+_TURN = U64(0xA5A5A5A5A5A5A5A5)
+
+
+def _anchors(words: np.ndarray, first: np.ndarray, min_words: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of windows of ``anchor`` words: of all in any ``min_words`` words the least."""
+    if len(words) < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, U64)
+    hashes = windows(words, anchor)
+    span = min_words - anchor + 1
+    least = np.lib.stride_tricks.sliding_window_view(hashes, span).min(1)
+    least = np.where(window_starts(first, min_words)[: len(least)], least, U64(0))
+    around = np.concatenate((np.zeros(span - 1, U64), least, np.zeros(span - 1, U64)))
+    most = np.lib.stride_tricks.sliding_window_view(around, span).max(1)
+    at = np.flatnonzero((hashes == most) & (most > 0))
+    return at, hashes[at]
+
+
 _NAMES = ["id", "line", "start", "end", "n_words", "n", "sum_a", "sum_b"]
 _LINES = 1 << 22
 

@@ -59,6 +59,10 @@ def op4_paragraph_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.repeated_paragraphs(read(spark, folder, "documents"))
 
 
+def op4_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_passages(read(spark, folder, "documents"))
+
+
 def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return toxicity.add_scores(documents, toxicity.fit(documents, labels))
 
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_disclosure": op3_disclosure,
     "op4_paragraph_repeats": op4_paragraph_repeats,
+    "op4_passage_repeats": op4_passage_repeats,
     "op5_toxicity": op5_toxicity,
     "op6_main_text": op6_main_text,
     "op7_jaccard_join": op7_jaccard_join,

@@ -138,6 +138,45 @@ def test_paragraphs_equal_all_pairs(spark):
     assert got == {p: k for p, k in want.items() if sizes[k] > 1}
 
 
+def test_passages_that_do_not_keep_to_lines(spark):
+    rng = random.Random(12)
+
+    def some(n):
+        return [f"é{rng.randrange(10**6)}" for _ in range(n)]
+
+    passage = [w.upper() for w in some(60)]
+    wrapped = "\n".join(" ".join(passage[i : i + 7]) for i in range(0, 60, 7))
+    uneven = " ".join(some(30) + passage[:30]) + "\n" + " ".join(passage[30:] + some(40))
+    texts = [
+        " ".join(some(90) + passage + some(80)), "head\n" + wrapped + "\ntail", uneven,
+        " ".join(passage[:49] + some(9)), " ".join(some(3) + passage[:50] + some(400) + passage[5:58]),
+        "w " * 70, " ".join(some(120)), "", None,
+    ]
+    docs = list(enumerate(texts)) + [(7, texts[1]), (3, texts[6]), (None, texts[0]), (6, texts[6])]
+    where = {}
+    for d, text in set(docs):
+        words = list(re.finditer(r"[^\x20\x09-\x0D]+", text or "")) if d is not None else []
+        plain = [w[0].translate(UPPER) for w in words]
+        for i in range(len(plain) - 49):
+            where.setdefault(tuple(plain[i : i + 50]), []).append((d, words[i].start(), words[i + 49].end()))
+    # The doubled row of id 6 is one more occurrence of its windows.
+    want = {p for places in where.values() if len(places) > 1 for p in places}
+    assert {d for d, _, _ in want} == {0, 1, 2, 3, 4, 5, 6, 7}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for rows in (paragraphs.BROADCAST_ROWS, 0):
+        found = paragraphs.repeated_passages(frame, broadcast_rows=rows).collect()
+        held = {p for p in (q for places in where.values() for q in places) for r in found if r["doc_id"] == p[0] and r["start"] <= p[1] and p[2] <= r["end"]}
+        assert want <= held
+        bodies = {d: {t for e, t in docs if e == d and t} for d, _ in docs}
+        for r in found:
+            cuts = [t[r["start"] : r["end"]].translate(UPPER).split() for t in bodies[r["doc_id"]]]
+            kept = [t[r["keep_start"] :].translate(UPPER).split()[: r["n_words"]] for t in bodies[r["keep_id"]]]
+            assert any(c in kept and len(c) == r["n_words"] >= 50 for c in cuts)
+            assert r["removed"] or (r["doc_id"], r["start"]) == (r["keep_id"], r["keep_start"])
+        whole = [(r["doc_id"], r["n_words"], r["keep_id"]) for r in found if r["doc_id"] in (0, 1, 2) and r["keep_id"] == 0]
+        assert sorted(whole) == [(0, 60, 0), (1, 60, 0), (2, 60, 0)]
+
+
 def test_texts_without_repeats(spark):
     line = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, f"a\n{line}\nb", "k"), (2, f"{line}\nc", "l"), (3, None, "m")], "doc_id long, text string, line string")
