@@ -85,7 +85,7 @@ def _located(text: Column, pattern: str | Column, kind: str, possible: Column, v
             start.alias("start"),
             end.alias("end"),
             pair["match"].alias("value"),
-            _last_words(pair["piece"]).alias("before"),
+            F.lit(None).cast("string").alias("before"),
             F.lit(None).cast("string").alias("after"),
         )
         kept = F.when(valid(pair["match"]), F.array_append(state["found"], one)).otherwise(state["found"])
@@ -94,16 +94,19 @@ def _located(text: Column, pattern: str | Column, kind: str, possible: Column, v
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found"))
     located = F.aggregate(pairs, start, step, lambda state: state["found"])
-    with_after = F.transform(
-        located,
-        lambda m: m.withField("after", _first_words(F.substring(text, m["end"] + 1, F.lit(CONTEXT_CHARACTERS)))),
-    )
-    return F.when(possible, with_after).otherwise(F.array().cast(FOUND))
+
+    def in_context(m: Column) -> Column:
+        # Both sides are those of the whole text, whatever else the pattern matches there.
+        begin = F.greatest(m["start"] - CONTEXT_CHARACTERS, F.lit(0))
+        before = _last_words(F.substring(text, begin + 1, m["start"] - begin))
+        after = _first_words(F.substring(text, m["end"] + 1, F.lit(CONTEXT_CHARACTERS)))
+        return m.withField("before", before).withField("after", after)
+
+    return F.when(possible, F.transform(located, in_context)).otherwise(F.array().cast(FOUND))
 
 
 def _last_words(piece: Column) -> Column:
-    words = _terms(F.right(piece, F.lit(CONTEXT_CHARACTERS)))
-    return F.concat_ws(" ", F.slice(F.reverse(words), 1, CONTEXT_WORDS))
+    return F.concat_ws(" ", F.slice(F.reverse(_terms(piece)), 1, CONTEXT_WORDS))
 
 
 def _first_words(piece: Column) -> Column:

@@ -200,6 +200,23 @@ def test_terms_that_reveal_an_address(spark):
             assert terms == re.findall("bluebird", text, re.IGNORECASE) and len(found) == len(texts)
 
 
+def test_terms_before_another_number(spark):
+    """A number that is no card, two words before one, does not end the words before it."""
+    rng = random.Random(10)
+    filler = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+
+    def some(n):
+        return " ".join(rng.choice(filler) for _ in range(n))
+
+    texts = [f"{some(3)} Bluebird {some(1)} 1999 {some(1)} 4111111111111111 {some(9)}" for _ in range(5)]
+    texts += [some(30) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in disclosure.find_personal_data(docs).collect():
+        text = texts[row["doc_id"]]
+        terms = [text[s["start"] : s["end"]] for s in row["spans"] if s["kind"] == "term"]
+        assert terms == re.findall("Bluebird|1999", text)
+
+
 def test_sanitised_text(spark):
     texts = disclosing_corpus()
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, spans string")
