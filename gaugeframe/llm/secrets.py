@@ -32,13 +32,21 @@ CLASSES = {
     "hex": (frozenset("0123456789abcdefABCDEF"), 20, 3.0),
     "base64": (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 20, 3.7),
 }
-# What explains a candidate although it is not a secret.
+# What explains a part of a candidate although it is not a secret; the rest is looked at.
 ALLOWED = (
-    re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"example|sample|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh", re.IGNORECASE | re.ASCII),
-    re.compile(r"sha(1|256|384|512)-"),
+    re.compile(r"(?<![0-9a-zA-Z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-zA-Z])"),
+    # A placeholder, with the part that is joined to it.
+    re.compile(
+        r"(?<![0-9a-zA-Z])(example|sample|placeholder|changeme|dummy)([-_/+=][0-9a-zA-Z]*)?(?![0-9a-zA-Z])",
+        re.IGNORECASE | re.ASCII,
+    ),
+    re.compile(r"x{4,}|0123456789|abcdefgh", re.IGNORECASE | re.ASCII),
+    re.compile(r"(?<![0-9a-zA-Z])sha(1|256|384|512)-[A-Za-z0-9+/]+=*"),
 )
-ADDRESS = re.compile(r"://[^\x20\x09-\x0D\"'<>]*")
+# Host and path of an address; user information and queries are not a part of it.
+ADDRESS = re.compile(r"://(?:[^\x20\x09-\x0D\"'<>@/:]{0,200}+:[^\x20\x09-\x0D\"'<>@]{0,1000}+@)?([^\x20\x09-\x0D\"'<>,;?#&]*)")
+# The path of such an address is itself the secret.
+HOOK = re.compile("hook", re.IGNORECASE)
 
 
 def scan_secrets(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -85,21 +93,35 @@ def _inside(a: int, b: int, known: list[list[int]]) -> bool:
 
 
 def _entropic(text: str) -> Iterator[tuple[int, int]]:
-    addresses = [(m.start(), m.end()) for m in ADDRESS.finditer(text)]
+    addresses = [m.span(1) for m in ADDRESS.finditer(text) if not HOOK.search(m[1])]
     for m in CANDIDATE.finditer(text):
-        token = m[0]
-        if not _mixed(token) or any(p.search(token) for p in ALLOWED):
+        if not _mixed(m[0]):
             continue
-        before = bisect_right(addresses, (m.start(), len(text))) - 1
-        if before >= 0 and m.start() < addresses[before][1]:
-            continue
-        reach: list[list[int]] = []
-        for members, width, least in CLASSES.values():
-            for a, b in _class_runs(token, members, width):
-                reach += _surprising(token, a, b, width, least)
-        for a, b in _joined(reach):
-            if _mixed(token[a:b]):
-                yield m.start() + a, m.start() + b
+        for first, last in _unexplained(m, addresses):
+            token = text[first:last]
+            reach: list[list[int]] = []
+            for members, width, least in CLASSES.values():
+                for a, b in _class_runs(token, members, width):
+                    reach += _surprising(token, a, b, width, least)
+            for a, b in _joined(reach):
+                if _mixed(token[a:b]):
+                    yield first + a, first + b
+
+
+def _unexplained(m: re.Match[str], addresses: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The parts of a candidate that neither an address nor the allow-list explains."""
+    start, end = m.span()
+    taken = [[start + x.start(), start + x.end()] for p in ALLOWED for x in p.finditer(m[0])]
+    place = max(bisect_right(addresses, (start, end)) - 1, 0)
+    while place < len(addresses) and addresses[place][0] < end:
+        if addresses[place][1] > start:
+            taken.append(list(addresses[place]))
+        place += 1
+    at = start
+    for a, b in [*_joined(taken), [end, end]]:
+        if a > at:
+            yield at, min(a, end)
+        at = max(at, b)
 
 
 def _mixed(token: str) -> bool:

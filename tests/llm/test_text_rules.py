@@ -107,6 +107,25 @@ def test_entropy_spans():
     assert not [s for s in secrets.spans_of(SECRET_TEXTS[6]) if s[1] == 3]
 
 
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ("postgres://admin:", "@db.host/main"),
+        ("https://host/a/b?sig=", "&x=1"),
+        ("https://host/path,", ""),
+        ("https://host/path;", " x"),
+        ("https://hooks.host.com/services/T1/", ""),
+        ("550e8400-e29b-41d4-a716-446655440000_", ""),
+        ("550e8400-e29b-41d4-a716-446655440000/", ""),
+        ("xxxx", ""),
+        ("", "sampleQ7"),
+    ],
+)
+def test_secrets_beside_what_is_allowed(before, after):
+    found = [s for s in secrets.spans_of(before + SECRET + after) if s[1] == 3]
+    assert any(a <= len(before) and len(before) + len(SECRET) <= b for a, _, b in found)
+
+
 def test_entropy_by_incremental_counts():
     from math import log2
 
