@@ -33,7 +33,9 @@ ENDS |= {"th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select div article section main nav body".split())
 
 # Elements and marks of boilerplate.
-OUTSIDE = frozenset("nav aside footer form menu dialog button select fieldset head title".split())
+OUTSIDE = frozenset("nav aside footer menu button select head title".split())
+# Elements that are boilerplate as the words below are, unless they hold the page itself.
+MARKED = frozenset("form dialog fieldset".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu".split())
 OUTSIDE_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav "
@@ -46,6 +48,8 @@ INSIDE_WORDS = frozenset("article content post entry story main".split())
 
 # Costs and capacities, in the same unit.
 SURE = 400
+# A marked element with so many times the unmarked text beside it, and half of all, is the page.
+MOST = 4
 IN_ARTICLE, OUT_OF_ARTICLE = 60, 40
 NEIGHBOURS, SAME_PARENT, SAME_SECTION = 3, 8, 5
 
@@ -70,12 +74,17 @@ class _Element:
     inside: bool
     bonus: int
     section: int
+    # Numbers of the marked elements around, and of the outermost article.
+    marks: tuple[int, ...] = ()
+    article: int = 0
 
 
 def blocks_of(html: str) -> list[Block]:
     """Text blocks in page order, white space and character references resolved, with their scores."""
     stack = [_Element("", 0, False, False, 0, 0)]
-    blocks: list[tuple[Block, bool, bool]] = []
+    blocks: list[tuple[Block, _Element, float]] = []
+    # Marks around each outermost article.
+    articles: list[tuple[int, ...]] = []
     pieces: list[str] = []
     linked = in_link = number = 0
     at, end = 0, len(html)
@@ -86,8 +95,7 @@ def blocks_of(html: str) -> list[Block]:
             text = " ".join(unescape("".join(pieces)).split())
             top = stack[-1]
             if text:
-                score = _score(text, top, linked / sum(map(len, pieces)))
-                blocks.append((Block(text, score, top.number, top.section), top.inside, top.outside))
+                blocks.append((Block(text, 0, top.number, top.section), top, linked / sum(map(len, pieces))))
             pieces, linked = [], 0
 
     while at < end:
@@ -135,13 +143,45 @@ def blocks_of(html: str) -> list[Block]:
         if name not in VOID:
             number += 1
             stack.append(_opened(name, tag[3], number, stack[-1]))
+            if stack[-1].article == number and not stack[-1].outside:
+                articles.append(stack[-1].marks)
     flush()
-    if any(inside and not outside for _, inside, outside in blocks):
-        for block, inside, _ in blocks:
-            block.score -= 0 if inside else OUT_OF_ARTICLE
+    lifted = _lifted(blocks, articles)
+    found = False
+    for block, element, link_share in blocks:
+        outside = element.outside or not lifted.issuperset(element.marks)
+        block.score = -SURE if outside else _score(block.text, element, link_share)
+        found |= element.inside and not outside
+    for block, element, _ in blocks if found else ():
+        block.score -= 0 if element.inside else OUT_OF_ARTICLE
     return [block for block, _, _ in blocks]
 
 
+def _lifted(blocks: list[tuple[Block, _Element, float]], articles: list[tuple[int, ...]]) -> set[int]:
+    """Marked elements that hold the only article or most of the page's text; their marks say nothing."""
+    lifted = set(articles[0]) if len(articles) == 1 else set()
+    whole = sum(len(block.text) for block, _, _ in blocks)
+    free = article = 0
+    held: dict[int, int] = {}
+    for block, element, _ in blocks:
+        if element.outside:
+            continue
+        if lifted.issuperset(element.marks):
+            free += len(block.text)
+            article |= element.inside
+        for mark in element.marks:
+            held[mark] = held.get(mark, 0) + len(block.text)
+    if article:
+        return lifted
+    # From the outermost one on: text in a lifted element is free for those within it.
+    for mark in sorted(held):
+        if mark not in lifted and held[mark] >= MOST * free and 2 * held[mark] >= whole:
+            lifted.add(mark)
+            inner = (b for b, e, _ in blocks if not e.outside and mark in e.marks and lifted.issuperset(e.marks))
+            free += sum(len(b.text) for b in inner)
+    return lifted
+
+
 def _skip(html: str, start: int) -> int:
     """End of a comment, declaration or broken tag; ``start`` if the bracket is text."""
     if html.startswith("<!--", start):
@@ -157,6 +197,7 @@ def _opened(name: str, attributes: str, number: int, parent: _Element) -> _Eleme
     outside = parent.outside or name in OUTSIDE or (name == "header" and not parent.inside)
     inside = parent.inside or name in INSIDE
     bonus = parent.bonus
+    marked = name in MARKED
     if attributes and name not in ("html", "body"):
         words: set[str] = set()
         for m in _ATTRIBUTE.finditer(attributes):
@@ -166,16 +207,16 @@ def _opened(name: str, attributes: str, number: int, parent: _Element) -> _Eleme
             outside |= key == "role" and value.lower() in OUTSIDE_ROLES
             outside |= key == "aria-hidden" and value.lower() == "true"
             outside |= key == "style" and "display:none" in value.replace(" ", "").lower()
-        outside |= bool(words & OUTSIDE_WORDS)
+        marked |= bool(words & OUTSIDE_WORDS)
         bonus += 10 if words & INSIDE_WORDS else 0
     section = parent.section if name in ("p", "li", "td", "th", "tr", "h1", "h2", "h3", "h4", "h5", "h6") else number
-    return _Element(name, number, outside, inside, bonus, section)
+    marks = (*parent.marks, number) if marked else parent.marks
+    article = parent.article or (number if name in INSIDE else 0)
+    return _Element(name, number, outside, inside, bonus, section, marks, article)
 
 
 def _score(text: str, element: _Element, link_share: float) -> int:
     """How much more it costs to call the block boilerplate than to call it content."""
-    if element.outside:
-        return -SURE
     score = -10 + min(len(text.split()), 20) - round(40 * link_share)
     score += 5 if text[-1] in ".!?:;\"')" else 0
     score += IN_ARTICLE if element.inside else 0

@@ -92,6 +92,27 @@ def test_page_without_article():
     assert mincut.main_text(html).count("\n\n") == 3
 
 
+PROSE = [f"Sentence number {i} has quite a few words in it, as prose has." for i in range(4)]
+
+
+@pytest.mark.parametrize(
+    "opened,closed",
+    [
+        ("<form id='aspnetForm'><div><article>", "</article></div></form>"),
+        ("<div class='layout has-sidebar'><article>", "</article></div>"),
+        ("<article class='post comments-open'>", "</article>"),
+        ("<div class='content with-sidebar'>", "</div>"),
+        ("<form><div class='content with-sidebar'>", "</div></form>"),
+    ],
+)
+def test_marks_on_what_holds_the_page(opened, closed):
+    comment = "<div class='comments'><p>I like this very much indeed, thank you!</p></div>"
+    rest = "<div class='sidebar'><p>A text in the sidebar that is not a part of it.</p></div><footer>&copy; us</footer>"
+    body = "".join(f"<p>{p}</p>" for p in PROSE)
+    page = f"<body><nav><a href=a>A</a></nav>{opened}{body}{comment}{closed}{rest}</body>"
+    assert mincut.main_text(page) == "\n\n".join(PROSE)
+
+
 def test_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(60):
