@@ -25,18 +25,22 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest id.
+    """One document of each component of texts stays, the one with the smallest id.
 
-    Of rows that repeat an id that stays, the one with the smallest text stays.  Documents
+    Of rows of that component that repeat the id, the one with the smallest text stays; rows
+    that share an id and have texts of other components are documents of their own.  Documents
     without words are linked with nothing and stay, as do rows without an id.
     """
-    found = jaccard.near_duplicates(docs).filter(F.col("doc_id").isNotNull()).groupBy("doc_id")
-    verdict = found.agg(F.max(F.col("component_id") == F.col("doc_id")).alias("stays"), F.count("*").alias("rows"))
-    verdict = stored(verdict.filter(~F.col("stays") | (F.col("rows") > 1)), "copies")
-    packed = packed_rows(docs).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    single = packed.join(small(verdict, COPIES_TO_BROADCAST), "doc_id", "left_anti")
-    repeated = packed.join(small(verdict.filter("stays"), COPIES_TO_BROADCAST), "doc_id", "left_semi")
-    first = repeated.groupBy("doc_id").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
+    found = jaccard.text_components(docs).filter("id is not null").select("id", "text", "group", "component")
+    found = stored(found, "texts")
+    verdict = found.groupBy("id", "group").agg((F.max("component") == F.col("id")).alias("stays"), F.count("*").alias("rows"))
+    verdict = verdict.filter(~F.col("stays") | (F.col("rows") > 1)).drop("rows")
+    verdict = stored(found.join(verdict, ["id", "group"]).select("id", "text", "group", "stays").distinct(), "copies")
+    packed = packed_rows(docs).withColumn("id", F.col("row.doc_id").cast("long")).withColumn("text", F.xxhash64("row.text"))
+    keys = ["id", "text"]
+    single = packed.join(small(verdict, COPIES_TO_BROADCAST), keys, "left_anti")
+    repeated = packed.join(small(verdict.filter("stays").drop("stays"), COPIES_TO_BROADCAST), keys)
+    first = repeated.groupBy("id", "group").agg(F.min_by("row", F.coalesce("row.text", F.lit(""))).alias("row"))
     return single.select("row").union(first.select("row")).select("row.*")
 
 

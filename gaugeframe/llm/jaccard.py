@@ -58,25 +58,50 @@ def near_duplicates(
     whole numbers; rows with the same id and different texts are documents of their own that
     share an id.  Other columns are ignored.
     """
+    found = text_components(documents, id_column, text_column, tile_sets, tile_elements, broadcast_rows)
+    return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def text_components(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    tile_sets: int = TILE_SETS,
+    tile_elements: int = TILE_ELEMENTS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """``id``, key of the ``text``, ``n``, ``group`` and ``component`` of every row.
+
+    The group is that of the row's own text, also where its id has other texts; the component
+    is the smallest id in the group.
+    """
     texts = documents.select(documents[id_column].cast("long").alias("id"), documents[text_column].alias("body"))
-    sets = stored(texts.mapInArrow(_sketch, "id long, n long, sum_a long, sum_b long, keys array<long>"), "sets")
+    keyed = texts.withColumn("text", F.xxhash64("body"))
+    sets = stored(keyed.mapInArrow(_sketch, "id long, text long, n long, sum_a long, sum_b long, keys array<long>"), "sets")
     same = ["n", "sum_a", "sum_b"]
     classes = sets.filter((F.col("n") > 0) & F.col("id").isNotNull()).groupBy(*same)
-    classes = stored(classes.agg(F.min("id").alias("rep"), F.min_by("keys", "id").alias("keys")), "classes")
+    classes = classes.agg(F.min("id").alias("first"), F.min_by("keys", "id").alias("keys"))
+    # Sets are named by their sum, since texts may share an id; two share one with a probability of 2^-64.
+    classes = stored(classes.withColumn("rep", F.col("sum_a")), "classes")
 
     def elements(tiled: DataFrame) -> DataFrame:
-        chosen = texts.join(small(tiled.withColumnRenamed("rep", "id"), broadcast_rows), "id")
+        wanted = tiled.join(classes.select("rep", F.col("first").alias("id")), "rep").drop("rep")
+        chosen = texts.join(small(wanted, broadcast_rows), "id")
         rows = chosen.select("id", "sum_a", "sum_b", "tiles", "body")
         return rows.mapInArrow(_sorted_sets, "id long, tiles array<long>, elements binary")
 
-    labels = connected(classes, elements, tile_sets, tile_elements)
+    labels = connected(classes.drop("first"), elements, tile_sets, tile_elements)
     labelled = classes.drop("keys").join(labels, "rep", "left")
-    labelled = stored(labelled.select(*same, F.coalesce("component", "rep").alias("component")), "labelled")
+    labelled = stored(labelled.select(*same, "first", F.coalesce("component", "rep").alias("group")), "labelled")
+    least = labelled.groupBy("group").agg(F.min("first").alias("component"), F.count("*").alias("sets"))
+    # A set without links is its own group.
+    least = stored(least.filter("sets > 1").drop("sets"), "least")
+    labelled = labelled.join(small(least, broadcast_rows), "group", "left")
+    labelled = labelled.select(*same, "group", F.coalesce("component", "first").alias("component"))
     joined = sets.drop("keys").join(labelled, same, "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")))
-    return joined.select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id")
-    )
+    group = F.coalesce("group", "text").alias("group")
+    return joined.select("id", "text", "n", group, component.alias("component"))
 
 
 def connected(
@@ -169,13 +194,13 @@ def band_keys(hashes: np.ndarray, bounds: np.ndarray, bands: int = BANDS, rows:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "n", "sum_a", "sum_b", "keys"]
+    names = ["id", "text", "n", "sum_a", "sum_b", "keys"]
     for batch in batches:
         for first, hashes, bounds, _ in shingle_sets(batch.column(1), SHINGLE_WORDS):
             sizes = np.diff(bounds)
             keys = band_keys(hashes, np.append(bounds[:-1][sizes > 0], bounds[-1]))
             offsets = np.concatenate(([0], np.cumsum((sizes > 0) * BANDS)))
-            arrays = [batch.column(0).slice(first, len(sizes)), pa.array(sizes, pa.int64())]
+            arrays = [batch.column(i).slice(first, len(sizes)) for i in (0, 2)] + [pa.array(sizes, pa.int64())]
             arrays += map(pa.array, sums(hashes, bounds))
             arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel())))
             yield pa.RecordBatch.from_arrays(arrays, names)
@@ -192,7 +217,7 @@ def _sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elements = pa.array([hashes[bounds[i] : bounds[i + 1]].tobytes() for i in right], pa.binary())
             place = pa.array(first + right)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(place), batch.column(3).take(place), elements], ["id", "tiles", "elements"]
+                [batch.column(1).take(place), batch.column(3).take(place), elements], ["id", "tiles", "elements"]
             )
 
 

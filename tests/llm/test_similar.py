@@ -98,6 +98,19 @@ def test_rows_of_one_id_and_null_ids(spark):
     assert found == [("7", 0, "7"), ("7", 7, "7"), ("7", 7, "7"), ("9", 1, "9"), ("9", 7, "7"), ("None", 7, "None")]
 
 
+def test_texts_that_share_an_id(spark):
+    from corpus_pipeline import without_copies
+
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(5, a), (5, b), (7, a + " end"), (9, b + " end"), (5, b), (5, "z " * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (rows, rows[::-1]):
+        found = jaccard.near_duplicates(spark.createDataFrame(part, "doc_id long, text string")).collect()
+        assert [(r["doc_id"], r["component_id"]) for r in found if r["doc_id"] > 5] and {r["component_id"] for r in found} == {5}
+    kept = sorted((r["doc_id"], r["text"]) for r in without_copies(spark, docs, "").collect())
+    assert kept == sorted({(5, a), (5, b), (5, "z " * 3)}), "one row for each component of texts"
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(8)
     chain = [(i, i + 1) for i in range(0, 60)]
