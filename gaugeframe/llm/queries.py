@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm import disclosure, jaccard, maglev, mincut, mixing, paragraphs, repetition, secrets, tiling, toxicity
+from gaugeframe.llm import disclosure, idfiles, jaccard, maglev, mincut, mixing, paragraphs, repetition, secrets, tiling, toxicity
+from gaugeframe.storage import scratch_path
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
@@ -16,6 +17,8 @@ MIX_WEIGHTS = {"domain": {"web": 4, "reference": 3, "forum": 2, "news": 1}, "lan
 BUDGET_SHARE = (3, 4)
 MAX_EPOCHS = 2
 MIX_SEED = 17
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 1
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -105,6 +108,15 @@ def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op12_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    root = scratch_path(spark, "ids")
+    # The vocabulary drops white space, so a long text may be cut at a blank or line feed.
+    idfiles.write_ids(read(spark, folder, "documents"), root, public_tokenizers.path(TOKENIZER), END_ID, cut_at=" \n")
+    return idfiles.id_digests(spark, root)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_secret_scan": op2_secret_scan,
@@ -117,4 +129,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_shard_table": op9_shard_table,
     "op10_string_tiling": op10_string_tiling,
+    "op12_id_files": op12_id_files,
 }
