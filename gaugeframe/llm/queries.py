@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm import disclosure, idfiles, jaccard, maglev, mincut, mixing, paragraphs, repetition, secrets, tiling, toxicity
+from gaugeframe.llm import disclosure, idfiles, jaccard, maglev, mincut, mixing, paragraphs, repetition, secrets, tiling, toxicity, trie
 from gaugeframe.storage import scratch_path
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -112,11 +112,29 @@ def op12_id_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     root = scratch_path(spark, "ids")
-    # The vocabulary drops white space, so a long text may be cut at a blank or line feed.
-    idfiles.write_ids(read(spark, folder, "documents"), root, public_tokenizers.path(TOKENIZER), END_ID, cut_at=" \n")
+    idfiles.write_ids(read(spark, folder, "documents"), root, public_tokenizers.path(TOKENIZER), END_ID, words_apart=True)
     return idfiles.id_digests(spark, root)
 
 
+def rebuilt(turns: DataFrame, every: int = 100, most: int = 6) -> DataFrame:
+    """Conversations that begin with turns of another one, as samples branched from it do.
+
+    Conversation c has the first h turns of conversation c - c % ``every``, then its own after
+    its first h; h is the CRC-32 of its id, modulo ``most``.
+    """
+    conv = F.col("conv_id")
+    taken = F.crc32(conv.cast("string").cast("binary")) % F.lit(most)
+    heads = turns.filter(conv % F.lit(every) == 0).select(conv.alias("base"), F.slice("turns", 1, most - 1).alias("head"))
+    own = turns.select("conv_id", (conv - conv % F.lit(every)).alias("base"), taken.cast("int").alias("taken"), "turns")
+    head = F.coalesce(F.slice("head", F.lit(1), F.col("taken")), F.array().cast(heads.schema["head"].dataType))
+    rest = F.slice("turns", F.col("taken") + 1, F.size("turns"))
+    return own.join(heads, "base", "left").select("conv_id", F.concat(head, rest).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt(trie.sequences(read(spark, folder, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition_rules": op1_repetition_rules,
     "op2_secret_scan": op2_secret_scan,
@@ -130,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_shard_table": op9_shard_table,
     "op10_string_tiling": op10_string_tiling,
     "op12_id_files": op12_id_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
