@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.llm import disclosure, idfiles, jaccard, maglev, mincut, mixing, paragraphs, repetition, secrets, tiling, toxicity, trie
+from gaugeframe.llm import disclosure, idfiles, jaccard, maglev, mincut, mixing, paragraphs, repair, repetition, secrets, tiling, toxicity, trie
 from gaugeframe.storage import scratch_path
 
 SHARDS = [f"shard-{i:03d}" for i in range(128)]
@@ -108,6 +108,27 @@ def op10_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
     return tiling.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the CRC-32 of ``conv_id:turn``; ``copies`` 0 is a dropped turn.
+
+    Nulls are one space, in the hashed text as in role and text.
+    """
+    role, text = (F.coalesce(conversations[c].cast("string"), F.lit(" ")) for c in ("role", "text"))
+    place = F.concat_ws(":", *[F.coalesce(conversations[c].cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fault = F.crc32(place.cast("binary")) % 20
+    return conversations.select(
+        conversations["conv_id"].cast("long").alias("conv_id"),
+        conversations["turn"].cast("long").alias("turn"),
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).cast("long").alias("copies"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(damaged(read(spark, folder, "conversations")))
+
+
 def op12_id_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -147,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_shard_table": op9_shard_table,
     "op10_string_tiling": op10_string_tiling,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_id_files": op12_id_files,
     "op13_prefix_trie": op13_prefix_trie,
 }
