@@ -12,11 +12,13 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,7 +26,8 @@ from pyspark.sql import functions as F
 
 from gaugeframe.storage import remove_path
 
-PIECE_CHARACTERS = 1 << 18  # encoded at a time
+PIECE_BYTES = 1 << 23  # of texts, encoded at a time
+CACHED_WORDS = 1 << 19  # since the last and the last but one clearing, some 100 MB each
 WINDOW_IDS = 1 << 20  # read at a time
 PARTS = "part int, name string, width int, n_docs long, n_null long, n_ids long"
 
@@ -37,7 +40,7 @@ def write_ids(
     id_column: str = "doc_id",
     text_column: str = "text",
     parts: int | None = None,
-    cut_at: str = "",
+    words_apart: bool = False,
 ) -> DataFrame:
     """Encode every text, end it with ``end_id``, and write the corpus below ``root``; returns ``parts``.
 
@@ -51,9 +54,10 @@ def write_ids(
     attempt writes files of its own name; those of the attempts that Spark accepts are the corpus,
     the others are removed.  Rows equal in id and text stay in one part.
 
-    ``cut_at`` names characters before which a text may be cut without any change of its ids, as
-    white space with a tokenizer that drops it; texts beyond ``PIECE_CHARACTERS`` are then encoded
-    in pieces.  Without it a text is encoded as a whole, however long.
+    ``words_apart`` says of a tokenizer that it drops white space and never looks across it.  Words
+    between ASCII white space are then encoded once per task and looked up again, which gives the
+    same ids and lets the memory of a task stay bounded whatever the length of a text.  Without it
+    every text is encoded as a whole.
     """
     spark = documents.sparkSession
     source = documents.select(
@@ -65,7 +69,7 @@ def write_ids(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        row = _write_part(batches, root, part, tokenizer, end_id, cut_at)
+        row = _write_part(batches, root, part, tokenizer, end_id, words_apart)
         if row["n_docs"]:
             yield pa.RecordBatch.from_pylist([row], schema=_ARROW_PARTS)
 
@@ -166,11 +170,12 @@ def _read_part(root: str, part: dict, rows) -> Iterator[list[pa.Array]]:
 
 
 def _write_part(
-    batches: Iterator[pa.RecordBatch], root: str, part: int, tokenizer: str, end_id: int, cut_at: str
+    batches: Iterator[pa.RecordBatch], root: str, part: int, tokenizer: str, end_id: int, words_apart: bool
 ) -> dict:
     name = f"part-{part:06d}-{uuid.uuid4().hex}"
     counts = {"n_docs": 0, "n_null": 0, "n_ids": 0}
-    width, encode = _encoder(tokenizer, end_id)
+    encoder = _encoder(tokenizer)
+    width = 2 if max(encoder.size, end_id + 1) <= 1 << 16 else 4
     files = None
     for batch in batches:
         if not batch.num_rows:
@@ -179,12 +184,11 @@ def _write_part(
             system, folder = fs.FileSystem.from_uri(_uri(root))
             files = [system.open_output_stream(f"{folder}/{name}.{kind}") for kind in ("ids", "offsets", "docs")]
             files[1].write(np.zeros(1, "<u8").tobytes())
-        for texts in _groups(batch.column(1)):
-            lengths = []
-            for ids in _encoded(texts, encode, cut_at):
-                files[0].write(np.array([*ids, end_id], f"<u{width}").tobytes())
-                lengths.append(len(ids) + 1)
-            ends = counts["n_ids"] + np.cumsum(lengths)
+        for texts in _pieces(batch.column(1)):
+            ids, lengths = encoder.by_word(texts) if words_apart else encoder.whole(texts)
+            ends = np.cumsum(lengths)
+            files[0].write(np.insert(ids, ends, end_id).astype(f"<u{width}").tobytes())
+            ends += np.arange(1, len(ends) + 1) + counts["n_ids"]
             files[1].write(ends.astype("<u8").tobytes())
             counts["n_ids"] = int(ends[-1])
         ids = batch.column(0)
@@ -196,56 +200,69 @@ def _write_part(
     return {"part": part, "name": name, "width": width, **counts}
 
 
-def _groups(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts in lists of about ``PIECE_CHARACTERS``; a longer one is a list of its own."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text.as_py())
-        size += len(group[-1])
-        if size >= PIECE_CHARACTERS:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
-def _encoded(texts: list[str], encode, cut_at: str) -> Iterator[list[int]]:
-    if not cut_at or max(map(len, texts)) <= PIECE_CHARACTERS:
-        yield from encode(texts)
-        return
-    for text in texts:
-        yield [i for piece in _pieces(text, cut_at) for i in encode([piece])[0]]
-
-
-def _pieces(text: str, cut_at: str) -> Iterator[str]:
-    """``text`` cut before the last of the characters within each ``PIECE_CHARACTERS``, or before the next one."""
-    start = 0
-    while len(text) - start > PIECE_CHARACTERS:
-        limit = start + PIECE_CHARACTERS
-        cut = max(text.rfind(c, start + 1, limit) for c in cut_at)
-        if cut < 0:
-            after = [p for c in cut_at if (p := text.find(c, limit)) >= 0]
-            if not after:
-                break
-            cut = min(after)
-        yield text[start:cut]
-        start = cut
-    yield text[start:]
-
-
-@lru_cache(maxsize=2)
-def _encoder(path: str, end_id: int):
-    """Bytes per id, and the function from texts to lists of ids; one core per task."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return width, encode
+def _pieces(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in runs of about ``PIECE_BYTES``; a longer one is a run of its own."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        done = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, done + PIECE_BYTES, "right")))
+        yield texts.slice(first, last - first)
+        first = last
+
+
+class _Encoder:
+    """A tokenizer on one core, and the ids of the words it has met."""
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and their number in each."""
+        return _joined(self.encoded(texts.to_pylist()))
+
+    def by_word(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``whole``, each distinct word between white space encoded once."""
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.words) > CACHED_WORDS:
+            self.words, self.older = {}, self.words
+        new = []
+        for word in distinct:
+            if word not in self.words:
+                if word in self.older:
+                    self.words[word] = self.older[word]
+                else:
+                    new.append(word)
+        for first in range(0, len(new), 1 << 14):
+            some = new[first : first + (1 << 14)]
+            self.words.update(zip(some, self.encoded(some)))
+        ids, lengths = _joined([self.words[w] for w in distinct])
+        bounds = np.concatenate(([0], np.cumsum(lengths)))
+        spread = pa.LargeListArray.from_arrays(bounds, pa.array(ids)).take(coded.indices)
+        ends = spread.offsets.to_numpy()[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return spread.values.to_numpy(), np.diff(ends)
+
+
+def _joined(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) // array("I").itemsize
+    return np.frombuffer(b"".join(found), np.uintc), lengths
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 def _uri(path: str) -> str:

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -43,7 +44,7 @@ def docs(spark):
 @pytest.mark.parametrize("parts", [1, 3, 40])
 def test_round_trip(spark, docs, tmp_path, parts):
     root = f"file://{tmp_path}/corpus"
-    idfiles.write_ids(docs, root, PATH, END, parts=parts, cut_at=" \n")
+    idfiles.write_ids(docs, root, PATH, END, parts=parts, words_apart=parts != 3)
     want = expected(DOCS)
     got = sorted((r["start"], r["doc_id"], list(r["ids"])) for r in idfiles.read_ids(spark, root).collect())
     assert got == [(place, doc, ids) for doc, place, ids in want]
@@ -92,13 +93,12 @@ def test_empty_table(spark, docs, tmp_path):
     assert idfiles.read_ids(spark, root).count() == idfiles.id_digests(spark, root).count() == 0
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet=st.sampled_from("aé'sLl 19\n\t!ß́İ<|>_"), max_size=60))
-def test_cut_texts_have_the_same_ids(text):
-    size, idfiles.PIECE_CHARACTERS = idfiles.PIECE_CHARACTERS, 5
-    try:
-        pieces = list(idfiles._pieces(text, " \n"))
-    finally:
-        idfiles.PIECE_CHARACTERS = size
-    assert "".join(pieces) == text
-    assert [i for p in pieces for i in encoded(p)[:-1]] == encoded(text)[:-1]
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("aé'sLl 19\n\t\v\u2003\u0301!ß\u0130<|>_"), max_size=40), min_size=1))
+def test_words_have_the_ids_of_the_whole_text(texts):
+    encoder = idfiles._encoder(PATH)
+    texts = pa.array([*texts, "a <|endoftext|>b<|startoftext|>"]).slice(1)
+    ids, lengths = encoder.by_word(texts)
+    want_ids, want_lengths = encoder.whole(texts)
+    assert ids.tolist() == want_ids.tolist() and lengths.tolist() == want_lengths.tolist()
+    assert want_ids.tolist() == [i for t in texts.to_pylist() for i in encoded(t)[:-1]]
