@@ -178,4 +178,135 @@ SELECT s.doc_id, CAST(s.place AS BIGINT) AS line, CAST(s.start AS BIGINT) AS sta
 FROM component c JOIN s ON s.id = c.id JOIN s k ON k.id = c.keeper
 """
 
-ORACLE = {"op1_repetition_rules": OP1, "op4_paragraph_repeats": OP4, "op7_jaccard_join": OP7, "op8_source_mix": OP8}
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text: the bits of each byte, one after the other."""
+    bit = "xor(c >> 1, (c & 1) * 3988292384)"
+    byte = f"list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, n: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda crc, b: {byte}), 4294967295)"
+
+
+TIE = "md5(length(role) || ':' || role || text)"
+
+
+def _edit(state: int, following: int, role: str) -> str:
+    """Cheapest of the edits at a turn from a state: (cost, letters, lines), before turns are put in."""
+    kept = {0: "CASE initial WHEN 's' THEN 2 WHEN 'u' THEN 3 END", 2: "CASE initial WHEN 'a' THEN 4 END"}
+    after = kept.get(state, "CASE initial WHEN 'u' THEN 3 END")
+    gone = f"struct_pack(cost := 2 + b[{state + 1}].cost, audit := 'D' || b[{state + 1}].audit, lines := b[{state + 1}].lines)"
+
+    def stays(letter: str, cost: str, to: str, written: str) -> str:
+        fields = f"cost := {cost} + 5 * cut + b[{to}].cost, audit := '{letter}' || b[{to}].audit"
+        return f"struct_pack({fields}, lines := list_prepend({written} || ':' || text, b[{to}].lines))"
+
+    keep = f"CASE WHEN NOT must_go AND {after} IS NOT NULL THEN {stays('K', '0', after, 'role')} END"
+    rerole = f"CASE WHEN NOT must_go THEN {stays('R', '1', str(following + 1), repr(role))} END"
+    return f"list_min(list_filter([{gone}, {keep}, {rerole}], lambda x: x IS NOT NULL))"
+
+
+def _inserted(name: str, state: int, following: int, role: str) -> str:
+    """The cheaper of what a state has and of putting a turn in first."""
+    other = f"{name}[{following + 1}]"
+    put = f"struct_pack(cost := 5 + {other}.cost, audit := 'I' || {other}.audit, lines := list_prepend('{role}:', {other}.lines))"
+    return f"list_min([{name}[{state + 1}], {put}])"
+
+
+_FOLLOWING = [(0, 2, "user"), (1, 2, "user"), (2, 3, "assistant"), (3, 2, "user")]
+_STEP = "[" + ", ".join(_edit(state, to, role) for state, to, role in _FOLLOWING) + "]"
+_PUT = "[" + ", ".join(_inserted("e", state, to, role) for state, to, role in _FOLLOWING) + "]"
+_END = [(0, "", []), (10, "II", ["user:", "assistant:"]), (5, "I", ["assistant:"]), (0, "", [])]
+_LAST = ", ".join(f"struct_pack(cost := CAST({c} AS BIGINT), audit := '{a}', lines := CAST({w} AS VARCHAR[]))" for c, a, w in _END)
+
+OP11 = rf"""
+WITH RECURSIVE hashed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS fault
+    FROM conversations
+), once AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, fault,
+        CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM hashed WHERE fault <> 0
+), damaged AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE fault = 3),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {TIE}) AS place, role[1] AS initial,
+        NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank
+    FROM damaged
+), seen AS (
+    SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 AS duplicate,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY place) AS before
+    FROM placed
+), marked AS (
+    SELECT *, blank OR duplicate AS must_go,
+        CAST(NOT blank AND NOT duplicate AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS BIGINT) AS cut
+    FROM seen
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+        count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, sum(cut) AS truncated,
+        count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+), walk AS (
+    SELECT conv_id, n + 1 AS place, [{_LAST}] AS b FROM counted
+    UNION ALL
+    SELECT conv_id, place, {_PUT} FROM (
+        SELECT conv_id, place, {_PUT} AS e FROM (
+            SELECT w.conv_id, m.place, {_STEP} AS e
+            FROM walk w JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.place = w.place - 1
+        )
+    )
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+    CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+    CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, coalesce(b[1].cost, 0) AS cost, coalesce(b[1].audit, '') AS audit,
+    sha256(coalesce(array_to_string(b[1].lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.place = 1
+"""
+
+OP13 = rf"""
+WITH texts AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, {TIE}) AS place, {TIE} AS name, length(text) AS size
+    FROM texts
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS taken
+    FROM (SELECT DISTINCT conv_id FROM own)
+), heads AS (
+    SELECT c.conv_id, o.place AS depth, name, size FROM convs c JOIN own o ON o.conv_id = c.base AND o.place <= c.taken
+), begun AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+rebuilt AS (
+    SELECT * FROM heads
+    UNION ALL
+    SELECT o.conv_id, o.place - c.taken + coalesce(b.n, 0), name, size
+    FROM own o JOIN convs c USING (conv_id) LEFT JOIN begun b USING (conv_id) WHERE o.place > c.taken
+), paths AS (
+    SELECT conv_id, depth, size, list(name) OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+        depth = count(*) OVER (PARTITION BY conv_id) AS ends
+    FROM rebuilt
+    UNION ALL
+    SELECT conv_id, 0, 0, [], conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM convs
+), nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ended
+    FROM paths GROUP BY path, depth
+), children AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+below AS (
+    SELECT path[1:d] AS path, count(*) FILTER (WHERE n IS NULL) AS n_leaves, sum((n_convs - 1) * size) AS saved
+    FROM (SELECT n.*, c.n, unnest(range(0, depth + 1)) AS d FROM nodes n LEFT JOIN children c USING (path)) GROUP BY ALL
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+    b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(n.ended) AS ends_sha256
+FROM nodes n JOIN below b USING (path) LEFT JOIN children c USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""
+
+ORACLE = {
+    "op1_repetition_rules": OP1,
+    "op4_paragraph_repeats": OP4,
+    "op7_jaccard_join": OP7,
+    "op8_source_mix": OP8,
+    "op11_conversation_repair": OP11,
+    "op13_prefix_trie": OP13,
+}
