@@ -34,6 +34,7 @@ from gaugeframe.plans.topics import (
 )
 from gaugeframe.schemas import CATALOG, CODE, NAME, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.sinks.csv import CSV_FORMAT, wide_csv_lines, write_long_csv, write_wide_csv
+from gaugeframe.sources.chain import walk_pages
 from gaugeframe.sources.landing import (
     audit_page_chain,
     decode_pages,
@@ -68,6 +69,13 @@ def page_chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_page_chain(page_links(t.order_chain(spark, sf_dir)))
 
 
+def page_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of all pages from every 1,000th on, and what breaks the chains."""
+    links = page_links(t.order_links(spark, sf_dir))
+    starts = t.table(spark, sf_dir, "orders").filter("o_orderkey % 1000 = 0").select(F.concat(F.lit("orders/"), "o_orderkey").alias("url"))
+    return walk_pages(links, starts)
+
+
 def observation_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store by code, read back the selected codes only."""
     path = scratch_path(spark, "observations")
@@ -472,6 +480,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         catalog_scan,
         page_chain_audit,
+        page_walk,
         observation_scan,
         page_rows,
         event_properties,

@@ -177,6 +177,28 @@ ORACLE: dict[str, str] = {
 WITH pages AS (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')
 SELECT 'orders/' || CAST(p.o_orderkey + 1 AS VARCHAR) AS missing_url, count(*) AS referrers
 FROM pages p WHERE NOT EXISTS (SELECT 1 FROM pages q WHERE q.o_orderkey = p.o_orderkey + 1) GROUP BY 1""",
+    # A page leads back to itself only by way of a link ten pages back, within a dozen steps.
+    "page_walk": """
+WITH RECURSIVE links AS (
+  SELECT o_orderkey AS k, 'orders/' || o_orderkey AS url, CASE WHEN o_orderkey % 1000 <> 999 THEN 'orders/' || CAST(o_orderkey
+    + CASE WHEN o_orderkey % 250 = 249 THEN 2 WHEN o_orderkey % 170 = 169 THEN -10 ELSE 1 END AS VARCHAR) END AS target
+  FROM orders
+  UNION ALL SELECT o_orderkey, 'orders/' || o_orderkey, 'orders/lost' || o_orderkey FROM orders WHERE o_orderkey % 90 = 89
+), nodes AS (SELECT url, min(k) AS k, min(target) AS target, count(DISTINCT target) AS links FROM links GROUP BY url),
+referred AS (SELECT target AS url, count(*) AS referrers FROM (SELECT DISTINCT url, target FROM links WHERE target IS NOT NULL) GROUP BY 1),
+walk AS (
+  SELECT url, url AS start, 0 AS page_no FROM nodes WHERE k % 1000 = 0
+  UNION ALL
+  SELECT n.target, w.start, w.page_no + 1 FROM walk w JOIN nodes n USING (url) WHERE n.target IN (SELECT url FROM nodes) AND w.page_no < 1000
+), numbered AS (SELECT url, min((page_no, start)) AS place FROM walk GROUP BY url),
+ahead AS (
+  SELECT url AS origin, url AS here, 0 AS steps FROM nodes
+  UNION ALL SELECT a.origin, n.target, a.steps + 1 FROM ahead a JOIN nodes n ON n.url = a.here WHERE a.steps < 12 AND n.target IS NOT NULL
+)
+SELECT n.url, CAST(place[1] AS BIGINT) AS page_no, place[2] AS start, coalesce(referrers, 0) AS referrers, links,
+  n.url IN (SELECT origin FROM ahead WHERE here = origin AND steps > 0) AS on_cycle,
+  n.target IS NOT NULL AND n.target NOT IN (SELECT url FROM nodes) AS next_missing
+FROM nodes n LEFT JOIN numbered USING (url) LEFT JOIN referred USING (url)""",
     "observation_scan": f"""WITH {OBS_TYPED} SELECT SpatialDim AS "COUNTRY", TimeDim AS "YEAR", IndicatorCode, NumericValue
 FROM obs WHERE {KEYS_PRESENT} AND IndicatorCode IN ('ECONOMY', 'MEDIUM')""",
     "page_rows": """

@@ -194,6 +194,25 @@ def order_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as landed pages in chains of 1,000, with ends, short cuts and loops by rules on the key.
+
+    Every 1,000th page ends its chain, every 250th but those skips the next page, every 170th leads
+    ten pages back, and of every 90th one there are two, the other one with a link to a lost page.
+    """
+    key = F.col("o_orderkey")
+    ahead = F.when(key % 250 == 249, 2).when(key % 170 == 169, -10).otherwise(1)
+    to = F.when(key % 1000 != 999, F.concat(F.lit("orders/"), (key + ahead).cast("string")))
+    links = F.when(key % 90 == 89, F.array(to, F.concat(F.lit("orders/lost"), key))).otherwise(F.array(to))
+    none = F.array().cast("array<string>").alias("value")
+    pages = table(spark, sf_dir, "orders").select(key, F.explode(links).alias(NEXT_LINK))
+    return pages.select(
+        F.concat(F.lit("orders/"), _text("o_orderkey")).alias("url"),
+        F.lit(200).alias("status"),
+        F.to_json(F.struct(none, F.col(f"`{NEXT_LINK}`"))).alias("body"),
+    )
+
+
 def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as landed pages of status 200, most of them broken by a rule on the key."""
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
