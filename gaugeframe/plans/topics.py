@@ -23,7 +23,7 @@ from gaugeframe.operators.reshape import (
 )
 from gaugeframe.operators.selection import select_by_topic, select_indicators
 from gaugeframe.schemas import CODE, NEEDED, VALUE, YEAR
-from gaugeframe.sources.landing import OnError, ensure_complete, fail_on_error, scan_catalog, scan_observations
+from gaugeframe.sources.landing import OnError, OnMissing, ensure_complete, fail_on_error, scan_catalog, scan_observations
 from gaugeframe.storage import cut_lineage
 
 ENTITY = "ENTITY"
@@ -39,6 +39,7 @@ class Topic:
     null_policy: NullPolicy = "keys"
     on_error: OnError = "skip"
     catalog_on_error: OnError = "fail"
+    on_missing: OnMissing = "none"
 
     @property
     def patterns(self) -> tuple[str, ...]:
@@ -400,11 +401,13 @@ def run_landed_topic(
     """
     if not allow_missing_pages:
         ensure_complete(landed_catalog)
-    selection = select_indicators(scan_catalog(landed_catalog, topic.catalog_on_error), topic.patterns)
+    catalog = scan_catalog(landed_catalog, topic.catalog_on_error, on_missing=topic.on_missing)
+    selection = select_indicators(catalog, topic.patterns)
     pages = observations_for(landed_observations, selection, key="code")
     if not allow_missing_pages:
         ensure_complete(pages)
-    return TopicTables(selection, scan_observations(pages, topic.on_error), topic, keys, scale, max_columns)
+    rows = scan_observations(pages, topic.on_error, on_missing=topic.on_missing)
+    return TopicTables(selection, rows, topic, keys, scale, max_columns)
 
 
 def landed_for_topics(

@@ -48,14 +48,12 @@ LANDED = T.StructType(
 def page_schema(row: T.StructType) -> T.StructType:
     """Envelope of one page whose rows have the type ``row``, as it is read.
 
-    A year keeps its JSON type, since numbers and texts are cut in different ways;
-    values are read as text, so that one that is not a number can be told from a
-    missing one.  ``UNREADABLE`` gets a body that does not have this form.
+    Values are read as text, so that one that is not a number can be told from a missing
+    one.  ``UNREADABLE`` gets a body that does not have this form.
     """
 
     def as_read(field: T.StructField) -> T.StructField:
-        kind = T.VariantType() if field.name == TIME else field.dataType
-        return T.StructField(field.name, T.StringType() if isinstance(kind, T.DoubleType) else kind)
+        return T.StructField(field.name, T.StringType() if isinstance(field.dataType, T.DoubleType) else field.dataType)
 
     return T.StructType(
         [

@@ -31,6 +31,15 @@ OnError = Literal["skip", "fail"]
 # What becomes of bodies and values that cannot be read: the job stops, or they
 # stay with a ``problem`` for ``unreadable_pages``.  They never vanish.
 OnUnreadable = Literal["fail", "mark"]
+# What becomes of readable pages without a list of rows, as error bodies of status 200: they
+# have none, or they cannot be read.  ``unreadable_pages`` names them in either case.
+OnMissing = Literal["none", "fail"]
+
+# A year that is a JSON number with a fraction or an exponent; a year that is a number; the
+# character put before a number when it is turned into text.
+FRACTION = f'"{TIME}"' + r"\s*:\s*-?[0-9]+[.eE]"
+NUMBER = f'("{TIME}"' + r"\s*:\s*)(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)"
+MARK = "\ue000"
 
 
 class IncompletePagesError(RuntimeError):
@@ -101,19 +110,24 @@ def refused_pages(landed: DataFrame) -> DataFrame:
 
 
 def decode_pages(
-    landed: DataFrame, row: T.StructType, on_error: OnError = "skip", on_unreadable: OnUnreadable = "fail"
+    landed: DataFrame,
+    row: T.StructType,
+    on_error: OnError = "skip",
+    on_unreadable: OnUnreadable = "fail",
+    on_missing: OnMissing | Column = "fail",
 ) -> DataFrame:
     """Apply the status policy and parse the bodies; adds ``value`` and the next link.
 
-    An accepted body that is not a page with rows stops the job, or with ``mark`` has
-    no rows and a ``problem``.
+    An accepted body that is not a page stops the job, or with ``mark`` has no rows and a
+    ``problem``; so does a page without rows unless ``on_missing`` is ``none``, or a column that is
+    false for the page.
     """
     accepted = {"skip": keep_ok, "fail": fail_on_error}[on_error](landed)
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
     others = [c for c in landed.columns if c != "body"]
-    pages = accepted.withColumn("page", F.from_json("body", page_schema(row), options))
+    pages = accepted.withColumn("page", _parsed(row))
+    strict = on_missing if isinstance(on_missing, Column) else F.lit({"none": False, "fail": True}[on_missing])
     unreadable = F.col(f"page.{UNREADABLE}").isNotNull()
-    problem = F.when(unreadable, "not a page").when(F.col(f"page.{ROWS}").isNull(), "no rows")
+    problem = F.when(unreadable, "not a page").when(F.col(f"page.{ROWS}").isNull() & strict, "no rows")
     rows, link = F.col(f"page.{ROWS}"), F.col(f"page.`{NEXT_LINK}`").alias(NEXT_LINK)
     if on_unreadable == "mark":
         kept = F.when(problem.isNull(), rows)
@@ -122,6 +136,20 @@ def decode_pages(
     return pages.select(*others, F.when(problem.isNull(), rows).otherwise(stop).alias(ROWS), link)
 
 
+def _parsed(row: T.StructType) -> Column:
+    """The parsed body, years as text.
+
+    Fractions of a number are cut, those of a text are not.  So in the few bodies that have a year
+    with a fraction, years that are numbers are marked before the body is parsed.
+    """
+    body = F.col("body")
+    if TIME in row.names:
+        marked = F.regexp_replace("body", NUMBER, f'$1"{MARK}$2"')
+        body = F.when(body.rlike(FRACTION), marked).otherwise(body)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
+    return F.from_json(body, page_schema(row), options)
+
+
 def _address(landed: DataFrame) -> list[Column]:
     names = [c for c in ("url", "code") if c in landed.columns]
     return [F.concat_ws(" ", *names)] if names else []
@@ -150,7 +178,7 @@ def unnest_rows(pages: DataFrame, keep: tuple[str, ...] = (), position: str | No
         keep = (*keep, position)
     held = F.col("row").isNotNull()
     flat = rows.filter(held | F.col(PROBLEM).isNotNull() if marking else held).select(*keep, "row.*")
-    if TIME in flat.columns and isinstance(flat.schema[TIME].dataType, T.VariantType):
+    if TIME in flat.columns and isinstance(flat.schema[TIME].dataType, T.StringType):
         flat = flat.withColumn(TIME, _year_text(F.col(TIME)))
     if VALUE in flat.columns and isinstance(flat.schema[VALUE].dataType, T.StringType):
         text = F.trim(F.col(VALUE), F.lit('"'))
@@ -166,17 +194,20 @@ def unnest_rows(pages: DataFrame, keep: tuple[str, ...] = (), position: str | No
 
 
 def _year_text(year: Column) -> Column:
-    """A year as text: fractions of JSON numbers are cut off, texts stay as they are."""
-    number = F.try_variant_get(year, "$", "double").cast("bigint").cast("string")
-    numeric = F.schema_of_variant(year).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    return F.when(numeric, number).otherwise(F.try_variant_get(year, "$", "string"))
+    """A year as text: fractions of marked numbers are cut off, texts stay as they are."""
+    number = F.substring(year, 2, 100)
+    whole = number.try_cast("double").try_cast("bigint").cast("string")
+    return F.when(year.startswith(MARK), F.coalesce(whole, number)).otherwise(year)
 
 
 def scan_catalog(
-    landed: DataFrame, on_error: OnError = "fail", on_unreadable: OnUnreadable = "fail"
+    landed: DataFrame,
+    on_error: OnError = "fail",
+    on_unreadable: OnUnreadable = "fail",
+    on_missing: OnMissing | Column = "fail",
 ) -> DataFrame:
     """Catalogue rows of all landed catalogue pages."""
-    return unnest_rows(decode_pages(landed, CATALOG, on_error, on_unreadable))
+    return unnest_rows(decode_pages(landed, CATALOG, on_error, on_unreadable, on_missing))
 
 
 def scan_observations(
@@ -184,17 +215,18 @@ def scan_observations(
     on_error: OnError = "skip",
     row: T.StructType = OBSERVATION,
     on_unreadable: OnUnreadable = "fail",
+    on_missing: OnMissing | Column = "fail",
 ) -> DataFrame:
     """Observations of all landed pages, stamped with the code that was asked for.
 
     With ``mark`` what cannot be read stays as rows with a ``problem``.
     """
-    rows = unnest_rows(decode_pages(landed, row, on_error, on_unreadable), keep=("code",))
+    rows = unnest_rows(decode_pages(landed, row, on_error, on_unreadable, on_missing), keep=("code",))
     return stamp_code(rows, "code")
 
 
 def unreadable_pages(landed: DataFrame, on_error: OnError = "skip", row: T.StructType = OBSERVATION) -> DataFrame:
-    """Address, code and problem of every page and every row that cannot be read."""
+    """Address, code and problem of every page and every row that cannot be read, and of pages without rows."""
     rows = unnest_rows(decode_pages(landed, row, on_error, "mark"), keep=("url", "code"))
     return rows.filter(F.col(PROBLEM).isNotNull()).select("url", "code", PROBLEM)
 

@@ -35,6 +35,7 @@ from gaugeframe.plans.topics import (
 from gaugeframe.schemas import CATALOG, CODE, NAME, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.sinks.csv import CSV_FORMAT, wide_csv_lines, write_long_csv, write_wide_csv
 from gaugeframe.sources.chain import walk_pages
+from gaugeframe.sources.inferred import infer_rows
 from gaugeframe.sources.landing import (
     audit_page_chain,
     decode_pages,
@@ -146,6 +147,21 @@ def unreadable_pages_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.unionByName(read)
 
 
+def pages_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of pages that differ in columns and types; pages without rows have none."""
+    return infer_rows(t.varied_pages(spark, sf_dir))
+
+
+def pages_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error bodies of status 200 under both policies: what is read, and what is named."""
+    landed = t.broken_orders(spark, sf_dir).filter("substring(url, 8) % 7 in (2, 5, 6)")
+    read = scan_observations(landed, on_missing="none").select(
+        F.lit("none").alias("policy"), F.col(CODE).alias("what"), F.round(F.col(VALUE) * 100).cast("long").alias("units")
+    )
+    named = unreadable_pages(landed).select(F.lit("fail").alias("policy"), F.concat_ws(" ", "url", "problem").alias("what"))
+    return read.unionByName(named, allowMissingColumns=True)
+
+
 def json_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years as whole and fractional JSON numbers and as text."""
     years = clean_long(scan_observations(t.landed_years(spark, sf_dir)))
@@ -489,6 +505,8 @@ QUERIES: dict[str, Query] = {
         page_intake,
         failed_pages_refused,
         unreadable_pages_named,
+        pages_inferred,
+        pages_without_rows,
         json_years,
         one_term,
         any_term,

@@ -199,6 +199,17 @@ SELECT n.url, CAST(place[1] AS BIGINT) AS page_no, place[2] AS start, coalesce(r
   n.url IN (SELECT origin FROM ahead WHERE here = origin AND steps > 0) AS on_cycle,
   n.target IS NOT NULL AND n.target NOT IN (SELECT url FROM nodes) AS next_missing
 FROM nodes n LEFT JOIN numbered USING (url) LEFT JOIN referred USING (url)""",
+    "pages_inferred": """
+SELECT CAST(l_suppkey AS VARCHAR) AS IndicatorCode, l_returnflag AS SpatialDim, l_extendedprice AS NumericValue,
+  CASE WHEN l_linenumber % 3 > 0 THEN CAST(year(l_shipdate) AS VARCHAR) END AS TimeDim,
+  CASE l_linenumber % 3 WHEN 1 THEN CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) WHEN 2 THEN l_discount END AS "Low",
+  CASE WHEN l_linenumber % 3 = 1 THEN l_linenumber = 1 END AS "Final",
+  CASE WHEN l_linenumber % 3 = 0 THEN '{"n":' || l_linenumber || ',"s":"' || l_linestatus || '"}' END AS "Dim 1"
+FROM lineitem WHERE l_linenumber <> 7""",
+    "pages_without_rows": """
+SELECT 'none' AS policy, CAST(o_custkey AS VARCHAR) AS what, CAST(round(o_totalprice * 100) AS BIGINT) AS units
+FROM orders WHERE o_orderkey % 7 IN (5, 6)
+UNION ALL SELECT 'fail', 'orders/' || o_orderkey || ' no rows', NULL FROM orders WHERE o_orderkey % 7 = 2""",
     "observation_scan": f"""WITH {OBS_TYPED} SELECT SpatialDim AS "COUNTRY", TimeDim AS "YEAR", IndicatorCode, NumericValue
 FROM obs WHERE {KEYS_PRESENT} AND IndicatorCode IN ('ECONOMY', 'MEDIUM')""",
     "page_rows": """

@@ -235,6 +235,31 @@ def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def varied_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as pages whose rows have different columns and types, by line number.
+
+    Some years are texts, some discounts whole numbers, some rows have a level of their own or a
+    note that is null, and every seventh line has an error body.
+    """
+    number = F.col("l_linenumber")
+    first = [F.col("l_returnflag").alias(SPATIAL), F.col("l_extendedprice").alias(VALUE)]
+    whole = F.struct(*first, F.year("l_shipdate").alias(TIME), F.col("l_quantity").cast("long").alias("Low"), (number == 1).alias("Final"))
+    typed = F.struct(*first, F.year("l_shipdate").cast("string").alias(TIME), F.col("l_discount").alias("Low"))
+    nested = F.struct(*first, F.struct(F.col("l_linenumber").alias("n"), F.col("l_linestatus").alias("s")).alias("Dim 1"))
+    body = (
+        F.when(number == 7, '{"error": "busy"}')
+        .when(number % 3 == 0, F.to_json(F.struct(F.array(nested).alias("value"))))
+        .when(number % 3 == 1, F.to_json(F.struct(F.array(whole).alias("value"))))
+        .otherwise(F.to_json(F.struct(F.array(typed).alias("value"))))
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("/", F.lit("lines"), "l_orderkey", "l_linenumber").alias("url"),
+        _text("l_suppkey").alias("code"),
+        F.lit(200).alias("status"),
+        body.alias("body"),
+    )
+
+
 def landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as pages whose year is 1998, 1998.0, 1998.7 or "1998", by line number."""
     year = F.year("l_shipdate").cast("string")
