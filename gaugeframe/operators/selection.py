@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeframe.functions.matching import matches_any, matching_topics
+from gaugeframe.functions.grams import SIZE, grams
+from gaugeframe.functions.matching import METACHARACTERS, folded, matches_any, matching_topics
+from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key
 from gaugeframe.schemas import CODE, NAME, require_columns
 from gaugeframe.storage import cut_lineage
 
@@ -48,6 +50,65 @@ def select_by_topic(
     return hits.dropDuplicates(["topic", CODE])
 
 
+def select_by_topic_table(
+    catalog: DataFrame,
+    topics: DataFrame,
+    names: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    most_patterns: int = 1000,
+) -> DataFrame:
+    """As ``select_by_topic``, for any number of topics in a table (``topic``, ``term``).
+
+    A plain term meets the names that have its rarest gram of three characters, and is then
+    searched in these only.  Terms without a gram, and patterns, are few as a rule: they are
+    literals of a plan of their own, and more than ``most_patterns`` of them are an error.  Null
+    terms and topics match nothing; an empty term is an error.
+    """
+    require_columns(catalog, [CODE, NAME])
+    spark = catalog.sparkSession
+    folded_term = F.lower("term")
+    plain = folded_term.rlike(rf"^[\x20-\x7e]{{{SIZE},}}$") & ~F.col("term").rlike(METACHARACTERS.pattern)
+    wanted = cut_lineage(topics.select("topic", "term", folded_term.alias("folded"), plain.alias("plain")).dropna().distinct())
+    apart = wanted.filter(~F.col("plain")).select("term").distinct().limit(most_patterns + 1).collect()
+    if len(apart) > most_patterns:
+        raise ValueError(f"more than {most_patterns} terms without a gram of {SIZE} characters to look them up by")
+    pairs = catalog.select(CODE, NAME).filter(F.col(NAME).isNotNull()).dropDuplicates([CODE, NAME])
+    pairs = cut_lineage(pairs.select(F.xxhash64(CODE, NAME).alias("id"), CODE, NAME))
+    found = _met_terms(pairs, wanted.filter("plain").select("folded").distinct(), broadcast_bytes)
+    hits = found.join(wanted.filter("plain").select("topic", "folded"), "folded").select("topic", CODE, NAME)
+    if apart:
+        by_term = {r["term"]: [r["term"]] for r in apart}
+        others = select_by_topic(pairs, by_term).withColumnRenamed("topic", "term")
+        others = others.join(wanted.filter(~F.col("plain")).select("topic", "term"), "term")
+        hits = hits.union(others.select("topic", CODE, NAME))
+    kept = ["topic", CODE, NAME] if names else ["topic", CODE]
+    return hits.select(kept).distinct()
+
+
+def _met_terms(pairs: DataFrame, terms: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The pairs (``id``, code, name) with every term (``folded``) that occurs in the name.
+
+    Names are cut into grams once; grams that no term looks for are dropped before anything is
+    shuffled.  A name then meets the terms of its grams as one list, not longer than the terms.
+    """
+    grammed = pairs.select("id", F.explode(grams(folded(F.col(NAME)))).alias("gram"))
+    ends = F.sequence(F.lit(1), F.length("folded") - (SIZE - 1))
+    of_terms = terms.select("folded", F.explode(F.transform(ends, lambda i: F.substring("folded", i, F.lit(SIZE)))).alias("gram"))
+    of_terms = cut_lineage(of_terms.distinct())
+    sought = join_on_key(grammed, of_terms.select("gram").distinct(), "gram", "left_semi", broadcast_bytes)
+    counts = cut_lineage(sought.groupBy("gram").agg(F.count("*").alias("n")))
+    # A gram that no name has rules its term out.
+    known = of_terms.join(counts, "gram", "left")
+    rarest = known.groupBy("folded").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.min(F.col("n").isNotNull()).alias("possible"))
+    lookup = rarest.filter("possible").groupBy("gram").agg(F.collect_list("folded").alias("terms"))
+    met = join_on_key(grammed, cut_lineage(lookup), "gram", "inner", broadcast_bytes)
+    candidates = cut_lineage(met.groupBy("id").agg(F.flatten(F.collect_list("terms")).alias("terms")))
+    near = join_on_key(pairs, candidates, "id", "inner", broadcast_bytes)
+    text = F.array(folded(F.col(NAME)))
+    hits = F.transform(text, lambda t: F.filter("terms", lambda term: t.contains(term)))[0]
+    return near.select(CODE, NAME, F.explode(hits).alias("folded"))
+
+
 def selection_order() -> list[Column]:
     """Order of a selection: code, then name, missing last."""
     return [F.col(CODE).asc_nulls_last(), F.col(NAME).asc_nulls_last()]

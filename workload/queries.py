@@ -21,7 +21,13 @@ from gaugeframe.operators.reshape import (
     rename,
     unpivot_wide,
 )
-from gaugeframe.operators.selection import number_selection, select_by_topic, select_indicators, with_ordinal
+from gaugeframe.operators.selection import (
+    number_selection,
+    select_by_topic,
+    select_by_topic_table,
+    select_indicators,
+    with_ordinal,
+)
 from gaugeframe.plans.export import export_topics
 from gaugeframe.plans.topics import (
     TOPICS,
@@ -50,6 +56,7 @@ from gaugeframe.sources.landing import (
     unreadable_pages,
 )
 from gaugeframe.sources.observations import read_observations, write_observations
+from gaugeframe.sources.term_index import find_terms, write_term_index
 from gaugeframe.storage import scratch_path
 from gaugeframe.streaming.intake import append_observations, stream_landed
 from workload import tables as t
@@ -182,8 +189,23 @@ def any_term(spark: SparkSession, sf_dir: str) -> DataFrame:
 def any_term_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = t.table(spark, sf_dir, "documents")
     texts = documents.select(F.col("doc_id").cast("string").alias(CODE), F.col("text").alias(NAME))
-    terms = ["wash", "tion there", "ÉTION", "que la", "und (der|die)"]
-    return select_indicators(texts, terms).select(CODE, F.length(NAME).alias("n_chars"))
+    return select_indicators(texts, t.TEXT_TERMS).select(CODE, F.length(NAME).alias("n_chars"))
+
+
+def indexed_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One index of the catalogue, in which three lists of terms are looked up."""
+    path = scratch_path(spark, "terms")
+    write_term_index(t.catalog(spark, sf_dir), path)
+    lists = {"any": RINGS, "types": ("of medium", "of Promo|gizmo of"), "rare": ("ll rod of s", "no such part")}
+    return union_all([find_terms(spark, path, x).withColumn("list", F.lit(name)) for name, x in lists.items()])
+
+
+def indexed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terms of ``any_term_documents``, from an index of the texts."""
+    path = scratch_path(spark, "texts")
+    documents = t.table(spark, sf_dir, "documents")
+    write_term_index(documents.select(F.col("doc_id").cast("string").alias(CODE), F.col("text").alias(NAME)), path)
+    return find_terms(spark, path, t.TEXT_TERMS).select(CODE, F.length(NAME).alias("n_chars"))
 
 
 def pattern_and_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,6 +480,19 @@ def all_topics_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_by_topic(texts, patterns, names=False)
 
 
+def topics_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The built-in topics as rows of a table."""
+    rows = [(x.name, term) for x in TOPICS for term in x.patterns]
+    topics = spark.createDataFrame(rows, "topic string, term string")
+    return select_by_topic_table(t.topical_catalog(spark, sf_dir), topics)
+
+
+def topics_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic per part, which looks for names like its own: how many codes each has."""
+    hits = select_by_topic_table(t.catalog(spark, sf_dir), t.part_terms(spark, sf_dir), names=False)
+    return hits.groupBy("topic").agg(F.count("*").alias("n_codes"), F.min(F.col(CODE).cast("long")).alias("first_code"))
+
+
 def all_topics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.observations(spark, sf_dir, all_years=True)
     return all_topics_long(t.catalog(spark, sf_dir), rows, t.PART_TOPICS)
@@ -511,6 +546,8 @@ QUERIES: dict[str, Query] = {
         one_term,
         any_term,
         any_term_documents,
+        indexed_terms,
+        indexed_documents,
         pattern_and_literal,
         null_names,
         projection,
@@ -552,6 +589,8 @@ QUERIES: dict[str, Query] = {
         topic_wide_from_all,
         all_topics_selection,
         all_topics_documents,
+        topics_as_table,
+        topics_of_parts,
         all_topics_rows,
         all_topics_rows_shuffled,
         all_topics_means,

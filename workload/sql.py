@@ -171,6 +171,10 @@ UNION ALL SELECT {text(topic)}, 'wide', "COUNTRY" || {wide_line} FROM ({wide(key
 SIZE_KEYS = [k for k in t.WIDE_KEYS if k[0] in ("LARGE", "MEDIUM", "SMALL")]
 PRICE_KEYS = [k for k in t.WIDE_KEYS if k[0] in ("ECONOMY", "PROMO")]
 
+TEXTS_WITH_TERMS = f"""
+SELECT CAST(doc_id AS VARCHAR) AS IndicatorCode, CAST(length(text) AS INTEGER) AS n_chars
+FROM documents WHERE {matches("text", t.TEXT_TERMS)}"""
+
 ORACLE: dict[str, str] = {
     "catalog_scan": f"WITH {CATALOG} SELECT IndicatorCode, IndicatorName FROM catalog",
     "page_chain_audit": """
@@ -247,9 +251,13 @@ SELECT l_linestatus AS IndicatorCode, CAST(year(l_shipdate) AS INTEGER) AS "YEAR
 FROM lineitem GROUP BY 1, 2""",
     "one_term": f"WITH {CATALOG} SELECT IndicatorCode, IndicatorName FROM catalog WHERE lower(IndicatorName) LIKE '%ring%'",
     "any_term": f"WITH {CATALOG}, {selection(RINGS)} SELECT * FROM selection",
-    "any_term_documents": f"""
-SELECT CAST(doc_id AS VARCHAR) AS IndicatorCode, CAST(length(text) AS INTEGER) AS n_chars
-FROM documents WHERE {matches("text", ("wash", "tion there", "ÉTION", "que la", "und (der|die)"))}""",
+    "any_term_documents": TEXTS_WITH_TERMS,
+    "indexed_terms": f"WITH {CATALOG} "
+    + "\nUNION ALL ".join(
+        f"SELECT DISTINCT IndicatorCode, IndicatorName, '{name}' AS list FROM catalog WHERE {matches('IndicatorName', terms)}"
+        for name, terms in {"any": RINGS, "types": ("of medium", "of Promo|gizmo of"), "rare": ("ll rod of s", "no such part")}.items()
+    ),
+    "indexed_documents": TEXTS_WITH_TERMS,
     "pattern_and_literal": """
 WITH named AS (
   SELECT CAST(p_partkey AS VARCHAR) AS IndicatorCode, p_name || CASE WHEN p_size % 2 = 0 THEN '(s)' ELSE 's' END AS n
@@ -340,6 +348,16 @@ WHERE o_orderstatus NOT IN ('F', 'P') AND c_mktsegment IN ('BUILDING', 'MACHINER
     "all_topics_selection": f"WITH {TOPICAL} {topics(BUILT_IN, 'topical')}",
     "all_topics_documents": f"""WITH texts AS (SELECT CAST(doc_id AS VARCHAR) AS IndicatorCode, text FROM documents)
 SELECT topic, IndicatorCode FROM ({topics(BUILT_IN | t.TEXT_TOPICS, "texts", "text")})""",
+    "topics_as_table": f"WITH {TOPICAL} {topics(BUILT_IN, 'topical')}",
+    "topics_of_parts": f"""WITH {CATALOG}, terms AS (
+  SELECT 'part ' || p_partkey AS topic, CASE WHEN p_size = 1 THEN 'ro'
+    ELSE string_split(p_name, ' ')[-1] || ' of ' || lower(p_type) || CASE WHEN p_size = 2 THEN ' and more' ELSE '' END END AS term
+  FROM part
+), named AS (SELECT DISTINCT IndicatorCode, lower(IndicatorName) AS name FROM catalog WHERE IndicatorName IS NOT NULL),
+hits AS (
+  SELECT term, IndicatorCode FROM (SELECT DISTINCT term FROM terms) JOIN named ON contains(name, term) GROUP BY ALL
+)
+SELECT topic, count(*) AS n_codes, min(CAST(IndicatorCode AS BIGINT)) AS first_code FROM terms JOIN hits USING (term) GROUP BY topic""",
     "all_topics_rows": TOPIC_ROWS,
     "all_topics_rows_shuffled": TOPIC_ROWS,
     "all_topics_means": _topic_means(OBS),

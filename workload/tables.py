@@ -28,6 +28,7 @@ PART_TOPICS = (
 )
 TYPE_TOPICS = (Topic("size", ("SMALL", "medium")), Topic("price", ("economy", "promo")), Topic("rest", ("stand",)))
 TOPIC_TERMS = tuple(term for topic in TOPICS for term in topic.patterns)
+TEXT_TERMS = ("wash", "tion there", "ÉTION", "que la", "und (der|die)")
 TEXT_TOPICS = {"stems": ("tion there", "wash"), "accents": ("ÉTION", "öre"), "articles": ("que la", "und (der|die)")}
 
 
@@ -53,6 +54,14 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entries.select("entry.*")
 
 
+def part_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as topics: each looks for names that end like its own, and some for a short or unknown one."""
+    last = F.element_at(F.split("p_name", " "), -1)
+    own = F.concat_ws(" of ", last, F.lower("p_type"))
+    term = F.when(F.col("p_size") == 1, "ro").when(F.col("p_size") == 2, F.concat(own, F.lit(" and more"))).otherwise(own)
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("part "), "p_partkey").alias("topic"), term.alias("term"))
+
+
 def landed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue as landed pages: one page per part, with two entries."""
     return table(spark, sf_dir, "part").select(
