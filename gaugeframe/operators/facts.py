@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeframe.operators.bloom import keep_possible
 from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key, measured_bytes
 from gaugeframe.schemas import CODE
 from gaugeframe.storage import cut_lineage
@@ -36,13 +37,16 @@ def observations_for(
     # Stored, since it is measured and then joined.
     codes = cut_lineage(selection.select(F.col(CODE).alias(key))).filter(F.length(key) >= 0)
     if dedupe:
-        lookup = codes.distinct()
-        return join_on_key(observations, lookup, key, "left_semi", broadcast_bytes)
+        codes = codes.distinct()
     if measured_bytes(codes) <= broadcast_bytes:
-        return observations.join(F.broadcast(codes), key)
+        return observations.join(F.broadcast(codes), key, "left_semi" if dedupe else "inner")
+    # Rows move, and may be whole page bodies: those of other codes are left behind first.
+    near = keep_possible(observations, codes, key)
+    if dedupe:
+        # Each code is there once; a semi join would be moved below the filter before it.
+        return join_on_key(near, codes, key, small=False)
     copies = codes.groupBy(key).agg(F.count("*").alias("copies"))
-    joined = join_on_key(observations, copies, key, small=False)
-    return repeat_rows(joined, "copies")
+    return repeat_rows(join_on_key(near, copies, key, small=False), "copies")
 
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:

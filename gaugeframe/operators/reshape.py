@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.functions.numbers import data_error, mean_of, nan_to_null, whole_year
+from gaugeframe.operators.means import exact_means
 from gaugeframe.operators.selection import with_ordinal
 from gaugeframe.schemas import CODE, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.storage import cut_lineage
@@ -80,9 +81,14 @@ def clean_long(
     return kept.withColumn(YEAR, whole_year(F.col(YEAR), lenient_year))
 
 
-def mean_cells(long: DataFrame, entity: str = "COUNTRY", scale: int | None = None) -> DataFrame:
+def mean_cells(
+    long: DataFrame, entity: str = "COUNTRY", scale: int | None = None, exact: bool = False
+) -> DataFrame:
     """Unweighted mean per (entity, code, year) of the values that are present.
 
+    Sums of doubles depend on the order of the rows, unless ``scale`` (see ``mean_of``) or
+    ``exact`` (see ``exact_means``) is asked for.
+
     Missing values go first, so groups without any value vanish.  Each task
     averages before the shuffle, so a group with very many rows arrives as one
     row per task.
@@ -90,6 +96,8 @@ def mean_cells(long: DataFrame, entity: str = "COUNTRY", scale: int | None = Non
     present = long.withColumn(VALUE, nan_to_null(F.col(VALUE))).dropna(
         how="any", subset=[entity, CODE, YEAR, VALUE]
     )
+    if exact:
+        return exact_means(present, [entity, CODE, YEAR], VALUE)
     return present.groupBy(entity, CODE, YEAR).agg(mean_of(F.col(VALUE), scale).alias(VALUE))
 
 

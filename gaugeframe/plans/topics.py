@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.numbers import data_error, whole_year
+from gaugeframe.operators.bloom import keep_possible
 from gaugeframe.operators.facts import indicators_without_data, observations_for, repeat_rows
 from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key, measured_bytes
 from gaugeframe.operators.reshape import (
@@ -425,7 +426,10 @@ def landed_for_topics(
     chosen = select_by_topic(catalog, {t.name: t.patterns for t in topics})
     strict = F.max(F.col("topic").isin([name for name, policy in policies.items() if policy == "fail"]))
     codes = cut_lineage(chosen.groupBy(F.col(CODE).alias("code")).agg(strict.alias("strict")))
-    pages = join_on_key(landed_observations, codes.filter(F.length("code") >= 0), "code")
+    codes = codes.filter(F.length("code") >= 0)
+    small = measured_bytes(codes) <= BROADCAST_BYTES
+    near = landed_observations if small else keep_possible(landed_observations, codes, "code")
+    pages = join_on_key(near, codes, "code", small=small)
     accepted = pages.filter((F.col("status") == 200) | F.col("strict"))
     return fail_on_error(accepted).drop("strict")
 

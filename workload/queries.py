@@ -41,6 +41,7 @@ from gaugeframe.plans.topics import (
 from gaugeframe.schemas import CATALOG, CODE, NAME, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.sinks.csv import CSV_FORMAT, wide_csv_lines, write_long_csv, write_wide_csv
 from gaugeframe.sources.chain import walk_pages
+from gaugeframe.sources.clustered import read_clustered, write_clustered
 from gaugeframe.sources.inferred import infer_rows
 from gaugeframe.sources.landing import (
     audit_page_chain,
@@ -257,6 +258,22 @@ def selected_observations_shuffled(spark: SparkSession, sf_dir: str) -> DataFram
     return clean_long(observations_for(t.skewed_observations(spark, sf_dir), chosen, broadcast_bytes=0))
 
 
+def clustered_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code per part in clustered files, of which the chosen ones are read."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(t.observations(spark, sf_dir).select(*NEEDED), path)
+    chosen = select_indicators(t.catalog(spark, sf_dir), ("gear", "rod of ring"))
+    return clean_long(read_clustered(spark, path, chosen))
+
+
+def selected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as pages of a third of the parts, a selection too large to broadcast: bodies of others stay."""
+    pages = t.landed_observations(spark, sf_dir, "l_partkey")
+    chosen = t.catalog(spark, sf_dir).filter(F.col(CODE) % 3 == 0)
+    near = observations_for(pages, chosen, dedupe=True, broadcast_bytes=0, key="code")
+    return scan_observations(near).groupBy(CODE).agg(F.count("*").alias("n"))
+
+
 def indicators_lacking_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third part has its observations under another code."""
     chosen = select_indicators(t.catalog(spark, sf_dir), ("ring", "gizmo"))
@@ -333,6 +350,11 @@ def grouped_mean_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_cells(clean_long(t.observations(spark, sf_dir)), scale=2)
 
 
+def grouped_mean_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of unrounded doubles, the same bits under any order of the rows."""
+    return mean_cells(clean_long(t.observations(spark, sf_dir)), exact=True)
+
+
 def wide_known_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_wide(grouped_mean(spark, sf_dir), keys=t.WIDE_KEYS)
 
@@ -555,6 +577,8 @@ QUERIES: dict[str, Query] = {
         selected_observations,
         selected_observations_once,
         selected_observations_shuffled,
+        clustered_observations,
+        selected_pages,
         indicators_lacking_data,
         union_by_name,
         non_empty,
@@ -567,6 +591,7 @@ QUERIES: dict[str, Query] = {
         grouped_mean,
         grouped_mean_plain,
         grouped_mean_many,
+        grouped_mean_exact,
         wide_known_keys,
         wide_discovered_keys,
         wide_many_entities,

@@ -273,6 +273,11 @@ FROM catalog GROUP BY 1, 2""",
     "selected_observations_once": f"""WITH {CATALOG}, {selection(RINGS)}, {OBS}
 {long()} AND IndicatorCode IN (SELECT IndicatorCode FROM selection)""",
     "selected_observations_shuffled": f"WITH {CATALOG}, {selection(('o', 'ring'))}, {OBS_SKEWED} {SELECTED}",
+    "clustered_observations": f"""WITH {OBS}, {CATALOG}, {selection(("gear", "rod of ring"))}
+SELECT SpatialDim AS "COUNTRY", TimeDim AS "YEAR", IndicatorCode, NumericValue
+FROM obs JOIN selection USING (IndicatorCode) WHERE {KEYS_PRESENT}""",
+    "selected_pages": """
+SELECT CAST(l_partkey AS VARCHAR) AS IndicatorCode, 3 * count(*) AS n FROM lineitem WHERE l_partkey % 3 = 0 GROUP BY 1""",
     "indicators_lacking_data": f"""WITH {CATALOG}, {selection(("ring", "gizmo"))}, {OBS}
 SELECT * FROM selection WHERE CAST(IndicatorCode AS BIGINT) % 3 = 0
     OR IndicatorCode NOT IN (SELECT IndicatorCode FROM obs)""",
@@ -300,6 +305,11 @@ FROM lineitem JOIN selection ON CAST(l_partkey AS VARCHAR) = IndicatorCode""",
 SELECT SpatialDim AS "COUNTRY", IndicatorCode, TimeDim AS "YEAR", round(avg(NumericValue) + 0.0000123, 4) AS NumericValue
 FROM obs WHERE {KEYS_PRESENT} AND NumericValue IS NOT NULL GROUP BY 1, 2, 3""",
     "grouped_mean_many": f"WITH {OBS} {cells()}",
+    # A price from 512 to 2**20 is a whole multiple of 2**-43, and the few of a group fit a 64-bit number.
+    "grouped_mean_exact": f"""WITH {OBS}
+SELECT SpatialDim AS "COUNTRY", IndicatorCode, TimeDim AS "YEAR",
+  CAST(sum(CAST(NumericValue * pow(2, 43) AS HUGEINT)) AS DOUBLE) / pow(2, 43) / count(*) AS NumericValue
+FROM obs WHERE {KEYS_PRESENT} AND NumericValue IS NOT NULL GROUP BY ALL""",
     "wide_known_keys": f"WITH {OBS_TYPED} {wide(t.WIDE_KEYS)}",
     "wide_discovered_keys": f"WITH {OBS_TYPED} {wide(t.WIDE_KEYS)}",
     "wide_many_entities": f"""WITH rows AS (

@@ -143,7 +143,7 @@ def typed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_observations(spark: SparkSession, sf_dir: str, code: str = "l_linestatus") -> DataFrame:
     """Order lines as landed pages with one row per measure; the payload code is wrong."""
     rows = F.array(
         *[
@@ -159,7 +159,7 @@ def landed_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "lineitem").select(
         F.concat_ws("/", F.lit("lines"), "l_orderkey", "l_linenumber").alias("url"),
-        F.col("l_linestatus").alias("code"),
+        _text(code).alias("code"),
         F.lit(200).alias("status"),
         F.to_json(F.struct(rows.alias("value"))).alias("body"),
     )
