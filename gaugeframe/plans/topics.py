@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.functions.numbers import data_error, whole_year
@@ -411,27 +411,58 @@ def run_landed_topic(
     return TopicTables(selection, rows, topic, keys, scale, max_columns)
 
 
-def landed_for_topics(
+def pages_for_topics(
     catalog: DataFrame,
     landed_observations: DataFrame,
     topics: Sequence[Topic] = TOPICS,
     on_error: OnError | None = None,
+    on_missing: OnMissing | None = None,
 ) -> DataFrame:
     """The landed pages of all codes that some topic selects, before any body is parsed.
 
-    A failed page stops the job if a topic that selects its code asks for that, and is left
-    out otherwise; ``on_error`` holds for all topics instead.
+    ``strict`` marks pages that stop the job if they failed, ``strict_rows`` those that do so if they
+    have no rows, since a topic that selects their code asks for that; ``on_error`` and
+    ``on_missing`` hold for all topics instead.
     """
-    policies = {t.name: on_error or t.on_error for t in topics}
     chosen = select_by_topic(catalog, {t.name: t.patterns for t in topics})
-    strict = F.max(F.col("topic").isin([name for name, policy in policies.items() if policy == "fail"]))
-    codes = cut_lineage(chosen.groupBy(F.col(CODE).alias("code")).agg(strict.alias("strict")))
+
+    def asked(policies: dict[str, str]) -> Column:
+        return F.max(F.col("topic").isin([name for name, policy in policies.items() if policy == "fail"]))
+
+    strict = asked({t.name: on_error or t.on_error for t in topics}).alias("strict")
+    strict_rows = asked({t.name: on_missing or t.on_missing for t in topics}).alias("strict_rows")
+    codes = cut_lineage(chosen.groupBy(F.col(CODE).alias("code")).agg(strict, strict_rows))
     codes = codes.filter(F.length("code") >= 0)
     small = measured_bytes(codes) <= BROADCAST_BYTES
     near = landed_observations if small else keep_possible(landed_observations, codes, "code")
-    pages = join_on_key(near, codes, "code", small=small)
-    accepted = pages.filter((F.col("status") == 200) | F.col("strict"))
-    return fail_on_error(accepted).drop("strict")
+    return join_on_key(near, codes, "code", small=small)
+
+
+def accepted_pages(pages: DataFrame) -> DataFrame:
+    """``pages_for_topics`` without failed pages, or with an error at those that are ``strict``."""
+    return fail_on_error(pages.filter((F.col("status") == 200) | F.col("strict"))).drop("strict")
+
+
+def stopped_at_failures(pages: DataFrame) -> DataFrame:
+    """``pages_for_topics`` with an error at failed pages that are ``strict``; the other failed pages stay."""
+    stops = F.coalesce(F.col("status") != 200, F.lit(True)) & F.col("strict")
+    status, url = (F.coalesce(F.col(c).cast("string"), F.lit("unknown")) for c in ("status", "url"))
+    body = F.when(stops, data_error("response ", status, " for ", url).cast("string"))
+    return pages.withColumn("body", body.otherwise(F.col("body"))).drop("strict")
+
+
+def landed_for_topics(
+    catalog: DataFrame,
+    landed_observations: DataFrame,
+    topics: Sequence[Topic] = TOPICS,
+    on_error: OnError | None = None,
+) -> DataFrame:
+    """The landed pages of all codes that some topic selects, before any body is parsed.
+
+    A failed page stops the job if a topic that selects its code asks for that, and is left
+    out otherwise; ``on_error`` holds for all topics instead.
+    """
+    return accepted_pages(pages_for_topics(catalog, landed_observations, topics, on_error)).drop("strict_rows")
 
 
 def _topics_per_code(catalog: DataFrame, topics: Sequence[Topic], dedupe: bool) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gaugeframe.functions.numbers import float_text
 from gaugeframe.operators.joins import BROADCAST_BYTES, measured_bytes
 from gaugeframe.operators.reshape import column_dictionary
+from gaugeframe.operators.selection import with_ordinal
 from gaugeframe.schemas import CODE, VALUE, YEAR
 from gaugeframe.storage import cut_lineage
 
@@ -74,23 +75,69 @@ def wide_csv_lines(
     rows = parts.groupBy("section", "entity").agg(
         F.first("header").alias("header"), F.array_sort(F.collect_list("cell")).alias("cells")
     )
-    body = F.concat(_field(F.col("entity")), F.lit(","), _spaced(F.col("cells"), width))
+    body = F.concat(_field(F.col("entity")), F.lit(","), _spaced(F.col("cells"), F.lit(width)))
     finished = F.when(F.col("section") < len(lines), F.col("header")).otherwise(body)
     return rows.select("section", "entity", finished.alias("line")).orderBy("section", "entity")
 
 
+def wide_csv_lines_by_topic(cells: DataFrame, entities: Mapping[int, str]) -> DataFrame:
+    """The lines of many wide CSV files at once, in order, with their place (topic, section, entity).
+
+    ``cells`` are stored means marked by a number ``topic``, their places in a column ``entity``;
+    ``entities`` has the name of that column for each topic.  Columns are numbered within their topic
+    from one range sort of all of them, and one range partitioning by (topic, line) serves
+    grouping and order, so neither jobs nor shuffles grow with the number of topics.
+    """
+    keys = ["topic", CODE, YEAR]
+    columns = with_ordinal(cells.select(keys).distinct(), [F.col(k).asc() for k in keys])
+    columns = cut_lineage(columns)
+    widths = columns.groupBy("topic").agg(F.min("ordinal").alias("begin"), F.count("*").cast("int").alias("width"))
+    # One row per topic.
+    placed_columns = columns.join(F.broadcast(widths), "topic").select(
+        *keys, (F.col("ordinal") - F.col("begin")).cast("int").alias("place"), "width"
+    )
+    placed_columns = cut_lineage(placed_columns)
+    entry = F.struct("place", _field(F.col(CODE)).alias("code"), F.col(YEAR).cast("string").alias("year"))
+    names = placed_columns.groupBy("topic").agg(F.array_sort(F.collect_list(entry)).alias("all"))
+    entity_name = F.element_at(F.create_map(*[F.lit(x) for pair in entities.items() for x in pair]), F.col("topic"))
+
+    def line(section: int, first: Column, rest: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.concat(_field(first), F.lit(","), rest).alias("header"))
+
+    lines = [
+        line(0, F.lit(CODE), F.array_join("all.code", ",")),
+        line(1, F.lit(YEAR), F.array_join("all.year", ",")),
+        line(2, entity_name, F.repeat(F.lit(","), F.size("all") - 1)),
+    ]
+    head = names.select("topic", F.explode(F.array(*lines)).alias("line")).select("topic", "line.*")
+    if measured_bytes(placed_columns) <= BROADCAST_BYTES:
+        placed_columns = F.broadcast(placed_columns)
+    text = F.coalesce(float_text(F.col(VALUE)), F.lit(""))
+    body = cells.join(placed_columns, keys).select(
+        "topic", F.lit(len(lines)).alias("section"), "entity", "width", F.struct("place", text.alias("text")).alias("cell")
+    )
+    order = ["topic", "section", "entity"]
+    parts = head.unionByName(body, allowMissingColumns=True).repartitionByRange(*order)
+    rows = parts.groupBy(*order).agg(
+        F.first("header").alias("header"), F.first("width").alias("width"), F.array_sort(F.collect_list("cell")).alias("cells")
+    )
+    finished = F.concat(_field(F.col("entity")), F.lit(","), _spaced(F.col("cells"), F.col("width")))
+    finished = F.when(F.col("section") < len(lines), F.col("header")).otherwise(finished)
+    return rows.select(*order, finished.alias("line")).orderBy(*order)
+
+
 def _field(text: Column) -> Column:
     return F.to_csv(F.struct(text.alias("field")), CSV_FORMAT)
 
 
-def _spaced(cells: Column, width: int) -> Column:
+def _spaced(cells: Column, width: Column) -> Column:
     """Texts of sorted cells, each after as many commas as it is places from the one before."""
 
     def field(cell: Column, i: Column) -> Column:
         previous = F.coalesce(F.get(cells, i - 1)["place"], F.lit(0))
         return F.concat(F.repeat(F.lit(","), cell["place"] - previous), cell["text"])
 
-    rest = F.lit(width - 1) - F.element_at(cells, -1)["place"]
+    rest = width - 1 - F.element_at(cells, -1)["place"]
     return F.concat(F.array_join(F.transform(cells, field), ""), F.repeat(F.lit(","), rest))
 
 

@@ -40,3 +40,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this job's own output or scratch, on whatever file system it lies."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder within its file system; False if there is none."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    system = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(old):
+        return False
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+    return True
