@@ -28,7 +28,7 @@ from gaugeframe.operators.selection import (
     select_indicators,
     with_ordinal,
 )
-from gaugeframe.plans.export import export_topics
+from gaugeframe.plans.export import export_topics, export_with_report, report_of
 from gaugeframe.plans.topics import (
     TOPICS,
     all_topics_cells,
@@ -40,6 +40,7 @@ from gaugeframe.plans.topics import (
 )
 from gaugeframe.schemas import CATALOG, CODE, NAME, NEEDED, SPATIAL, TIME, VALUE, YEAR, require_columns
 from gaugeframe.sinks.csv import CSV_FORMAT, wide_csv_lines, write_long_csv, write_wide_csv
+from gaugeframe.sources.accounting import AccountedScan
 from gaugeframe.sources.chain import walk_pages
 from gaugeframe.sources.clustered import read_clustered, write_clustered
 from gaugeframe.sources.inferred import infer_rows
@@ -548,6 +549,26 @@ def exported_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(lines).filter(F.col("line") != header)
 
 
+def accounted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages and rows by what became of them, counted by the job that reads them."""
+    scan = AccountedScan(t.broken_orders(spark, sf_dir, failed=True), on_unreadable="mark")
+    kept = scan.rows.count()
+    counts = {**vars(scan.counts), "kept": kept}
+    return spark.createDataFrame(list(counts.items()), "what string, n long")
+
+
+def export_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all topics of an export over the parts, and how many of the codes of each had no data."""
+    path = scratch_path(spark, "report")
+    facts = t.observations(spark, sf_dir, all_years=True).filter(F.col(CODE) % 4 != 0)
+    report = export_with_report(t.catalog(spark, sf_dir), facts, f"{path}/out", t.PART_TOPICS, report_path=f"{path}/report")
+    assert report.without_rows == ["nothing"]
+    tables = report_of(spark, f"{path}/report")
+    lacking = tables["without_data"].groupBy("topic").agg(F.count("*").alias("listed"))
+    counts = tables["counts"].select("topic", *[F.col(c).cast("long").alias(c) for c in tables["counts"].columns[1:]])
+    return counts.join(lacking, "topic", "left").fillna(0, ["listed"])
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -621,5 +642,7 @@ QUERIES: dict[str, Query] = {
         all_topics_means,
         all_topics_means_shuffled,
         exported_topics,
+        export_report,
+        accounted_pages,
     )
 }

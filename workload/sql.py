@@ -374,4 +374,26 @@ SELECT topic, count(*) AS n_codes, min(CAST(IndicatorCode AS BIGINT)) AS first_c
     "all_topics_means_shuffled": _topic_means(OBS_SKEWED),
     "exported_topics": f"""WITH {OBS_TYPED} {_exported("size", ("MEDIUM", "SMALL"))}
 UNION ALL {_exported("price", ("ECONOMY", "PROMO"))} UNION ALL {_exported("rest", ("STANDARD",))}""",
+    "accounted_pages": """
+WITH pages AS (SELECT o_orderstatus = 'F' AS failed, o_orderkey % 7 AS kind FROM orders)
+SELECT unnest(['pages', 'failed', 'without_rows', 'unreadable', 'rows', 'bad_rows', 'kept']) AS what,
+  unnest([count(*), count(*) FILTER (WHERE failed), count(*) FILTER (WHERE NOT failed AND kind = 2),
+    count(*) FILTER (WHERE NOT failed AND kind < 2), count(*) FILTER (WHERE NOT failed AND kind IN (3, 5, 6)),
+    count(*) FILTER (WHERE NOT failed AND kind IN (3, 4)), count(*) FILTER (WHERE NOT failed AND kind IN (3, 5, 6))]) AS n
+FROM pages""",
+    "export_report": f"""WITH {CATALOG}, {OBS_ALL_YEARS}, chosen AS ({topics({x.name: x.patterns for x in t.PART_TOPICS}, "catalog")}),
+facts AS (SELECT * FROM obs WHERE CAST(IndicatorCode AS BIGINT) % 4 <> 0),
+named AS (SELECT unnest([{", ".join(text(x.name) for x in t.PART_TOPICS)}]) AS topic),
+rows AS (
+  SELECT topic, count(*) AS rows, count(*) FILTER (WHERE CASE WHEN topic = 'rings_and_rods' THEN NumericValue IS NOT NULL
+      ELSE {KEYS_PRESENT} END) AS kept,
+    count(*) FILTER (WHERE CASE WHEN topic = 'rings_and_rods' THEN true ELSE {KEYS_PRESENT} END AND NumericValue IS NOT NULL) AS values
+  FROM chosen JOIN facts USING (IndicatorCode) GROUP BY topic
+), codes AS (
+  SELECT topic, count(*) FILTER (WHERE held) AS codes, count(*) FILTER (WHERE NOT held) AS lacking
+  FROM (SELECT DISTINCT topic, IndicatorCode, IndicatorCode IN (SELECT IndicatorCode FROM facts) AS held FROM chosen) GROUP BY topic
+)
+SELECT topic, coalesce(rows, 0) AS rows, coalesce(kept, 0) AS kept, coalesce(values, 0) AS values, coalesce(codes, 0) AS codes,
+  coalesce(lacking, 0) AS codes_without_data, coalesce(lacking, 0) AS listed
+FROM named LEFT JOIN rows USING (topic) LEFT JOIN codes USING (topic)""",
 }

@@ -222,8 +222,11 @@ def order_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as landed pages of status 200, most of them broken by a rule on the key."""
+def broken_orders(spark: SparkSession, sf_dir: str, failed: bool = False) -> DataFrame:
+    """Orders as landed pages of status 200, most of them broken by a rule on the key.
+
+    With ``failed`` finished orders have another status.
+    """
     price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
     value = F.when(F.col("o_orderkey") % 7 == 5, F.concat(F.lit('"'), price, F.lit('"'))).otherwise(price)
     value = F.when(F.col("o_orderkey") % 7 == 4, '"n/a"').otherwise(value)
@@ -239,7 +242,7 @@ def broken_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.concat(F.lit("orders/"), _text("o_orderkey")).alias("url"),
         _text("o_custkey").alias("code"),
-        F.lit(200).alias("status"),
+        F.when(F.lit(failed) & (F.col("o_orderstatus") == "F"), 500).otherwise(200).alias("status"),
         body.alias("body"),
     )
 
