@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeframe.functions.numbers import data_error, input_error
+from gaugeframe.operators.bloom import keep_possible
+from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key, measured_bytes
 from gaugeframe.schemas import (
     CATALOG,
     CODE,
@@ -26,6 +28,7 @@ from gaugeframe.schemas import (
     VALUE,
     page_schema,
 )
+from gaugeframe.storage import cut_lineage
 
 OnError = Literal["skip", "fail"]
 # What becomes of bodies and values that cannot be read: the job stops, or they
@@ -46,9 +49,39 @@ class IncompletePagesError(RuntimeError):
     """Pages are linked that have not been landed."""
 
 
-def read_landed(spark: SparkSession, path: str | list[str], file_format: str = "json") -> DataFrame:
-    """The landing table: one row per stored response (JSON lines or parquet)."""
-    return spark.read.format(file_format).schema(LANDED).load(path)
+def read_landed(
+    spark: SparkSession, path: str | list[str], file_format: str = "json", fetched: str | None = None
+) -> DataFrame:
+    """The landing table: one row per stored response (JSON lines or parquet).
+
+    ``fetched`` names a column for the time at which the file was written, by which ``latest_pages`` can tell
+    a page from its repetition.
+    """
+    pages = spark.read.format(file_format).schema(LANDED).load(path)
+    return pages if fetched is None else pages.withColumn(fetched, F.col("_metadata.file_modification_time"))
+
+
+def latest_pages(landed: DataFrame, order: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One page for each address: the last one by the column ``order``, null first.
+
+    Accepted pages (status 200) go before failed ones, however late; among pages of one time the one with
+    the greater hash stays.  Pages without an address are all kept.  Addresses are counted without their
+    bodies, and only the pages of repeated addresses are compared.
+    """
+    good = F.coalesce(F.col("status") == 200, F.lit(False))
+    place = F.struct(good.alias("good"), F.col(f"`{order}`").alias("order"), F.xxhash64("code", "status", "body").alias("tie"))
+    light = landed.select("url", place.alias("__last")).filter("url is not null")
+    counted = light.groupBy("url").agg(F.max("__last").alias("__last"), F.count("*").alias("__pages"))
+    repeated = cut_lineage(counted.filter("__pages > 1").drop("__pages"))
+    small = measured_bytes(repeated.select("url")) <= broadcast_bytes
+    names = [F.col(f"`{c}`") for c in landed.columns]
+    urls = repeated.select("url")
+    single = landed.join(F.broadcast(urls) if small else urls, "url", "left_anti").select(*names)
+    near = landed if small else keep_possible(landed, urls, "url")
+    several = join_on_key(near, repeated, "url", small=small)
+    # Equal pages landed twice are equal in everything that tells them apart.
+    last = several.filter(place.eqNullSafe(F.col("__last"))).dropDuplicates(["url"]).select(*names)
+    return single.unionByName(last)
 
 
 def landed_page_files(

@@ -1,16 +1,17 @@
 """Landed pages as a file stream.
 
-The same map-only decoding as in the batch reader, so there is no state and
-nothing to wait for; the checkpoint makes every landed file count once.
+The decoding is that of the batch reader.  The checkpoint makes every landed file count once; the
+addresses taken in so far are the state, so that a page landed again does not count twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeframe.schemas import CODE, LANDED
-from gaugeframe.sources.landing import OnError, scan_observations
+from gaugeframe.sources.landing import OnError, OnMissing, fail_on_error, keep_ok, scan_observations
 
 
 def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -22,13 +23,30 @@ def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None =
 
 
 def append_observations(
-    landed: DataFrame, table_path: str, checkpoint_path: str, on_error: OnError = "skip"
+    landed: DataFrame,
+    table_path: str,
+    checkpoint_path: str,
+    on_error: OnError = "skip",
+    once: bool = True,
+    tasks_per_code: int = 8,
+    on_missing: OnMissing = "fail",
 ) -> StreamingQuery:
     """Decode what has landed since the last run, append it as parquet, and end.
 
-    The table has one folder per code, as ``read_observations`` reads it; each run adds at
-    most one file per code.
+    The table has one folder per code, as ``read_observations`` reads it.  The rows of a code are
+    dealt to ``tasks_per_code`` tasks, so a code with a large share of the rows does not wait for
+    one; each run adds at most as many files per code.
+
+    With ``once`` the first accepted page of an address counts: failed pages do not, and
+    what is appended cannot be taken back (``latest_pages`` has the last one, in batch).  Pages without an
+    address all count.  The state is the addresses, kept by the checkpoint.
     """
-    rows = scan_observations(landed, on_error)
-    writer = rows.repartition(CODE).writeStream.partitionBy(CODE).outputMode("append").trigger(availableNow=True)
+    pages = {"skip": keep_ok, "fail": fail_on_error}[on_error](landed)
+    if once:
+        # Pages without an address get one of their own.
+        named = F.coalesce(F.col("url"), F.concat(F.lit("\u0000"), F.uuid()))
+        pages = pages.withColumn("__address", named).dropDuplicates(["__address"]).drop("__address")
+    rows = scan_observations(pages, on_error, on_missing=on_missing)
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(tasks_per_code))
+    writer = rows.repartition(F.col(CODE), salt).writeStream.partitionBy(CODE).outputMode("append").trigger(availableNow=True)
     return writer.option("checkpointLocation", checkpoint_path).format("parquet").start(table_path)

@@ -21,6 +21,7 @@ from gaugeframe.operators.reshape import (
     rename,
     unpivot_wide,
 )
+from gaugeframe.operators.sparse import sparse_cells, sparse_slice, write_sparse
 from gaugeframe.operators.selection import (
     number_selection,
     select_by_topic,
@@ -48,6 +49,7 @@ from gaugeframe.sources.landing import (
     audit_page_chain,
     decode_pages,
     fail_on_error,
+    latest_pages,
     page_links,
     readable_observations,
     refused_pages,
@@ -137,6 +139,22 @@ def page_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_observations(spark, f"{folder}/table")
 
 
+def pages_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations of the last accepted page of every address."""
+    return scan_observations(latest_pages(t.repeated_orders(spark, sf_dir), "fetched"))
+
+
+def page_intake_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages landed and taken in one after the other: the first accepted one of every address counts."""
+    folder = scratch_path(spark, "intake")
+    pages = t.repeated_orders(spark, sf_dir)
+    for fetched in (1, 2):
+        pages.filter(F.col("fetched") == fetched).drop("fetched").write.mode("append").json(f"{folder}/landing")
+        landed = stream_landed(spark, f"{folder}/landing")
+        append_observations(landed, f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return read_observations(spark, f"{folder}/table")
+
+
 def failed_pages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses that stop a job, and the good pages that do not."""
     landed = t.landed_orders(spark, sf_dir)
@@ -549,6 +567,22 @@ def exported_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(lines).filter(F.col("line") != header)
 
 
+def wide_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide table with more columns than a schema should have, stored sparsely and read back."""
+    path = scratch_path(spark, "sparse")
+    write_sparse(grouped_mean_many(spark, sf_dir), path)
+    return sparse_cells(spark, path)
+
+
+def wide_sparse_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some columns of such a table, from two blocks, as rows again."""
+    path = scratch_path(spark, "sparse")
+    write_sparse(grouped_mean_many(spark, sf_dir), path, block=512)
+    found = sparse_slice(spark, path, 500, 40)
+    keys = [(name.rpartition("|")[0], int(name.rpartition("|")[2])) for name in found.columns[1:]]
+    return unpivot_wide(found, "COUNTRY", keys)
+
+
 def accounted_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages and rows by what became of them, counted by the job that reads them."""
     scan = AccountedScan(t.broken_orders(spark, sf_dir, failed=True), on_unreadable="mark")
@@ -581,6 +615,8 @@ QUERIES: dict[str, Query] = {
         page_files,
         failed_pages_skipped,
         page_intake,
+        pages_landed_twice,
+        page_intake_repeated,
         failed_pages_refused,
         unreadable_pages_named,
         pages_inferred,
@@ -641,6 +677,8 @@ QUERIES: dict[str, Query] = {
         all_topics_rows_shuffled,
         all_topics_means,
         all_topics_means_shuffled,
+        wide_sparse,
+        wide_sparse_slice,
         exported_topics,
         export_report,
         accounted_pages,

@@ -171,6 +171,19 @@ UNION ALL SELECT {text(topic)}, 'wide', "COUNTRY" || {wide_line} FROM ({wide(key
 SIZE_KEYS = [k for k in t.WIDE_KEYS if k[0] in ("LARGE", "MEDIUM", "SMALL")]
 PRICE_KEYS = [k for k in t.WIDE_KEYS if k[0] in ("ECONOMY", "PROMO")]
 
+LANDED_TWICE = """once AS (
+  SELECT o_orderkey AS k, o_orderstatus, CAST(o_custkey AS VARCHAR) AS IndicatorCode, o_orderpriority AS SpatialDim,
+    CAST(year(o_orderdate) AS VARCHAR) AS TimeDim, o_totalprice AS NumericValue FROM orders
+), pages AS (
+  SELECT *, 1 AS fetched, CASE WHEN o_orderstatus = 'F' THEN 404 ELSE 200 END AS status FROM once
+  UNION ALL
+  SELECT k, o_orderstatus, IndicatorCode, CASE WHEN o_orderstatus = 'F' THEN 'late' ELSE SpatialDim END,
+    CASE WHEN o_orderstatus = 'F' THEN '2024' WHEN k % 11 = 0 THEN TimeDim ELSE '1' || TimeDim END,
+    CASE WHEN o_orderstatus = 'F' THEN 1.5 ELSE NumericValue END,
+    2, CASE WHEN k % 11 = 0 OR o_orderstatus = 'F' THEN 200 WHEN k % 3 = 0 THEN 500 ELSE 200 END
+  FROM once WHERE k % 5 <> 0
+)"""
+
 TEXTS_WITH_TERMS = f"""
 SELECT CAST(doc_id AS VARCHAR) AS IndicatorCode, CAST(length(text) AS INTEGER) AS n_chars
 FROM documents WHERE {matches("text", t.TEXT_TERMS)}"""
@@ -396,4 +409,20 @@ rows AS (
 SELECT topic, coalesce(rows, 0) AS rows, coalesce(kept, 0) AS kept, coalesce(values, 0) AS values, coalesce(codes, 0) AS codes,
   coalesce(lacking, 0) AS codes_without_data, coalesce(lacking, 0) AS listed
 FROM named LEFT JOIN rows USING (topic) LEFT JOIN codes USING (topic)""",
+    "pages_landed_twice": f"""WITH {LANDED_TWICE}
+SELECT IndicatorCode, max_by(SpatialDim, fetched) AS SpatialDim, max_by(TimeDim, fetched) AS TimeDim,
+  max_by(NumericValue, fetched) AS NumericValue
+FROM (SELECT *, max(fetched) OVER (PARTITION BY k) AS latest FROM pages WHERE status = 200)
+WHERE fetched = latest AND o_orderstatus <> 'P' GROUP BY k, IndicatorCode""",
+    "page_intake_repeated": f"""WITH {LANDED_TWICE}
+SELECT IndicatorCode, SpatialDim, TimeDim, NumericValue
+FROM (SELECT *, min(fetched) OVER (PARTITION BY k) AS earliest FROM pages WHERE status = 200)
+WHERE fetched = earliest AND o_orderstatus <> 'P'""",
+    "wide_sparse": f"WITH {OBS} {cells()}",
+    "wide_sparse_slice": f"""WITH {OBS}, cells AS ({cells()}),
+columns AS (
+  SELECT IndicatorCode, "YEAR", row_number() OVER (ORDER BY IndicatorCode, "YEAR") - 1 AS ordinal
+  FROM (SELECT DISTINCT IndicatorCode, "YEAR" FROM cells)
+)
+SELECT "COUNTRY", IndicatorCode, "YEAR", NumericValue FROM cells JOIN columns USING (IndicatorCode, "YEAR") WHERE ordinal BETWEEN 500 AND 539""",
 }

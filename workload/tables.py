@@ -181,6 +181,19 @@ def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed orders, ``fetched`` twice as a rule: failed ones succeed later, some others fail later,
+    and some have another value; every fifth has no second page, every eleventh an equal one."""
+    first = landed_orders(spark, sf_dir)
+    key = F.col("url").substr(F.lit(8), F.length("url")).cast("long")
+    changed = F.replace(F.col("body"), F.lit('"TimeDim":'), F.lit('"Dim1":"again","TimeDim":1'))
+    fixed = F.lit('{"value":[{"SpatialDim":"late","TimeDim":2024,"NumericValue":1.5}]}')
+    status = F.when(F.col("status") == 404, 200).when(key % 3 == 0, 500).otherwise(200)
+    body = F.when(F.col("status") == 404, fixed).when(key % 11 == 0, F.col("body")).otherwise(changed)
+    second = first.filter(key % 5 != 0).withColumns({"body": body, "status": F.when(key % 11 == 0, 200).otherwise(status)})
+    return first.withColumn("fetched", F.lit(1)).unionByName(second.withColumn("fetched", F.lit(2)))
+
+
 def landed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as landed catalogue pages, named by their market segment."""
     entry = F.struct(_text("c_custkey").alias(CODE), F.col("c_mktsegment").alias(NAME))
