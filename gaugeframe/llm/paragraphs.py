@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected, sums
 from gaugeframe.llm.storing import release, small, stored
 from gaugeframe.llm.text import U64, Rolling, mix, ranges, shingle_sets, slices, window_starts, windows
+from gaugeframe.operators.bloom import keep_possible
 
 MIN_WORDS = 20
 PASSAGE_WORDS = 50
@@ -107,6 +108,25 @@ def repeated_paragraphs(
     )
 
 
+def repeated_text(
+    documents: DataFrame,
+    min_words: int = MIN_WORDS,
+    passage_words: int = PASSAGE_WORDS,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """Paragraphs that occur again, exactly or nearly, and passages that do so at any place of a text.
+
+    The rows of ``repeated_paragraphs``, and those of ``repeated_passages`` with a null ``line``, since a
+    passage may lie within a line or run over several.
+    """
+    lines = repeated_paragraphs(documents, min_words, id_column, text_column)
+    runs = repeated_passages(documents, passage_words, id_column, text_column)
+    none = F.lit(None).cast("long")
+    runs = runs.withColumns({"line": none, "keep_line": none}).select(*lines.columns)
+    return lines.unionByName(runs)
+
+
 def without_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without the removed paragraphs; all columns and rows are kept."""
     found = repeated_paragraphs(documents, id_column=id_column, text_column=text_column).filter("removed")
@@ -148,17 +168,25 @@ def repeated_passages(
     anchor = (min_words + 1) // 2
     margin = min_words - anchor
 
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in slices(batch.column(1), lower=True):
+                starts, ends, first = ranges(s)
+                at, found, _, _ = _anchors(Rolling(s.data).of(starts, ends), first, min_words, anchor)
+                rows = pa.array(s.first + np.searchsorted(first, at, "right") - 1)
+                arrays = [pa.array(found.view(np.int64)), batch.column(0).take(rows)]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "rows"])
+
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch.column(1), lower=True):
                 starts, ends, first = ranges(s)
                 words = Rolling(s.data).of(starts, ends)
-                at, keys = _anchors(words, first, min_words, anchor)
+                at, keys, low, high = _anchors(words, first, min_words, anchor)
                 owner = np.searchsorted(first, at, "right") - 1
-                low, high = np.maximum(at - margin, first[owner]), np.minimum(at + min_words, first[owner + 1])
                 point = np.concatenate(([0], np.cumsum((s.data & 0xC0) != 0x80)))
                 begin = point[s.bounds[owner]]
-                # All words of the windows that hold the anchor.
+                # All words of the windows whose anchor it is; equal windows have theirs at the same place.
                 total = Rolling(words.view(np.uint8)).of(8 * low, 8 * high) ^ mix((at - low).astype(U64))
                 rows = pa.array(s.first + owner)
                 columns = [keys.view(np.int64), total.view(np.int64), at - first[owner], low - first[owner], high - low]
@@ -204,7 +232,14 @@ def repeated_passages(
                 yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "keep_id", *_RUN])
 
     run = "place long, n long, start long, stop long"
-    marks = stored(unique.mapInArrow(anchors, f"id long, text long, rows long, key long, around long, at long, {run}"), "anchors")
+    # Most anchors occur once.  Those that occur again are found by their hashes alone; only rows that a
+    # Bloom filter of them lets pass are written.
+    again_keys = unique.select("rows", "body").mapInArrow(keys, "key long, rows long").groupBy("key")
+    again_keys = again_keys.agg(F.sum("rows").alias("times")).filter("times > 1").select("key")
+    again_keys = stored(again_keys, "repeated-keys")
+    release(documents.sparkSession)
+    marks = unique.mapInArrow(anchors, f"id long, text long, rows long, key long, around long, at long, {run}")
+    marks = stored(keep_possible(marks, again_keys, "key"), "anchors")
     # If all that surrounds an anchor is equal too, so are all windows that hold it.
     times = marks.groupBy("key").agg(F.sum("rows").alias("times"), (F.min("around") == F.max("around")).alias("equal"))
     times = small(stored(times.filter("times > 1").select("key", "equal"), "repeated-anchors"), broadcast_rows)
@@ -251,10 +286,14 @@ _RUN = ["place", "n", "start", "stop"]
 _TURN = U64(0xA5A5A5A5A5A5A5A5)
 
 
-def _anchors(words: np.ndarray, first: np.ndarray, min_words: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of windows of ``anchor`` words: of all in any ``min_words`` words the least."""
+def _anchors(
+    words: np.ndarray, first: np.ndarray, min_words: int, anchor: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places and hashes of windows of ``anchor`` words, of all in any ``min_words`` words the least, and
+    the first word and the end of the windows of ``min_words`` words in which they are that."""
+    none = np.zeros(0, np.int64)
     if len(words) < min_words:
-        return np.zeros(0, np.int64), np.zeros(0, U64)
+        return none, np.zeros(0, U64), none, none
     hashes = windows(words, anchor)
     span = min_words - anchor + 1
     least = np.lib.stride_tricks.sliding_window_view(hashes, span).min(1)
@@ -262,7 +301,14 @@ def _anchors(words: np.ndarray, first: np.ndarray, min_words: int, anchor: int)
     around = np.concatenate((np.zeros(span - 1, U64), least, np.zeros(span - 1, U64)))
     most = np.lib.stride_tricks.sliding_window_view(around, span).max(1)
     at = np.flatnonzero((hashes == most) & (most > 0))
-    return at, hashes[at]
+    # Smaller hashes on either side end the stretch of windows that have this one as their least.
+    low, high = np.full(len(at), len(words)), np.full(len(at), -1)
+    for back in range(span):
+        begin = at - back
+        inside = (begin >= 0) & (begin < len(least))
+        own = inside & (least[np.where(inside, begin, 0)] == hashes[at])
+        low, high = np.where(own, begin, low), np.where(own, np.maximum(high, begin), high)
+    return at, hashes[at], low, high + min_words
 
 
 _NAMES = ["id", "line", "start", "end", "n_words", "n", "sum_a", "sum_b"]

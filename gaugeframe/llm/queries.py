@@ -59,7 +59,7 @@ def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_paragraph_repeats(spark: SparkSession, folder: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(read(spark, folder, "documents"))
+    return paragraphs.repeated_text(read(spark, folder, "documents"))
 
 
 def op4_passage_repeats(spark: SparkSession, folder: str) -> DataFrame:

@@ -179,6 +179,42 @@ FROM component c JOIN s ON s.id = c.id JOIN s k ON k.id = c.keeper
 """
 
 
+# Runs of 50 words: windows that occur again, joined where they overlap with the same shift to their keeper.
+RUNS = rf"""
+WITH texts AS (
+    SELECT doc_id, text, min(doc_id) OVER (PARTITION BY text) AS first, count(*) OVER (PARTITION BY text) AS times
+    FROM documents WHERE text IS NOT NULL
+), t AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS tokens FROM texts),
+tokens AS (SELECT doc_id, first, times, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i FROM t),
+placed AS (
+    SELECT *, sum(length(token)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM tokens
+), words AS (
+    SELECT doc_id, first, times, translate(token, '{UPPER}', '{LOWER}') AS word, stop - length(token) AS start, stop,
+        row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS place
+    FROM placed WHERE NOT regexp_matches(token, '^[\x20\x09-\x0D]')
+), w AS (
+    SELECT doc_id, times, place, start, md5(string_agg(word, ' ') OVER ahead) AS hash, max(stop) OVER ahead AS stop, count(*) OVER ahead AS n
+    FROM words WHERE doc_id = first WINDOW ahead AS (PARTITION BY doc_id ORDER BY place ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)
+), k AS (
+    SELECT hash, min((doc_id, place, start)) AS keep FROM w WHERE n = 50 GROUP BY hash HAVING sum(times) > 1
+), found AS (
+    SELECT doc_id, place, start, stop, keep[1] AS keep_id, keep[2] - place AS shift, keep[3] AS keep_start FROM w JOIN k USING (hash) WHERE n = 50
+), fresh AS (
+    SELECT *, coalesce(place >= max(place + 50) OVER (PARTITION BY doc_id, keep_id, shift ORDER BY place
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS begins FROM found
+), runs AS (
+    SELECT *, sum(CAST(begins AS BIGINT)) OVER (PARTITION BY doc_id, keep_id, shift ORDER BY place) AS run FROM fresh
+)
+SELECT doc_id, CAST(min(start) AS BIGINT) AS start, CAST(max(stop) AS BIGINT) AS "end",
+    CAST(max(place) + 50 - min(place) AS BIGINT) AS n_words, keep_id, CAST(min(keep_start) AS BIGINT) AS keep_start,
+    doc_id <> keep_id OR shift <> 0 AS removed
+FROM runs GROUP BY doc_id, keep_id, shift, run
+UNION ALL
+SELECT doc_id, CAST(min(start) AS BIGINT), CAST(max(stop) AS BIGINT), count(*), first, CAST(min(start) AS BIGINT), true
+FROM words WHERE doc_id <> first GROUP BY doc_id, first HAVING count(*) >= 50
+"""
+
+
 def _crc32(text: str) -> str:
     """CRC-32 of an ASCII text: the bits of each byte, one after the other."""
     bit = "xor(c >> 1, (c & 1) * 3988292384)"
@@ -304,7 +340,8 @@ LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
 
 ORACLE = {
     "op1_repetition_rules": OP1,
-    "op4_paragraph_repeats": OP4,
+    "op4_paragraph_repeats": f"SELECT * FROM ({OP4}) UNION ALL BY NAME SELECT * EXCLUDE (keep_start) FROM ({RUNS})",
+    "op4_passage_repeats": RUNS,
     "op7_jaccard_join": OP7,
     "op8_source_mix": OP8,
     "op11_conversation_repair": OP11,
