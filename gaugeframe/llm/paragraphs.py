@@ -26,6 +26,7 @@ from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected,
 from gaugeframe.llm.storing import release, small, stored
 from gaugeframe.llm.text import U64, Rolling, mix, ranges, shingle_sets, slices, window_starts, windows
 from gaugeframe.operators.bloom import keep_possible
+from gaugeframe.operators.joins import BROADCAST_BYTES, measured_bytes
 
 MIN_WORDS = 20
 PASSAGE_WORDS = 50
@@ -160,13 +161,12 @@ def repeated_passages(
     texts = documents.select(documents[id_column].cast("long").alias("id"), documents[text_column].alias("body"))
     texts = texts.dropna().withColumn("text", F.xxhash64("body"))
     copies = texts.groupBy("text").agg(F.min("id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
-    copies = small(stored(copies, "text-copies"), broadcast_rows)
+    copies = _small(stored(copies, "text-copies"), broadcast_rows)
     texts = texts.join(copies, "text", "left").select("id", "body", "text", "first", "rows")
     # Of equal texts one is searched.
     unique = texts.filter("first is null or id = first").select("id", "body", "text", F.coalesce("rows", F.lit(1)).alias("rows"))
     again = texts.filter("id <> first").select("id", "body", "text", "first")
     anchor = (min_words + 1) // 2
-    margin = min_words - anchor
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,16 +197,17 @@ def repeated_passages(
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets = batch.column(4).offsets.to_numpy()
-            places = batch.column(4).values.to_numpy()
+            places, sizes = (batch.column(4).values.field(i).to_numpy() for i in (0, 1))
             for s in slices(batch.column(1), lower=True):
                 starts, ends, first = ranges(s)
                 words = Rolling(s.data).of(starts, ends)
                 mine = slice(s.first, s.first + len(s) + 1)
-                at = np.repeat(first[:-1], np.diff(offsets[mine])) + places[offsets[mine][0] : offsets[mine][-1]]
-                # A window from here to there holds the anchor.
+                held = slice(offsets[mine][0], offsets[mine][-1])
+                begin = np.repeat(first[:-1], np.diff(offsets[mine])) + places[held]
+                # A window that starts from here to there has the anchor as its least.
                 reach = np.zeros(len(words) + 1, np.int64)
-                np.add.at(reach, np.maximum(at - margin, 0), 1)
-                np.add.at(reach, at + 1, -1)
+                np.add.at(reach, begin, 1)
+                np.add.at(reach, begin + sizes[held] - min_words + 1, -1)
                 found = np.flatnonzero((np.cumsum(reach[:-1]) > 0) & window_starts(first, min_words))
                 owner = np.searchsorted(first, found, "right") - 1
                 point = np.concatenate(([0], np.cumsum((s.data & 0xC0) != 0x80)))
@@ -242,12 +243,12 @@ def repeated_passages(
     marks = stored(keep_possible(marks, again_keys, "key"), "anchors")
     # If all that surrounds an anchor is equal too, so are all windows that hold it.
     times = marks.groupBy("key").agg(F.sum("rows").alias("times"), (F.min("around") == F.max("around")).alias("equal"))
-    times = small(stored(times.filter("times > 1").select("key", "equal"), "repeated-anchors"), broadcast_rows)
+    times = _small(stored(times.filter("times > 1").select("key", "equal"), "repeated-anchors"), broadcast_rows)
     marks = stored(marks.join(times, "key"), "marks")
     release(documents.sparkSession)
-    held = marks.filter("not equal").groupBy("text").agg(F.collect_set("at").alias("places"))
+    held = marks.filter("not equal").groupBy("text").agg(F.collect_set(F.struct("place", "n")).alias("places"))
     held = stored(held, "anchored")
-    chosen = unique.join(small(held, broadcast_rows), "text").select("id", "body", "text", "rows", "places")
+    chosen = unique.join(_small(held, broadcast_rows), "text").select("id", "body", "text", "rows", "places")
     found = stored(chosen.mapInArrow(near, f"id long, text long, rows long, a long, b long, {run}"), "windows")
     release(documents.sparkSession)
     same = marks.filter("equal").withColumnRenamed("key", "a").withColumnRenamed("around", "b").drop("at", "equal")
@@ -276,12 +277,18 @@ def _kept(found: DataFrame, broadcast_rows: int) -> DataFrame:
     repeated = found.groupBy("a", "b").agg(F.sum("rows").alias("times"), keeper).filter("times > 1").drop("times")
     repeated = stored(repeated, "repeated-ranges")
     release(found.sparkSession)
-    return found.join(small(repeated, broadcast_rows), ["a", "b"]).select(
+    return found.join(_small(repeated, broadcast_rows), ["a", "b"]).select(
         "id", "text", "place", "n", "start", "stop", F.col("keep.id").alias("keep_id"), F.col("keep.text").alias("keep_text"),
         F.col("keep.start").alias("keep_start"), (F.col("keep.place") - F.col("place")).alias("shift"),
     )
 
 
+def _small(rows: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``rows`` for broadcasting if they are few and their bytes, measured, are too."""
+    few = rows.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return F.broadcast(rows) if few and measured_bytes(rows) <= BROADCAST_BYTES else rows
+
+
 _RUN = ["place", "n", "start", "stop"]
 _TURN = U64(0xA5A5A5A5A5A5A5A5)
 
