@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeframe.llm.rows import packed_rows
 from gaugeframe.storage import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -250,9 +251,9 @@ def sanitise(documents: DataFrame, id_column: str = "doc_id", text_column: str =
     all columns are kept.
     """
     spans = find_personal_data(documents, id_column=id_column, text_column=text_column, **options)
-    per_text = spans.groupBy("text_key").agg(F.first("spans").alias("_spans"))
-    body = F.coalesce(documents[text_column], F.lit(""))
-    keyed = documents.withColumn("_text_key", F.xxhash64(body))
-    joined = keyed.join(per_text, keyed["_text_key"] == per_text["text_key"], "left")
-    text = F.when(keyed[text_column].isNull(), None).otherwise(sanitised(keyed[text_column], F.col("_spans")))
-    return joined.select(*[text.alias(c) if c == text_column else keyed[f"`{c}`"] for c in documents.columns])
+    per_text = spans.groupBy("text_key").agg(F.first("spans").alias("spans"))
+    body = F.col(f"row.`{text_column}`")
+    keyed = packed_rows(documents).withColumn("text_key", F.xxhash64(F.coalesce(body, F.lit(""))))
+    joined = keyed.join(per_text, "text_key", "left")
+    text = F.when(body.isNull(), None).otherwise(sanitised(body, F.col("spans")))
+    return joined.select(*[(text if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in documents.columns])

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected, sums
+from gaugeframe.llm.rows import packed_rows
 from gaugeframe.llm.storing import release, small, stored
 from gaugeframe.llm.text import U64, Rolling, mix, ranges, shingle_sets, slices, window_starts, windows
 from gaugeframe.operators.bloom import keep_possible
@@ -131,13 +132,13 @@ def repeated_text(
 def without_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without the removed paragraphs; all columns and rows are kept."""
     found = repeated_paragraphs(documents, id_column=id_column, text_column=text_column).filter("removed")
-    lines = found.groupBy(F.col(id_column).alias("_id")).agg(F.collect_set(F.col("line").cast("int")).alias("_lines"))
-    kept = F.filter(
-        F.split(text_column, "\n", -1), lambda line, place: ~F.coalesce(F.array_contains("_lines", place), F.lit(False))
-    )
-    text = F.when(F.col("_lines").isNull(), F.col(text_column)).otherwise(F.concat_ws("\n", kept))
-    joined = documents.join(lines, documents[id_column] == lines["_id"], "left")
-    return joined.select(*[text.alias(c) if c == text_column else documents[f"`{c}`"] for c in documents.columns])
+    lines = found.groupBy(F.col(id_column).alias("id")).agg(F.collect_set(F.col("line").cast("int")).alias("lines"))
+    body = F.col(f"row.`{text_column}`")
+    kept = F.filter(F.split(body, "\n", -1), lambda line, place: ~F.coalesce(F.array_contains("lines", place), F.lit(False)))
+    text = F.when(F.col("lines").isNull(), body).otherwise(F.concat_ws("\n", kept))
+    keyed = packed_rows(documents).withColumn("id", F.col(f"row.`{id_column}`").cast("long"))
+    joined = keyed.join(lines, "id", "left")
+    return joined.select(*[(text if c == text_column else F.col(f"row.`{c}`")).alias(c) for c in documents.columns])
 
 
 def repeated_passages(

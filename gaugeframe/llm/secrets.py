@@ -43,10 +43,14 @@ ALLOWED = (
     re.compile(r"x{4,}|0123456789|abcdefgh", re.IGNORECASE | re.ASCII),
     re.compile(r"(?<![0-9a-zA-Z])sha(1|256|384|512)-[A-Za-z0-9+/]+=*"),
 )
-# Host and path of an address; user information and queries are not a part of it.
-ADDRESS = re.compile(r"://(?:[^\x20\x09-\x0D\"'<>@/:]{0,200}+:[^\x20\x09-\x0D\"'<>@]{0,1000}+@)?([^\x20\x09-\x0D\"'<>,;?#&]*)")
+# Host and path of an address; user information, with or without a password, and queries are not a part of
+# it.  Either ends at the next address, so that a row of addresses is read once.
+ADDRESS = re.compile(
+    r"://(?:[^\x20\x09-\x0D\"'<>@/:]*+(?::(?:[^\x20\x09-\x0D\"'<>@:]|:(?!//))*+)?@)?"
+    r"((?:[^\x20\x09-\x0D\"'<>,;?#&:]|:(?!//))*+)"
+)
 # The path of such an address is itself the secret.
-HOOK = re.compile("hook", re.IGNORECASE)
+HOOK = re.compile("hook|/bot[0-9]", re.IGNORECASE | re.ASCII)
 
 
 def scan_secrets(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

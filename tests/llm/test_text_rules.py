@@ -3,11 +3,12 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
 
-from gaugeframe.llm import disclosure, repetition, secrets
+from gaugeframe.llm import disclosure, paragraphs, repetition, secrets
 from gaugeframe.llm.queries import spans_digest
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,6 +127,50 @@ def test_secrets_beside_what_is_allowed(before, after):
     assert any(a <= len(before) and len(before) + len(SECRET) <= b for a, _, b in found)
 
 
+@pytest.mark.parametrize(
+    "before,after",
+    [
+        ("ftp://" + "u" * 250 + ":", "@host/main"),
+        ("https://", "@github.com/org/repo.git"),
+        ("https://api.telegram.org/bot123:", "/send"),
+        ("a://b:c://d:", "@host"),
+    ],
+)
+def test_secrets_within_addresses(before, after):
+    found = [s for s in secrets.spans_of(before + SECRET + after) if s[1] == 3]
+    assert any(a <= len(before) and len(before) + len(SECRET) <= b for a, _, b in found)
+
+
+def test_long_passwords_and_rows_of_addresses():
+    word = SECRET * 60
+    found = [s for s in secrets.spans_of(f"db://u:{word}@host/x") if s[1] == 3]
+    assert found[0][0] <= 7 and found[-1][2] >= 7 + len(word) - 5
+    start = time.perf_counter()
+    secrets.spans_of("://a:b" * 100_000)
+    secrets.spans_of("://" + "a:" * 300_000)
+    assert time.perf_counter() - start < 5
+
+
+CLASHING = ["text_key", "spans", "row", "lines", "id", "_text_key", "_lines", "_spans"]
+
+
+def test_names_of_other_columns_do_not_clash(spark):
+    """Texts are changed, other columns are as they were, whatever they are called."""
+    line = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, f"{line}\nown one", "k"), (2, f"other\n{line}", "k"), (3, None, "k"), (None, "write to a@b.org", "k")]
+    docs = spark.createDataFrame([(*r[:2], *[r[2]] * len(CLASHING)) for r in rows], "doc_id long, text string, " + ", ".join(f"{c} string" for c in CLASHING))
+    kept = paragraphs.without_repeats(docs)
+    assert kept.columns == docs.columns
+    assert {(r["doc_id"], r["text"], *r[2:]) for r in kept.collect()} == {
+        (r[0], "other" if r[0] == 2 else r[1], *["k"] * len(CLASHING)) for r in rows
+    }
+    clean = disclosure.sanitise(docs)
+    assert clean.columns == docs.columns
+    assert {(r["doc_id"], r["text"], *r[2:]) for r in clean.collect()} == {
+        (r[0], "write to <EMAIL>" if r[0] is None else r[1], *["k"] * len(CLASHING)) for r in rows
+    }
+
+
 def test_entropy_by_incremental_counts():
     from math import log2
 
