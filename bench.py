@@ -52,6 +52,12 @@ HEADLINE = (
     "all_topics_means_shuffled",
     "exported_topics",
     "landed_pages_to_csv",
+    "pages_inferred",
+    "indexed_terms",
+    "topics_as_table",
+    "clustered_observations",
+    "selected_pages",
+    "grouped_mean_exact",
 )
 
 

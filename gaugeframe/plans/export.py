@@ -171,21 +171,23 @@ def _counted(
     by_topic = {topics[r["topic"]].name: r for r in found.collect()}
     numbers = spark.createDataFrame([(t.name, i) for i, t in enumerate(topics)], "name string, topic int")
     selected = select_by_topic(catalog, {t.name: t.patterns for t in topics}, names=False).withColumnRenamed("topic", "name")
-    selected = cut_lineage(selected.join(F.broadcast(numbers), "name").select("name", "topic", CODE))
-    lacking = selected.join(stored.select("topic", CODE).distinct(), ["topic", CODE], "left_anti")
-    codes = {r["name"]: r["n"] for r in selected.groupBy("name").agg(F.count("*").alias("n")).collect()}
-    without = {r["name"]: r["n"] for r in lacking.groupBy("name").agg(F.count("*").alias("n")).collect()}
+    selected = selected.join(F.broadcast(numbers), "name").select("name", "topic", CODE)
+    held = stored.select("topic", CODE).distinct().withColumn("held", F.lit(True))
+    status = selected.join(held, ["topic", CODE], "left")
+    if report_path is not None:
+        status = cut_lineage(status)
+    shares = status.groupBy("name").agg(F.count("held").alias("with"), F.count_if(F.col("held").isNull()).alias("without"))
+    codes = {r["name"]: (r["with"], r["without"]) for r in shares.collect()}
     counts = {}
     for topic in topics:
-        row, lacks = by_topic.get(topic.name), without.get(topic.name, 0)
-        had = codes.get(topic.name, 0) - lacks
+        row, (had, lacks) = by_topic.get(topic.name), codes.get(topic.name, (0, 0))
         counts[topic.name] = TopicCounts(row["rows"], row["kept"], row["values"], had, lacks) if row else TopicCounts(0, 0, 0, had, lacks)
     if report_path is not None:
         listed = [(name, *vars(c).values()) for name, c in counts.items()]
         schema = "topic string, rows long, kept long, values long, codes long, codes_without_data long"
         options = {"header": True, **CSV_FORMAT}
         spark.createDataFrame(listed, schema).coalesce(1).write.mode("overwrite").options(**options).csv(f"{report_path}/counts")
-        listed = lacking.select(F.col("name").alias("topic"), CODE)
+        listed = status.filter("held is null").select(F.col("name").alias("topic"), CODE)
         listed.orderBy("topic", CODE).write.mode("overwrite").options(**options).csv(f"{report_path}/without_data")
     problems = {t.name: by_topic[t.name]["problem"] for t in topics if t.name in by_topic and by_topic[t.name]["problem"]}
     return ExportReport(counts), problems
