@@ -89,14 +89,16 @@ def fit(
     """Fit on the labelled rows that are not held out, at most ``max_rows`` of them.
 
     Which rows are taken is decided by a hash of their id.  Rows without a label are ignored;
-    a repeated id counts once, as toxic if any of its rows says so.  Without any labelled row
-    every score is one half.
+    a repeated id counts once, as toxic if any of its rows says so, with the least of its texts.
+    Without any labelled row every score is one half.
     """
     ids = labels.select(labels[id_column].alias("id"), labels[label_column].alias("label")).dropna()
     ids = ids.filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("label").alias("label"))
     ids = ids.withColumn("place", F.xxhash64(F.col("id").cast("string"))).orderBy("place", "id").limit(max_rows)
     texts = documents.select(documents[id_column].alias("id"), documents[text_column].alias("body"))
-    chosen = texts.join(F.broadcast(ids), "id").select("place", F.col("label").cast("int"), "body")
+    # One text for each id, so that the rows are bounded however often an id repeats in the documents.
+    chosen = texts.join(F.broadcast(ids), "id").groupBy("id", "place", "label").agg(F.min("body").alias("body"))
+    chosen = chosen.select("place", F.col("label").cast("int"), "body")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -75,6 +75,15 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <div class="sidebar"><p>A long text in the sidebar that is not a part of it.</p></div><footer>&copy; us</footer>"""
 
 
+def test_fit_takes_one_text_of_an_id(spark):
+    """The rows of the fitting task are bounded by the ids, however often they repeat."""
+    docs = spark.createDataFrame([(i % 20, f"word{i % 20} text {i}") for i in range(2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    once = docs.groupBy("doc_id").agg({"text": "min"}).toDF("doc_id", "text")
+    a, b = toxicity.fit(docs, labels), toxicity.fit(once, labels)
+    assert a.bias == b.bias and (a.weights == b.weights).all() and (a.factors == b.factors).all()
+
+
 def test_page_text():
     want = ["Head & more", "First line of text. second part <3 is here.", "Another paragraph, unclosed"]
     want += ["Point one of the list.", "Point two of the list.", "Last. a < b"]
