@@ -62,7 +62,7 @@ from gaugeframe.sources.landing import (
 from gaugeframe.sources.observations import read_observations, write_observations
 from gaugeframe.sources.term_index import find_terms, write_term_index
 from gaugeframe.storage import scratch_path
-from gaugeframe.streaming.intake import append_observations, stream_landed
+from gaugeframe.streaming.intake import append_observations, read_intake, stream_landed
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,7 +136,7 @@ def page_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         landed = stream_landed(spark, f"{folder}/landing")
         append_observations(landed, f"{folder}/table", f"{folder}/progress").awaitTermination()
-    return read_observations(spark, f"{folder}/table")
+    return read_intake(spark, f"{folder}/table")
 
 
 def pages_landed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +152,7 @@ def page_intake_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
         pages.filter(F.col("fetched") == fetched).drop("fetched").write.mode("append").json(f"{folder}/landing")
         landed = stream_landed(spark, f"{folder}/landing")
         append_observations(landed, f"{folder}/table", f"{folder}/progress").awaitTermination()
-    return read_observations(spark, f"{folder}/table")
+    return read_intake(spark, f"{folder}/table")
 
 
 def failed_pages_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
