@@ -85,6 +85,20 @@ def select_by_topic_table(
     return hits.select(kept).distinct()
 
 
+def topic_classes(topics: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Topics that have the same terms as one class, named by its smallest topic.
+
+    Returns the terms of the classes (``topic``, ``term``), and the members (``topic``, ``class``).  What
+    ``select_by_topic_table`` finds for a class holds for all its members, so it need not be copied to each.
+    A topic's terms meet as one list.
+    """
+    listed = topics.select("topic", "term").dropna().groupBy("topic").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    listed = cut_lineage(listed)
+    named = cut_lineage(listed.groupBy("terms").agg(F.min("topic").alias("class")))
+    classes = named.select(F.col("class").alias("topic"), F.explode("terms").alias("term"))
+    return classes, listed.join(named, "terms").select("topic", "class")
+
+
 def _met_terms(pairs: DataFrame, terms: DataFrame, broadcast_bytes: int) -> DataFrame:
     """The pairs (``id``, code, name) with every term (``folded``) that occurs in the name.
 

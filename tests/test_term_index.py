@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeframe.functions.grams import grams, grams_of, required_literals
 from gaugeframe.functions.matching import terms_together
-from gaugeframe.operators.selection import select_by_topic, select_by_topic_table, select_indicators
+from gaugeframe.operators.selection import select_by_topic, select_by_topic_table, select_indicators, topic_classes
 from gaugeframe.sources.term_index import candidates, find_terms, write_term_index
 
 CATALOG = "IndicatorCode string, IndicatorName string"
@@ -148,3 +148,15 @@ def test_many_terms_of_many_topics(spark, rows, catalog):
         {(t, r[0], r[1]) for t, p in patterns.items() for r in select_indicators(catalog, p).collect()},
         key=lambda r: [(v is not None, v) for v in r],
     )
+
+
+def test_topics_of_the_same_terms_are_one_class(spark, rows, catalog):
+    """What is found for a class is what is found for each of its topics, without a copy for each."""
+    lists = [["ring"], ["ring"], ["Ring"], ["ring", "needle"], ["needle", "ring", "ring"], ["öre"], ["absent term"]]
+    named = [(f"{i}{j}", x) for i, terms in enumerate(lists) for j in range(3) for x in terms] + [(None, "ring"), ("empty", None)]
+    table = spark.createDataFrame(named, "topic string, term string")
+    classes, members = topic_classes(table)
+    assert rows(classes.select("topic").distinct()) == [("00",), ("20",), ("30",), ("50",), ("60",)]
+    hits = select_by_topic_table(catalog, classes).withColumnRenamed("topic", "class")
+    found = rows(hits.join(members, "class").select("topic", "IndicatorCode", "IndicatorName"))
+    assert found == rows(select_by_topic_table(catalog, table)) and len(found) > 3 * hits.count() / 2

@@ -27,6 +27,7 @@ from gaugeframe.operators.selection import (
     select_by_topic,
     select_by_topic_table,
     select_indicators,
+    topic_classes,
     with_ordinal,
 )
 from gaugeframe.plans.export import export_topics, export_with_report, report_of
@@ -530,8 +531,10 @@ def topics_as_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topics_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A topic per part, which looks for names like its own: how many codes each has."""
-    hits = select_by_topic_table(t.catalog(spark, sf_dir), t.part_terms(spark, sf_dir), names=False)
-    return hits.groupBy("topic").agg(F.count("*").alias("n_codes"), F.min(F.col(CODE).cast("long")).alias("first_code"))
+    classes, members = topic_classes(t.part_terms(spark, sf_dir))
+    hits = select_by_topic_table(t.catalog(spark, sf_dir), classes, names=False).withColumnRenamed("topic", "class")
+    counts = hits.groupBy("class").agg(F.count("*").alias("n_codes"), F.min(F.col(CODE).cast("long")).alias("first_code"))
+    return members.join(counts, "class").select("topic", "n_codes", "first_code")
 
 
 def all_topics_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
