@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeframe.operators.bloom import keep_possible
-from gaugeframe.operators.joins import BROADCAST_BYTES, join_on_key, measured_bytes
+from gaugeframe.operators.joins import BROADCAST_BYTES, fits_tasks, join_on_key, measured_bytes
 from gaugeframe.schemas import CODE
 from gaugeframe.storage import cut_lineage
 
@@ -38,15 +38,18 @@ def observations_for(
     codes = cut_lineage(selection.select(F.col(CODE).alias(key))).filter(F.length(key) >= 0)
     if dedupe:
         codes = codes.distinct()
-    if measured_bytes(codes) <= broadcast_bytes:
+    size = measured_bytes(codes)
+    if size <= broadcast_bytes:
         return observations.join(F.broadcast(codes), key, "left_semi" if dedupe else "inner")
     # Rows move, and may be whole page bodies: those of other codes are left behind first.
     near = keep_possible(observations, codes, key)
+    # They are not sorted, as those of one code may be very many.
+    hashed = fits_tasks(codes.sparkSession, size)
     if dedupe:
         # Each code is there once; a semi join would be moved below the filter before it.
-        return join_on_key(near, codes, key, small=False)
+        return join_on_key(near, codes, key, small=False, hashed=hashed)
     copies = codes.groupBy(key).agg(F.count("*").alias("copies"))
-    return repeat_rows(join_on_key(near, copies, key, small=False), "copies")
+    return repeat_rows(join_on_key(near, copies, key, small=False, hashed=hashed), "copies")
 
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeframe.storage import cut_lineage
@@ -25,6 +25,7 @@ def join_on_key(
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
     small: bool | None = None,
+    hashed: bool = False,
 ) -> DataFrame:
     """Join many ``rows`` with a ``lookup`` that has each key once (inner or left_semi).
 
@@ -32,7 +33,8 @@ def join_on_key(
     sides are shuffled once; the lookup is stored first, so that its side is a plain shuffle
     too and adaptive execution can split a key that has a large share of the rows, with the
     lookup row of that key copied to each part.  The rows are read once in either case.
-    ``small`` passes on a size check already made.
+    ``small`` passes on a size check already made.  With ``hashed`` a task holds its part of
+    the lookup, and does not sort the rows (``fits_tasks`` tells whether it may).
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -40,4 +42,9 @@ def join_on_key(
         small = measured_bytes(lookup) <= broadcast_bytes
     if small:
         return rows.join(F.broadcast(lookup), key, how)
-    return rows.join(cut_lineage(lookup).filter(F.col(key).isNotNull()).hint("merge"), key, how)
+    return rows.join(cut_lineage(lookup).filter(F.col(key).isNotNull()).hint("shuffle_hash" if hashed else "merge"), key, how)
+
+
+def fits_tasks(spark: SparkSession, size: int) -> bool:
+    """Whether a lookup of ``size`` bytes, dealt to the tasks of a shuffle, can be held by them."""
+    return size <= BROADCAST_BYTES * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -146,3 +146,30 @@ def test_empty_input_is_refused(facts):
     assert ensure_not_empty(facts) is facts
     with pytest.raises(NoDataError, match="nothing here"):
         ensure_not_empty(facts.filter("NumericValue > 100"), "nothing here")
+
+
+@pytest.mark.parametrize("dedupe", [False, True])
+def test_rows_of_a_large_selection_are_not_sorted(spark, rows, dedupe):
+    """The memory of a task does not grow with the rows of one code; a code is split all the same."""
+    facts = spark.range(300000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("IndicatorCode"), "id"
+    )
+    chosen = spark.range(600).select(F.col("id").cast("string").alias("IndicatorCode"))
+    chosen = chosen.union(spark.createDataFrame([("hot",), ("hot",), (None,)], "IndicatorCode string"))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = observations_for(facts, chosen, dedupe, broadcast_bytes=0)
+        plain = facts.join(chosen.distinct() if dedupe else chosen, "IndicatorCode")
+        assert rows(found.groupBy("IndicatorCode").count()) == rows(plain.groupBy("IndicatorCode").count())
+        found.collect()
+        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "ShuffledHashJoin(skew=true)" in final and "Sort [" not in final
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
