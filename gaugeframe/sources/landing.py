@@ -43,6 +43,7 @@ OnMissing = Literal["none", "fail"]
 FRACTION = f'"{TIME}"' + r"\s*:\s*-?[0-9]+[.eE]"
 NUMBER = f'("{TIME}"' + r"\s*:\s*)(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)"
 MARK = "\ue000"
+ROWS_PER_FILE = 1_000_000  # pages of one compressed file
 
 
 class IncompletePagesError(RuntimeError):
@@ -102,6 +103,16 @@ def landed_page_files(
     return lines.select(url.alias("url"), code.alias("code"), F.lit(200).alias("status"), F.col("value").alias("body"))
 
 
+def write_page_files(pages: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Store the bodies of pages, one per line, in a folder per code.
+
+    The files are compressed, since the bodies repeat their keys, and one of them is read by one task; so
+    there are more files where a code has many pages.
+    """
+    lines = pages.select(F.col("code").alias(CODE), "body")
+    lines.write.option("compression", "gzip").option("maxRecordsPerFile", rows_per_file).partitionBy(CODE).text(path)
+
+
 def read_page_files(
     spark: SparkSession,
     path: str | list[str],

@@ -23,6 +23,7 @@ from gaugeframe.sources.landing import (
     scan_observations,
     unnest_rows,
     unreadable_pages,
+    write_page_files,
 )
 
 
@@ -165,3 +166,13 @@ def test_page_files_in_code_folders(spark, rows, tmp_path):
     chosen = observations_for(found, select_indicators(names, ["age"]))
     assert rows(chosen, "IndicatorCode", "NumericValue") == [("007", 1.0)]
     assert "dynamicpruning" in chosen._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_stored_page_files_are_compressed_and_bounded(spark, rows, tmp_path):
+    body = F.concat(F.lit('{"value":[{"SpatialDim":"AFG","TimeDim":2000,"NumericValue":'), F.col("id"), F.lit("}]}"))
+    pages = spark.range(0, 3000, 1, 2).select((F.col("id") % 2).cast("string").alias("code"), body.alias("body"))
+    write_page_files(pages, str(tmp_path / "pages"), rows_per_file=400)
+    files = list((tmp_path / "pages").rglob("part-*"))
+    assert len(files) == 8 and sum(f.stat().st_size for f in files) < 3000 * 60 / 4
+    found = rows(scan_observation_files(spark, str(tmp_path / "pages")), "IndicatorCode", "NumericValue")
+    assert found == sorted((str(i % 2), float(i)) for i in range(3000))

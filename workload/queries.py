@@ -59,6 +59,7 @@ from gaugeframe.sources.landing import (
     scan_observations,
     unnest_rows,
     unreadable_pages,
+    write_page_files,
 )
 from gaugeframe.sources.observations import read_observations, write_observations
 from gaugeframe.sources.term_index import find_terms, write_term_index
@@ -117,8 +118,7 @@ def event_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as files in one folder per code, read back for the selected codes."""
     path = scratch_path(spark, "pages")
-    landed = t.landed_observations(spark, sf_dir)
-    landed.select(F.col("code").alias(CODE), "body").write.partitionBy(CODE).text(path)
+    write_page_files(t.landed_observations(spark, sf_dir), path)
     lines = t.table(spark, sf_dir, "lineitem")
     name = F.when(F.col("l_linestatus") == "O", "not yet paid").otherwise("done")
     status = lines.select(F.col("l_linestatus").alias(CODE), name.alias(NAME))
