@@ -160,3 +160,18 @@ def test_topics_of_the_same_terms_are_one_class(spark, rows, catalog):
     hits = select_by_topic_table(catalog, classes).withColumnRenamed("topic", "class")
     found = rows(hits.join(members, "class").select("topic", "IndicatorCode", "IndicatorName"))
     assert found == rows(select_by_topic_table(catalog, table)) and len(found) > 3 * hits.count() / 2
+
+
+def test_postings_stay_where_their_names_are(spark, catalog, tmp_path):
+    """A name's postings lie in one file, sorted by gram: they are made once and not shuffled."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_term_index(catalog, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    postings = spark.read.parquet(f"{tmp_path}/postings").withColumn("file", F.col("_metadata.file_path")).collect()
+    files = {}
+    for r in postings:
+        files.setdefault(r["file"], []).append((r["gram"], r["id"]))
+    assert len(files) > 1 and all([g for g, _ in x] == sorted(g for g, _ in x) for x in files.values())
+    assert sum(len({i for _, i in x}) for x in files.values()) == len({r["id"] for r in postings})
