@@ -88,7 +88,7 @@ def text_components(
         wanted = tiled.join(classes.select("rep", F.col("first").alias("id")), "rep").drop("rep")
         chosen = texts.join(small(wanted, broadcast_rows), "id")
         rows = chosen.select("id", "sum_a", "sum_b", "tiles", "body")
-        return rows.mapInArrow(_sorted_sets, "id long, tiles array<long>, elements binary")
+        return rows.mapInArrow(sorted_sets, "id long, tiles array<long>, elements binary")
 
     labels = connected(classes.drop("first"), elements, tile_sets, tile_elements)
     labelled = classes.drop("keys").join(labels, "rep", "left")
@@ -206,7 +206,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sorted_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted sets of rows ``id``, ``sum_a``, ``sum_b``, ``tiles`` and text, named by their first sum."""
     for batch in batches:
         wanted = [batch.column(i).to_numpy() for i in (1, 2)]
         for first, hashes, bounds, _ in shingle_sets(batch.column(4), SHINGLE_WORDS):

@@ -22,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected, sums
+from gaugeframe.llm.jaccard import SHINGLE_WORDS, SIMILAR, band_keys, connected, sorted_sets, sums
 from gaugeframe.llm.rows import packed_rows
-from gaugeframe.llm.storing import release, small, stored
-from gaugeframe.llm.text import U64, Rolling, mix, ranges, shingle_sets, slices, window_starts, windows
+from gaugeframe.llm.storing import discard, release, small, stored
+from gaugeframe.llm.text import U64, Rolling, least_of, mix, ranges, shingle_sets, slices, window_starts, windows
 from gaugeframe.operators.bloom import keep_possible
 from gaugeframe.operators.joins import BROADCAST_BYTES, measured_bytes
 
@@ -57,8 +57,8 @@ def repeated_paragraphs(
     """
     bands = tuned_bands(SIMILAR[0] / SIMILAR[1])
     texts = documents.select(documents[id_column].cast("long").alias("id"), documents[text_column].alias("body"))
-    texts = texts.dropna()
-    plain = "id long, line long, start long, end long, n_words long, n long, sum_a long, sum_b long"
+    texts = texts.dropna().withColumn("text", F.xxhash64("body"))
+    plain = "id long, line long, start long, end long, n_words long, n long, sum_a long, sum_b long, text long"
     same = ["n", "sum_a", "sum_b"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,31 +69,27 @@ def repeated_paragraphs(
                 arrays = [*map(pa.array, columns), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))]
                 yield pa.RecordBatch.from_arrays(arrays, [*_NAMES, "keys"])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for columns, _, _ in _paragraphs(batch, min_words):
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), _NAMES)
-
-    first = F.min(F.struct("id", "line")).alias("first")
-    classes = texts.mapInArrow(sketch, f"{plain}, keys array<long>").groupBy(*same)
-    classes = classes.agg(first, F.count("*").alias("times"), F.min_by("keys", F.struct("id", "line")).alias("keys"))
+    first = F.min(F.struct("id", "line", "text")).alias("first")
+    lines = stored(texts.mapInArrow(sketch, f"{plain}, keys array<long>"), "paragraphs")
+    classes = lines.groupBy(*same)
+    classes = classes.agg(first, F.count("*").alias("times"), F.min_by("keys", "id").alias("keys"))
     # Sets are named by their sum; two different sets share one with a probability of 2^-64.
     classes = stored(classes.withColumn("rep", F.col("sum_a")), "paragraph-classes")
     release(documents.sparkSession)
+    # The keys of all copies take most of the space.
+    places = stored(lines.drop("keys", "text"), "paragraph-places")
+    discard(lines)
 
     def elements(tiled: DataFrame) -> DataFrame:
-        wanted = tiled.join(classes.select("rep", "first.id", "first.line"), "rep").select("rep", "id", "line", "tiles")
-
-        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for columns, hashes, bounds in _paragraphs(batch, min_words):
-                    held = [hashes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                    arrays = [pa.array(columns[i]) for i in (0, 1, 6)] + [pa.array(held, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(arrays, ["id", "line", "rep", "elements"])
-
-        made = texts.mapInArrow(sets, "id long, line long, rep long, elements binary")
-        chosen = made.join(small(wanted, broadcast_rows), ["id", "line", "rep"])
-        return chosen.select(F.col("rep").alias("id"), "tiles", "elements")
+        place = F.xxhash64("id", "text", "line").alias("place")
+        wanted = tiled.join(classes.select("rep", "first.*"), "rep")
+        wanted = stored(wanted.select("id", "text", "line", place, "sum_a", "sum_b", "tiles"), "wanted-lines")
+        pieces = texts.select("id", "text", F.posexplode(F.split("body", "\n", -1)).alias("line", "body"))
+        pieces = pieces.withColumn("line", F.col("line").cast("long")).select("*", place)
+        # Only the lines that are compared are shuffled and cut again.
+        chosen = keep_possible(pieces, wanted, "place").join(wanted, ["id", "text", "line", "place"])
+        rows = chosen.select("id", "sum_a", "sum_b", "tiles", "body")
+        return rows.mapInArrow(sorted_sets, "id long, tiles array<long>, elements binary")
 
     labels = connected(classes.select("rep", *same, "keys"), elements)
     joined = classes.drop("keys").join(labels, "rep", "left")
@@ -101,8 +97,9 @@ def repeated_paragraphs(
     groups = joined.groupBy("component").agg(F.min("first").alias("keeper"), F.sum("times").alias("times"))
     groups = groups.filter("times > 1").select("component", "keeper")
     repeated = stored(joined.select(*same, "component").join(groups, "component"), "repeated")
+    discard(classes)
     release(documents.sparkSession)
-    found = texts.mapInArrow(places, plain).join(small(repeated, broadcast_rows), same)
+    found = places.join(small(repeated, broadcast_rows), same)
     removed = (F.col("id") != F.col("keeper.id")) | (F.col("line") != F.col("keeper.line"))
     return found.select(
         F.col("id").alias(id_column), "line", "start", "end", "n_words",
@@ -173,7 +170,7 @@ def repeated_passages(
         for batch in batches:
             for s in slices(batch.column(1), lower=True):
                 starts, ends, first = ranges(s)
-                at, found, _, _ = _anchors(Rolling(s.data).of(starts, ends), first, min_words, anchor)
+                at, found, _ = _anchors(Rolling(s.data).of(starts, ends), first, min_words, anchor)
                 rows = pa.array(s.first + np.searchsorted(first, at, "right") - 1)
                 arrays = [pa.array(found.view(np.int64)), batch.column(0).take(rows)]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "rows"])
@@ -183,7 +180,8 @@ def repeated_passages(
             for s in slices(batch.column(1), lower=True):
                 starts, ends, first = ranges(s)
                 words = Rolling(s.data).of(starts, ends)
-                at, keys, low, high = _anchors(words, first, min_words, anchor)
+                at, keys, least = _anchors(words, first, min_words, anchor)
+                low, high = _reach(at, keys, least, min_words, anchor)
                 owner = np.searchsorted(first, at, "right") - 1
                 point = np.concatenate(([0], np.cumsum((s.data & 0xC0) != 0x80)))
                 begin = point[s.bounds[owner]]
@@ -245,11 +243,13 @@ def repeated_passages(
     # If all that surrounds an anchor is equal too, so are all windows that hold it.
     times = marks.groupBy("key").agg(F.sum("rows").alias("times"), (F.min("around") == F.max("around")).alias("equal"))
     times = _small(stored(times.filter("times > 1").select("key", "equal"), "repeated-anchors"), broadcast_rows)
-    marks = stored(marks.join(times, "key"), "marks")
+    possible, marks = marks, stored(marks.join(times, "key"), "marks")
+    discard(possible)
     release(documents.sparkSession)
     held = marks.filter("not equal").groupBy("text").agg(F.collect_set(F.struct("place", "n")).alias("places"))
     held = stored(held, "anchored")
-    chosen = unique.join(_small(held, broadcast_rows), "text").select("id", "body", "text", "rows", "places")
+    # Texts without such an anchor stay where they are.
+    chosen = keep_possible(unique, held, "text").join(held, "text").select("id", "body", "text", "rows", "places")
     found = stored(chosen.mapInArrow(near, f"id long, text long, rows long, a long, b long, {run}"), "windows")
     release(documents.sparkSession)
     same = marks.filter("equal").withColumnRenamed("key", "a").withColumnRenamed("around", "b").drop("at", "equal")
@@ -294,32 +294,34 @@ _RUN = ["place", "n", "start", "stop"]
 _TURN = U64(0xA5A5A5A5A5A5A5A5)
 
 
-def _anchors(
-    words: np.ndarray, first: np.ndarray, min_words: int, anchor: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _anchors(words: np.ndarray, first: np.ndarray, min_words: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places and hashes of windows of ``anchor`` words, of all in any ``min_words`` words the least, and
-    the first word and the end of the windows of ``min_words`` words in which they are that."""
-    none = np.zeros(0, np.int64)
+    the least of each window of ``min_words`` words by its first word (0: it is not of one text)."""
     if len(words) < min_words:
-        return none, np.zeros(0, U64), none, none
+        return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, U64)
     hashes = windows(words, anchor)
     span = min_words - anchor + 1
-    least = np.lib.stride_tricks.sliding_window_view(hashes, span).min(1)
+    least = least_of(hashes, span)
     least = np.where(window_starts(first, min_words)[: len(least)], least, U64(0))
     around = np.concatenate((np.zeros(span - 1, U64), least, np.zeros(span - 1, U64)))
-    most = np.lib.stride_tricks.sliding_window_view(around, span).max(1)
+    most = ~least_of(~around, span)
     at = np.flatnonzero((hashes == most) & (most > 0))
+    return at, hashes[at], least
+
+
+def _reach(at: np.ndarray, hashes: np.ndarray, least: np.ndarray, min_words: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first word and the end of the windows of ``min_words`` words in which an anchor is the least."""
+    span = min_words - anchor + 1
+    if not len(at):
+        return at, at
     # Smaller hashes on either side end the stretch of windows that have this one as their least.
-    low, high = np.full(len(at), len(words)), np.full(len(at), -1)
-    for back in range(span):
-        begin = at - back
-        inside = (begin >= 0) & (begin < len(least))
-        own = inside & (least[np.where(inside, begin, 0)] == hashes[at])
-        low, high = np.where(own, begin, low), np.where(own, np.maximum(high, begin), high)
-    return at, hashes[at], low, high + min_words
+    begin = at[:, None] + np.arange(1 - span, 1)
+    own = least[np.clip(begin, 0, len(least) - 1)] == hashes[:, None]
+    own &= (begin >= 0) & (begin < len(least))
+    return at - span + 1 + own.argmax(1), at - own[:, ::-1].argmax(1) + min_words
 
 
-_NAMES = ["id", "line", "start", "end", "n_words", "n", "sum_a", "sum_b"]
+_NAMES = ["id", "line", "start", "end", "n_words", "n", "sum_a", "sum_b", "text"]
 _LINES = 1 << 22
 
 
@@ -336,7 +338,7 @@ def _part(batch: pa.RecordBatch, min_words: int) -> Iterator[tuple[list[np.ndarr
     listed = pc.split_pattern(batch.column(1).cast(pa.large_string()), "\n")
     counts = pc.list_value_length(listed).to_numpy(zero_copy_only=False).astype(np.int64)
     lines = listed.flatten()
-    ids = np.repeat(batch.column(0).to_numpy(), counts)
+    ids, texts = (np.repeat(batch.column(i).to_numpy(), counts) for i in (0, 2))
     before = np.repeat(np.cumsum(counts) - counts, counts)
     number = np.arange(len(lines)) - before
     points = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -351,4 +353,4 @@ def _part(batch: pa.RecordBatch, min_words: int) -> Iterator[tuple[list[np.ndarr
         new = np.concatenate(([0], np.cumsum(np.diff(bounds)[long])))
         at = first + long
         columns = [ids[at], number[at], starts[at], starts[at] + points[at], words[long], np.diff(new)]
-        yield [c.astype(np.int64) for c in columns] + sums(chosen, new), chosen, new
+        yield [c.astype(np.int64) for c in columns] + [*sums(chosen, new), texts[at]], chosen, new

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import gc
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeframe.storage import scratch_path
+from gaugeframe.storage import remove_path, scratch_path
+
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -17,7 +20,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table made by ``stored``; no later job may read it, nor a frame made of it."""
+    remove_path(table.sparkSession, _paths.pop(table))
 
 
 def small(rows: DataFrame, most: int) -> DataFrame:

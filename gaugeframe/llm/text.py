@@ -26,8 +26,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = np.random.default_rng(20_240_501).integers(1, 2**63, 256, dtype=U64) * U64(2) + U64(1)
 _BREAK, _NOTHING = pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string())
-_BASE = U64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+_FACTOR = 0x9E3779B97F4A7C15
+_BASE = U64(_FACTOR)
+_BASE_INVERSE = U64(pow(_FACTOR, -1, 2**64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -108,12 +109,29 @@ class Rolling:
 def windows(words: np.ndarray, n: int) -> np.ndarray:
     """Rolling hash of every window of ``n`` words, text limits not regarded."""
     count = max(0, len(words) - n + 1)
-    total = np.zeros(count, U64)
-    for k in range(n):
-        total = total * _BASE + words[k : k + count]
+    # Hashes of 1, 2, 4 and so on words, put together to those of ``n`` from the left.
+    total, taken, part, size = np.zeros(count, U64), 0, words, 1
+    left, parts = n, []
+    while left:
+        parts.append((part, size))
+        left >>= 1
+        if left:
+            part, size = part[:-size] * U64(pow(_FACTOR, size, 2**64)) + part[size:], 2 * size
+    for part, size in reversed(parts):
+        if n & size:
+            total = total * U64(pow(_FACTOR, size, 2**64)) + part[taken : taken + count]
+            taken += size
     return mix(total)
 
 
+def least_of(values: np.ndarray, n: int) -> np.ndarray:
+    """The least of every ``n`` values in a row."""
+    size, count = 1, max(0, len(values) - n + 1)
+    while 2 * size <= n:
+        values, size = np.minimum(values[:-size], values[size:]), 2 * size
+    return np.minimum(values[:count], values[n - size : n - size + count])
+
+
 def window_starts(first: np.ndarray, n: int) -> np.ndarray:
     """True for each word at which a window of ``n`` words of one text begins."""
     total = int(first[-1]) if len(first) else 0
@@ -147,7 +165,9 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np
                 [windows(words[first[i] : first[i + 1]], int(counts[i]))[0] ^ U64(counts[i]) for i in short], U64
             )
             hashes, owner = np.concatenate((hashes, mix(extra))), np.concatenate((owner, short))
-        order = np.lexsort((hashes, owner))
+        order = np.argsort(hashes)
+        # Numbers of 16 bits are sorted in linear time.
+        order = order[np.argsort(owner[order].astype(np.uint16 if len(s) < 1 << 16 else np.int64), kind="stable")]
         hashes, owner = hashes[order], owner[order]
         fresh = np.ones(len(hashes), bool)
         fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])

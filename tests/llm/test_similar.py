@@ -2,11 +2,13 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from gaugeframe.llm import components, jaccard, paragraphs
+from gaugeframe.llm import components, jaccard, paragraphs, text
+from gaugeframe.storage import checkpoint_root
 
 
 def groups_of(nodes, edges):
@@ -200,3 +202,30 @@ def test_texts_without_repeats(spark):
 def test_bands_reach_the_recall():
     bands = paragraphs.tuned_bands(0.8, 3, 0.99999)
     assert 1 - (1 - 0.8**3) ** bands >= 0.99999 > 1 - (1 - 0.8**3) ** (bands - 1)
+
+
+def test_finished_tables_are_deleted(spark):
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    before = set(root.iterdir()) if root.exists() else set()
+    line, rng = " ".join(f"w{i}" for i in range(60)), random.Random(3)
+    other = " ".join(f"v{rng.randrange(10**6)}" for _ in range(90))
+    texts = [f"{line}\nend", f"start {line} {other}", line.replace("w7 ", "x7 "), other + " end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = paragraphs.repeated_text(docs)
+    names = {path.name.rsplit("-", 1)[0] for path in set(root.iterdir()) - before}
+    # With the keys of all lines, or more than the anchors that occur again; the rows need neither.
+    assert "repeated" in names and not names & {"paragraphs", "paragraph-classes", "anchors"}
+    rows = {(r["doc_id"], r["line"], r["keep_id"], r["removed"]) for r in found.collect()}
+    assert {(0, 0, 0, False), (2, 0, 0, True), (1, None, 0, True), (3, None, 1, True)} <= rows
+
+
+def test_windows_and_least_values_equal_plain_ones():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 4, 25, 60, 200):
+        words = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for n in (1, 2, 5, 25, 26, 50):
+            count, total = max(0, size - n + 1), np.zeros(max(0, size - n + 1), np.uint64)
+            for k in range(n):
+                total = total * np.uint64(0x9E3779B97F4A7C15) + words[k : k + count]
+            assert np.array_equal(text.windows(words, n), text.mix(total))
+            assert text.least_of(words, n).tolist() == [min(words[i : i + n].tolist()) for i in range(count)]
