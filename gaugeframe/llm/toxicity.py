@@ -18,9 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gaugeframe.llm.rows import packed_rows
 from gaugeframe.llm.text import U64, Rolling, Slice, slices
 
 BITS = 18
@@ -223,17 +221,16 @@ def add_scores(
     """Add the score of every row, from its whole text alone.
 
     Rows are neither moved nor dropped, repeated rows included; null and empty texts have the
-    score of no terms.  A column that has the new name already is replaced.
+    score of no terms.  A column that has the new name already is replaced.  Only the texts go
+    to Python, once, and only scores come back; the rows stay in the JVM.
     """
-    packed = packed_rows(documents, [score_column])
-    field = packed.schema[0].dataType.fieldNames().index(text_column)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).field(field)
-            parts = [score_slice(s, machine) for s in slices(texts)]
-            score = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["row", "score"])
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        parts = [score_slice(s, machine) for s in slices(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-    schema = T.StructType([packed.schema[0], T.StructField("score", T.DoubleType())])
-    return packed.mapInArrow(scored, schema).select("row.*", F.col("score").alias(score_column))
+    # Else a filter by the score would score the texts a second time.
+    score = score.asNondeterministic()
+    kept = [F.col(f"`{c}`") for c in documents.columns if c.lower() != score_column.lower()]
+    return documents.select(*kept, score(F.col(f"`{text_column}`")).alias(score_column))

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from gaugeframe.llm import maglev, mincut, mixing, tiling, toxicity
 from pyspark.sql import functions as F
 
@@ -65,6 +66,41 @@ def test_fit_is_bounded_and_needs_no_labels(spark):
         assert [r["score"] for r in toxicity.add_scores(docs, machine).collect()] == [0.5] * 3
 
 
+def python_bytes(df):
+    """Bytes that a frame's plan has sent to Python and got back, after an action on it."""
+
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    metrics = [node.metrics() for node in nodes(df._jdf.queryExecution().executedPlan())]
+    names = [(m, name) for m in metrics for name in ("pythonDataSent", "pythonDataReceived") if m.contains(name)]
+    assert names
+    return sum(m.apply(name).value() for m, name in names)
+
+
+def test_texts_go_to_python_once(spark, tmp_path):
+    """A row sent there and back, with its text beside it, takes four times the text in a worker and its executor."""
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=2000)), i % 7 / 7, f"other{i}") for i in range(-1, 200)]
+    rows += [rows[5], (None, None, None, None), (300, "", 0.2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Score double, other string")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    size = sum(len(r[1] or "") for r in rows)
+    machine = toxicity.Machine(-1.0, np.zeros(1 << 10, "f4"), np.zeros((1 << 10, 2), "f4"))
+    scored = toxicity.add_scores(docs, machine)
+    assert scored.columns == ["doc_id", "text", "other", "score"]
+    assert [tuple(r) for r in scored.collect()] == [(a, b, d, pytest.approx(1 / (1 + np.e))) for a, b, _, d in rows]
+    assert python_bytes(scored) < 1.2 * size
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "fit", lambda documents, labels: machine)
+        kept = corpus_pipeline.without_toxic(spark, docs, str(tmp_path))
+        assert [tuple(r) for r in kept.collect()] == rows
+    # Scored once, though the rows are chosen by the score.
+    assert python_bytes(kept) < 1.2 * size
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>";</script></head>
 <body class="has-sidebar"><header class="site"><a href="/">Home</a></header><nav><ul><li><a href="x">One</a><li>Two</ul></nav>
 <div id="cookie-notice">We use cookies.</div><!-- <p>hidden</p> --><article><h1>Head &amp; more</h1>
